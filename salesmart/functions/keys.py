@@ -11,4 +11,4 @@ def surrogate_key(*columns: str | Column, null_marker: str = NULL_MARKER) -> Col
     """MD5 of the columns' text joined by ``-``, NULLs written as ``null_marker``."""
     parts = [F.col(c) if isinstance(c, str) else c for c in columns]
     texts = [F.coalesce(p.cast("string"), F.lit(null_marker)) for p in parts]
-    return F.md5(F.concat_ws("-", *texts))
+    return F.md5(texts[0] if len(texts) == 1 else F.concat_ws("-", *texts))

@@ -1,10 +1,11 @@
 """The whole warehouse: lazily, or written layer by layer."""
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from salesmart.operators.calendar import date_spine
 from salesmart.plans.dimensions import dim_customers, dim_dates, dim_products
@@ -31,51 +32,90 @@ class RunOptions:
     salts: int = 1
 
 
-def build_staging(sources: Mapping[str, DataFrame], options: RunOptions) -> dict[str, DataFrame]:
-    return {
-        "stg_customers": stg_customers(sources["customers"]),
-        "stg_products": stg_products(sources["products"], options.safe),
-        "stg_orders": stg_orders(sources["orders"]),
-    }
-
-
-def _dimensions(
-    spark: SparkSession, staged: Mapping[str, DataFrame], options: RunOptions
-) -> dict[str, DataFrame]:
-    return {
-        "dim_customers": dim_customers(staged["stg_customers"], options.as_of, options.run_ts),
-        "dim_products": dim_products(staged["stg_products"], options.run_ts),
-        "dim_dates": dim_dates(date_spine(spark, **options.calendar), run_ts=options.run_ts),
-    }
-
-
-def _fact(tables: Mapping[str, DataFrame], options: RunOptions) -> DataFrame:
-    return fact_orders(
-        tables["stg_orders"], tables["dim_customers"], tables["dim_products"],
-        tables["dim_dates"], options.run_ts, salts=options.salts,
-    )
+class Warehouse:
+    """The models over ``customers``, ``products`` and ``orders``, each made on first use.
 
+    ``keep`` is applied to every core and finance model as it is made: written through
+    (see ``write_all``), a model is computed once and read by those after it. By default
+    nothing is kept, and each result is one plan from the source scans on.
+    """
 
-def _mart(tables: Mapping[str, DataFrame], options: RunOptions) -> DataFrame:
-    return revenue_analysis(
-        tables["fact_orders"], tables["dim_dates"], options.run_ts, safe=options.safe
-    )
+    def __init__(
+        self,
+        sources: Mapping[str, DataFrame],
+        options: RunOptions = RunOptions(),
+        keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+    ):
+        self.sources, self.options, self._keep = sources, options, keep
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self.sources["customers"]
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self.sources["products"]
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self.sources["orders"]
+
+    @cached_property
+    def stg_customers(self) -> DataFrame:
+        return stg_customers(self.customers)
+
+    @cached_property
+    def stg_products(self) -> DataFrame:
+        return stg_products(self.products, self.options.safe)
+
+    @cached_property
+    def stg_orders(self) -> DataFrame:
+        return stg_orders(self.orders)
+
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        made = dim_customers(self.stg_customers, self.options.as_of, self.options.run_ts)
+        return self._keep("dim_customers", made)
+
+    @cached_property
+    def dim_products(self) -> DataFrame:
+        return self._keep("dim_products", dim_products(self.stg_products, self.options.run_ts))
+
+    @cached_property
+    def dim_dates(self) -> DataFrame:
+        days = date_spine(self.orders.sparkSession, **self.options.calendar)
+        return self._keep("dim_dates", dim_dates(days, run_ts=self.options.run_ts))
+
+    @cached_property
+    def fact_orders(self) -> DataFrame:
+        made = fact_orders(
+            self.stg_orders, self.dim_customers, self.dim_products, self.dim_dates,
+            self.options.run_ts, salts=self.options.salts,
+        )
+        return self._keep("fact_orders", made)
+
+    @cached_property
+    def revenue_analysis(self) -> DataFrame:
+        made = revenue_analysis(
+            self.fact_orders, self.dim_dates, self.options.run_ts, safe=self.options.safe
+        )
+        return self._keep("revenue_analysis", made)
+
+    def models(self) -> dict[str, DataFrame]:
+        """Every model by name, in dependency order."""
+        return {name: getattr(self, name) for name in LAYERS}
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Sources and models by name."""
+        sources = {name: getattr(self, name) for name in ("customers", "products", "orders")}
+        return sources | self.models()
 
 
 def build_all(
     sources: Mapping[str, DataFrame], options: RunOptions = RunOptions()
 ) -> dict[str, DataFrame]:
-    """Every model over ``customers``, ``products`` and ``orders``, unevaluated.
-
-    Each result is one plan from the source scans on: right for a single result. To read
-    several, use ``write_all``, which computes the fact once.
-    """
-    spark = sources["orders"].sparkSession
-    tables = build_staging(sources, options)
-    tables |= _dimensions(spark, tables, options)
-    tables["fact_orders"] = _fact(tables, options)
-    tables["revenue_analysis"] = _mart(tables, options)
-    return tables
+    """Every model, unevaluated. To read several of them, use ``write_all``."""
+    return Warehouse(sources, options).models()
 
 
 def write_all(
@@ -88,15 +128,10 @@ def write_all(
     Staging stays virtual, as temporary views. The written tables cut the lineage: a lost
     executor costs the tasks of the step it was in, not a recomputation from the sources.
     """
-    spark = sources["orders"].sparkSession
 
-    def land(name: str, df: DataFrame) -> DataFrame:
+    def write(name: str, df: DataFrame) -> DataFrame:
         return full_refresh(df, f"{layer_name(LAYERS[name], prefix)}.{name}")
 
-    tables = build_staging(sources, options)
-    publish_views(tables)
-    for name, df in _dimensions(spark, tables, options).items():
-        tables[name] = land(name, df)
-    tables["fact_orders"] = land("fact_orders", _fact(tables, options))
-    tables["revenue_analysis"] = land("revenue_analysis", _mart(tables, options))
-    return tables
+    models = Warehouse(sources, options, write).models()
+    publish_views({n: df for n, df in models.items() if LAYERS[n] == "staging"})
+    return models

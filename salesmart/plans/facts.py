@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.audit import stamped
 from salesmart.functions.keys import surrogate_key
-from salesmart.functions.money import AMOUNT, PERCENT, percent
+from salesmart.functions.money import AMOUNT, PERCENT, cents_percent, to_cents
 from salesmart.operators.calendar import FALLBACK_DAY
 from salesmart.operators.joins import lookup_join
 from salesmart.schemas import MONEY
@@ -72,13 +72,17 @@ def fact_orders(
         "created_at",
         F.col("matched_date_key").isNull().cast("int").alias("missing_date_flag"),
     )
+    in_cents = measured.withColumns({
+        "profit_cents": to_cents(F.col("profit_amount")),
+        "cost_cents": to_cents(F.col("total_cost")),
+    })
     # Guarded, unlike the other percentages: no cost means a margin of zero.
     margin = F.when(
-        F.col("total_cost") > 0, percent(F.col("profit_amount"), F.col("total_cost"))
+        F.col("cost_cents") > 0, cents_percent(F.col("profit_cents"), F.col("cost_cents"))
     ).otherwise(F.lit(0).cast(PERCENT))
     columns = measured.columns
     place = columns.index("profit_amount") + 1
-    fact = measured.select(
+    fact = in_cents.select(
         *columns[:place], margin.alias("profit_margin_pct"), *columns[place:]
     )
     return stamped(fact, run_ts)

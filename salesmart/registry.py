@@ -17,11 +17,10 @@ from salesmart.operators.calendar import (
     CALENDAR_END, CALENDAR_START, covering_bounds, date_spine, spine_between,
 )
 from salesmart.plans import finance
-from salesmart.plans.build import RunOptions, build_all
+from salesmart.plans.build import RunOptions, Warehouse
 from salesmart.plans.dimensions import dim_dates
 from salesmart.schemas import LANDING, column_defaults
-from salesmart.sources.adapt import adapt
-from salesmart.sources.readers import read_parquet
+from salesmart.sources.adapt import adapt, read_table
 from salesmart.sources.synth import synth_customers, synth_orders, synth_products
 
 # The test clock.
@@ -57,14 +56,12 @@ def query(build: Query) -> Query:
     return build
 
 
-def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Sources and every model, lazily."""
-    sources = adapt(spark, folder)
-    return sources | build_all(sources, RunOptions(as_of=AS_OF, run_ts=AS_OF_TIME))
+def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    return Warehouse(adapt(spark, folder), RunOptions(as_of=AS_OF, run_ts=AS_OF_TIME))
 
 
 def _model(name: str) -> None:
-    QUERIES[name] = lambda spark, folder: portable(_tables(spark, folder)[name])
+    QUERIES[name] = lambda spark, folder: portable(getattr(_warehouse(spark, folder), name))
 
 
 for _name in (
@@ -94,8 +91,8 @@ def _dim_dates(spark, folder):
 
 
 def _monthly(spark, folder) -> DataFrame:
-    t = _tables(spark, folder)
-    return finance.period_totals(t["fact_orders"], t["dim_dates"], ["year", "month"])
+    w = _warehouse(spark, folder)
+    return finance.period_totals(w.fact_orders, w.dim_dates, ["year", "month"])
 
 
 @query
@@ -121,41 +118,41 @@ def month_lag(spark, folder):
 
 @query
 def revenue_without_fallback(spark, folder):
-    t = _tables(spark, folder)
+    w = _warehouse(spark, folder)
     return finance.revenue_analysis(
-        t["fact_orders"], t["dim_dates"], AS_OF_TIME, exclude_fallback=True
+        w.fact_orders, w.dim_dates, AS_OF_TIME, exclude_fallback=True
     )
 
 
 @query
 def quarterly_revenue(spark, folder):
-    t = _tables(spark, folder)
-    return finance.quarterly_revenue(t["fact_orders"], t["dim_dates"])
+    w = _warehouse(spark, folder)
+    return finance.quarterly_revenue(w.fact_orders, w.dim_dates)
 
 
 @query
 def order_volume(spark, folder):
-    return finance.order_volume(_tables(spark, folder)["revenue_analysis"])
+    return finance.order_volume(_warehouse(spark, folder).revenue_analysis)
 
 
 @query
 def customer_value(spark, folder):
-    t = _tables(spark, folder)
-    return finance.customer_value(t["fact_orders"], t["dim_customers"])
+    w = _warehouse(spark, folder)
+    return finance.customer_value(w.fact_orders, w.dim_customers)
 
 
 @query
 def segment_value(spark, folder):
-    t = _tables(spark, folder)
+    w = _warehouse(spark, folder)
     return finance.segment_value(
-        finance.customer_value(t["fact_orders"], t["dim_customers"])
+        finance.customer_value(w.fact_orders, w.dim_customers)
     )
 
 
 @query
 def margin_by_tier(spark, folder):
-    t = _tables(spark, folder)
-    return finance.margin_by_tier(t["fact_orders"], t["dim_products"])
+    w = _warehouse(spark, folder)
+    return finance.margin_by_tier(w.fact_orders, w.dim_products)
 
 
 # Verification --------------------------------------------------------------------------
@@ -179,22 +176,22 @@ def sample_orders(spark, folder):
 @query
 def sample_facts(spark, folder):
     columns = ["order_key", "customer_key", "product_key", "quantity", "total_amount"]
-    return verify.sample_rows(_tables(spark, folder)["fact_orders"], columns, order=columns)
+    return verify.sample_rows(_warehouse(spark, folder).fact_orders, columns, order=columns)
 
 
 @query
 def latest_months(spark, folder):
-    return verify.latest_months(_tables(spark, folder)["revenue_analysis"], 5)
+    return verify.latest_months(_warehouse(spark, folder).revenue_analysis, 5)
 
 
 @query
 def latest_year(spark, folder):
-    return verify.latest_months(_tables(spark, folder)["revenue_analysis"], 12)
+    return verify.latest_months(_warehouse(spark, folder).revenue_analysis, 12)
 
 
 @query
 def missing_dates(spark, folder):
-    orders = _tables(spark, folder)["stg_orders"]
+    orders = _warehouse(spark, folder).stg_orders
     return verify.missing_dates(
         orders, dim_dates(date_spine(spark, end=SHORT_CALENDAR_END))
     )
@@ -202,21 +199,21 @@ def missing_dates(spark, folder):
 
 @query
 def date_coverage(spark, folder):
-    t = _tables(spark, folder)
-    return verify.date_coverage(t["orders"], t["dim_dates"])
+    w = _warehouse(spark, folder)
+    return verify.date_coverage(w.orders, w.dim_dates)
 
 
 @query
 def orphan_keys(spark, folder):
     """Order keys of customers that are inactive, hence not in the dimension."""
-    t = _tables(spark, folder)
-    return verify.orphan_keys(t["stg_orders"], t["dim_customers"], "customer_id")
+    w = _warehouse(spark, folder)
+    return verify.orphan_keys(w.stg_orders, w.dim_customers, "customer_id")
 
 
 @query
 def orphan_fact_keys(spark, folder):
-    t = _tables(spark, folder)
-    return verify.orphan_keys(t["fact_orders"], t["dim_customers"], "customer_key")
+    w = _warehouse(spark, folder)
+    return verify.orphan_keys(w.fact_orders, w.dim_customers, "customer_key")
 
 
 @query
@@ -226,14 +223,16 @@ def duplicate_keys(spark, folder):
 
 @query
 def row_counts(spark, folder):
-    t = _tables(spark, folder)
+    w = _warehouse(spark, folder)
     layers = {
         "source": ("customers", "products", "orders"),
         "staging": ("stg_customers", "stg_products", "stg_orders"),
         "core": ("dim_customers", "dim_products", "dim_dates", "fact_orders"),
         "finance": ("revenue_analysis",),
     }
-    return verify.row_counts({f"{s}.{n}": t[n] for s, names in layers.items() for n in names})
+    return verify.row_counts(
+        {f"{s}.{n}": getattr(w, n) for s, names in layers.items() for n in names}
+    )
 
 
 # Checks --------------------------------------------------------------------------------
@@ -241,7 +240,7 @@ def row_counts(spark, folder):
 
 @query
 def check_unique(spark, folder):
-    stg_orders = _tables(spark, folder)["stg_orders"]
+    stg_orders = _warehouse(spark, folder).stg_orders
     return quality.check_unique(stg_orders, ["order_key", "order_id", "customer_id"])
 
 
@@ -253,15 +252,15 @@ def check_not_null(spark, folder):
 
 @query
 def check_relationship(spark, folder):
-    t = _tables(spark, folder)
+    w = _warehouse(spark, folder)
     return quality.check_relationship(
-        t["orders"], "product_id", t["dim_products"], "product_id"
+        w.orders, "product_id", w.dim_products, "product_id"
     )
 
 
 @query
 def check_suite(spark, folder):
-    return quality.run_suite(_tables(spark, folder))
+    return quality.run_suite(_warehouse(spark, folder).tables())
 
 
 @query
@@ -280,7 +279,7 @@ def freshness(spark, folder):
 
 @query
 def landing_read(spark, folder):
-    return landing.normalize_names(read_parquet(spark, folder, "orders"))
+    return landing.normalize_names(read_table(spark, folder, "orders"))
 
 
 @query
@@ -308,7 +307,7 @@ def _customer_changes(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Customers, and a change set: the inactive ones revived, suppliers added."""
     customers = adapt(spark, folder)["customers"]
     revived = customers.where(~F.col("is_active")).withColumn("is_active", F.lit(True))
-    suppliers = read_parquet(spark, folder, "supplier").select(
+    suppliers = read_table(spark, folder, "supplier").select(
         (F.col("s_suppkey") + NEW_CUSTOMER_BASE).alias("customer_id"),
         F.col("s_name").alias("first_name"),
         F.lit("supplier").alias("last_name"),
@@ -350,19 +349,19 @@ def _without_stamps(df: DataFrame) -> DataFrame:
 
 @query
 def _synth_customers(spark, folder):
-    ids = read_parquet(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"))
+    ids = read_table(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"))
     return _without_stamps(synth_customers(ids, SEED, AS_OF))
 
 
 @query
 def _synth_products(spark, folder):
-    ids = read_parquet(spark, folder, "part").select(F.col("p_partkey").alias("product_id"))
+    ids = read_table(spark, folder, "part").select(F.col("p_partkey").alias("product_id"))
     return _without_stamps(synth_products(ids, SEED))
 
 
 @query
 def _synth_orders(spark, folder):
-    ids = read_parquet(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"))
+    ids = read_table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"))
     tables = adapt(spark, folder)
     return _without_stamps(
         synth_orders(ids, tables["customers"], tables["products"], SEED, AS_OF)

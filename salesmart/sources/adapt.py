@@ -1,20 +1,43 @@
 """The three source tables derived from a TPC-H-like schema.
 
-All amounts are decimals made by exact arithmetic; texts are padded and in mixed case so
-that staging has something to clean, and some flags, segments, dates, discounts and taxes
-are missing.
+All amounts are exact, made by whole-number arithmetic in cents; texts are padded and in
+mixed case so that staging has something to clean, and some flags, segments, dates,
+discounts and taxes are missing.
 """
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.functions.money import from_cents, half_up_div
 from salesmart.operators.landing import conform
 from salesmart.schemas import CUSTOMERS, MONEY, ORDERS, PRODUCTS
 from salesmart.sources.readers import read_parquet
 
+# Declared, so that opening a table does not start a job to look at its files.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 FIXED_STAMP = "2001-01-01 00:00:00"
 
 
+def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return read_parquet(spark, folder, table, TABLES[table])
+
+
 def _stamp() -> Column:
     return F.lit(FIXED_STAMP).cast("timestamp_ntz")
 
@@ -24,15 +47,15 @@ def _padded(c: Column | str) -> Column:
 
 
 def adapted_customers(spark: SparkSession, folder: str) -> DataFrame:
-    nation = read_parquet(spark, folder, "nation")
-    region = read_parquet(spark, folder, "region")
+    nation = read_table(spark, folder, "nation")
+    region = read_table(spark, folder, "region")
     # Provably one row per key, which lets Spark drop the join where no name is asked for.
     places = nation.join(
         region, nation.n_regionkey == region.r_regionkey, "left"
     ).dropDuplicates(["n_nationkey"])
     key = F.col("c_custkey")
     rows = (
-        read_parquet(spark, folder, "customer")
+        read_table(spark, folder, "customer")
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(
             key.alias("customer_id"),
@@ -60,33 +83,32 @@ def adapted_customers(spark: SparkSession, folder: str) -> DataFrame:
     return conform(rows, CUSTOMERS)
 
 
-def _list_price() -> Column:
-    tenth, one, double = (F.lit(f).cast("decimal(2,1)") for f in ("0.1", "1.0", "2.0"))
-    size = F.col("p_size") % 3
-    factor = F.when(size == 0, tenth).when(size == 1, one).otherwise(double)
-    return (F.col("p_retailprice").cast(MONEY) * factor).cast(MONEY)
+def _hundredths(c: str) -> Column:
+    """A double with two decimals as a whole number of hundredths."""
+    return F.rint(F.col(c) * 100).cast("bigint")
 
 
-def _cost(price: Column) -> Column:
-    shares = [F.lit(f).cast("decimal(2,1)") for f in ("0.4", "0.6", "0.7", "0.8")]
-    size = F.col("p_size") % 4
-    share = (
-        F.when(size == 0, shares[0]).when(size == 1, shares[1]).when(size == 2, shares[2])
-        .otherwise(shares[3])
-    )
-    return (price * share).cast(MONEY)
+def _price_cents() -> Column:
+    """Retail price times 0.1, 1 or 2 by size, half up."""
+    tenths = F.expr("element_at(array(1, 10, 20), p_size % 3 + 1)")
+    return half_up_div(_hundredths("p_retailprice") * tenths, F.lit(10))
 
 
 def adapted_products(spark: SparkSession, folder: str) -> DataFrame:
-    rows = read_parquet(spark, folder, "part").withColumn("unit_price", _list_price()).select(
+    price = F.col("price_cents")
+    priced = read_table(spark, folder, "part").withColumns({
+        "price_cents": _price_cents(),
+        "cost_tenths": F.expr("element_at(array(4, 6, 7, 8), p_size % 4 + 1)"),
+    })
+    rows = priced.select(
         F.col("p_partkey").alias("product_id"),
         _padded("p_name").alias("product_name"),
         _padded(F.lower("p_type")).alias("category"),
         F.col("p_size").alias("subcategory"),
         _padded(F.lower("p_brand")).alias("brand"),
         F.concat(F.lit(" Supplier"), F.col("p_partkey") % 4).alias("supplier"),
-        "unit_price",
-        _cost(F.col("unit_price")).alias("cost_price"),
+        from_cents(price, MONEY).alias("unit_price"),
+        from_cents(half_up_div(price * F.col("cost_tenths"), F.lit(10)), MONEY).alias("cost_price"),
         F.col("p_name").alias("description"),
         (F.col("p_size") % 10 != 0).alias("is_active"),
         _stamp().alias("created_at"),
@@ -116,32 +138,35 @@ def _payment() -> Column:
 
 def adapted_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One order per line item. Order ids therefore repeat, unlike in a real source."""
-    lines = read_parquet(spark, folder, "lineitem")
-    orders = read_parquet(spark, folder, "orders")
-    prices = read_parquet(spark, folder, "part").select(
-        "p_partkey", _list_price().alias("unit_price")
-    )
-    quantity = F.col("l_quantity").cast("decimal(6,0)")
-
-    def share(rate: str) -> Column:
-        return (F.col(rate).cast("decimal(4,2)") * quantity * F.col("unit_price")).cast(MONEY)
-
+    lines = read_table(spark, folder, "lineitem").withColumns({
+        "units": F.col("l_quantity").cast("int"),
+        "discount_rate": _hundredths("l_discount"),
+        "tax_rate": _hundredths("l_tax"),
+    })
+    orders = read_table(spark, folder, "orders")
+    prices = read_table(spark, folder, "part").select(
+        "p_partkey", _price_cents().alias("cents")
+    ).withColumn("unit_price", from_cents(F.col("cents"), MONEY))
+    gross, discount, tax = F.col("gross"), F.col("discount"), F.col("tax")
+    nothing = F.lit(0).cast("bigint")
     rows = (
         lines.join(prices, lines.l_partkey == prices.p_partkey)
         .join(orders, lines.l_orderkey == orders.o_orderkey)
-        .withColumns({"discount": share("l_discount"), "tax": share("l_tax")})
+        .withColumn("gross", F.col("units") * F.col("cents"))
+        .withColumns({
+            "discount": half_up_div(gross * F.col("discount_rate"), F.lit(100)),
+            "tax": half_up_div(gross * F.col("tax_rate"), F.lit(100)),
+        })
         .select(
             F.col("l_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("l_partkey").alias("product_id"),
             F.when(F.col("o_orderkey") % 97 != 0, F.col("o_orderdate")).alias("order_date"),
-            quantity.alias("quantity"),
+            F.col("units").alias("quantity"),
             "unit_price",
-            F.nullif("discount", F.lit(0).cast(MONEY)).alias("discount_amount"),
-            F.nullif("tax", F.lit(0).cast(MONEY)).alias("tax_amount"),
-            (quantity * F.col("unit_price") - F.col("discount") + F.col("tax")).alias(
-                "total_amount"
-            ),
+            from_cents(F.nullif(discount, nothing), MONEY).alias("discount_amount"),
+            from_cents(F.nullif(tax, nothing), MONEY).alias("tax_amount"),
+            from_cents(gross - discount + tax, MONEY).alias("total_amount"),
             _status().alias("order_status"),
             _payment().alias("payment_method"),
             F.col("o_custkey").alias("shipping_address"),
@@ -152,10 +177,28 @@ def adapted_orders(spark: SparkSession, folder: str) -> DataFrame:
     return conform(rows, ORDERS)
 
 
-def adapt(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """``customers``, ``products`` and ``orders`` over the Parquet files of ``folder``."""
-    return {
-        "customers": adapted_customers(spark, folder),
-        "products": adapted_products(spark, folder),
-        "orders": adapted_orders(spark, folder),
+class Adapted(Mapping):
+    """``customers``, ``products`` and ``orders`` over a folder, made when asked for."""
+
+    _makers = {
+        "customers": adapted_customers,
+        "products": adapted_products,
+        "orders": adapted_orders,
     }
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._where = spark, folder
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._makers[name](*self._where)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def adapt(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+    """The three source tables over the Parquet files of ``folder``."""
+    return Adapted(spark, folder)

@@ -3,11 +3,15 @@
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """The table kept as ``<folder>/<table>.parquet``."""
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+def read_parquet(
+    spark: SparkSession, folder: str, table: str, schema: str | StructType | None = None
+) -> DataFrame:
+    """The table kept as ``<folder>/<table>.parquet``, of the given or the files' schema."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{table}.parquet")
 
 
 def key_bounds(spark: SparkSession, table: str, key: str, options: Mapping[str, str]):
