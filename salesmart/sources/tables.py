@@ -34,15 +34,23 @@ def publish_views(views: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def _details(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    detail = rows[[r.col_name for r in rows].index("# Detailed Table Information"):]
+    return {r.col_name: r.data_type for r in detail}
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return _details(spark, table)["Location"].rstrip("/")
+
+
 def _live_location(spark: SparkSession, table: str) -> str | None:
     if not spark.catalog.tableExists(table):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    detail = rows[[r.col_name for r in rows].index("# Detailed Table Information"):]
-    facts = {r.col_name: r.data_type for r in detail}
-    if facts["Type"] != "EXTERNAL":
+    location = _location(spark, table)
+    if not location.endswith(("/a", "/b")):
         raise ValueError(f"{table} was not written by full_refresh; refusing to replace it")
-    return facts["Location"].rstrip("/")
+    return location
 
 
 def full_refresh(df: DataFrame, table: str) -> DataFrame:
@@ -98,7 +106,9 @@ def merge_ranged(changes: DataFrame, table: str, keys: Sequence[str], range_key:
     ``range_key`` must be one of ``keys``, so that a row never moves between ranges. The
     touched ranges are listed on the driver: at most one number per ``width`` keys changed.
     Orders arrive with rising ids, hence a batch of recent orders touches few ranges and
-    the rest of the table is neither read nor written.
+    the rest of the table is neither read nor written. Executors may be lost at any
+    point; but as in every dynamic overwrite, a driver that dies while it moves finished
+    ranges into place can leave one of them in the staging folder only.
     """
     if range_key not in keys:
         raise ValueError("range_key must be one of the keys")
@@ -109,10 +119,14 @@ def merge_ranged(changes: DataFrame, table: str, keys: Sequence[str], range_key:
         return spark.table(table)
     current = spark.table(table).where(F.col(_RANGE).isin(touched))
     merged = upsert(current, ranged.select(*current.columns), [*keys, _RANGE])
+    # Dynamic mode replaces the partitions present in ``merged``, when all are written.
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
+        .partitionBy(_RANGE)
+        .parquet(_location(spark, table))
     )
+    added = " ".join(f"PARTITION ({_RANGE} = {r})" for r in touched)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(table)
     return spark.table(table)

@@ -23,7 +23,8 @@ def stream_merge(
     Each batch keeps the newest row per key and rewrites the key ranges it touches. A
     batch that is run again after a failure leaves the same table, so the checkpoint makes
     the merge exactly-once. The query ends when the available changes are used up; start
-    it again, with the same checkpoint, for the next ones.
+    it again, with the same checkpoint, for the next ones. A session that has read the
+    table before must refresh it to see the merge.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
