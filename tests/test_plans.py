@@ -197,4 +197,4 @@ def test_calendar_is_one_small_task(spark):
     assert calendar.rdd.getNumPartitions() == 1
     keys = calendar.select("full_date", "date_key")._jdf.queryExecution().optimizedPlan()
     assert int(str(keys.stats().sizeInBytes())) < 10 * 1024 * 1024
-    assert date_spine(spark, dt.date(1, 1, 1), dt.date(9999, 1, 1)).rdd.getNumPartitions() == 4
+    assert date_spine(spark, dt.date(1000, 1, 1), dt.date(9000, 1, 1)).rdd.getNumPartitions() == 3
