@@ -2,13 +2,13 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# 18 digits fit a 64-bit word, in Parquet and in Spark's row format alike.
-AMOUNT = T.DecimalType(18, 2)
-COUNT = T.DecimalType(18, 0)
-PERCENT = T.DecimalType(18, 2)
-AVERAGE = T.DecimalType(18, 6)
+# Types by name. 18 digits fit a 64-bit word, in Parquet and in Spark's row format alike.
+PRICE = "decimal(10,2)"
+AMOUNT = "decimal(18,2)"
+COUNT = "decimal(18,0)"
+PERCENT = "decimal(18,2)"
+AVERAGE = "decimal(18,6)"
 
 
 def to_cents(amount: Column) -> Column:
@@ -16,7 +16,7 @@ def to_cents(amount: Column) -> Column:
     return (amount * 100).cast("bigint")
 
 
-def from_cents(cents: Column, kind: T.DecimalType = AMOUNT) -> Column:
+def from_cents(cents: Column, kind: str = AMOUNT) -> Column:
     """A whole number of cents as an amount."""
     return (cents.cast(COUNT) * F.lit("0.01").cast("decimal(2,2)")).cast(kind)
 

@@ -16,7 +16,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     Names match without regard to case. A column the source lacks is an error: see
     ``fill_defaults``.
     """
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*[
+        f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema
+    ])
 
 
 def normalize_names(df: DataFrame) -> DataFrame:

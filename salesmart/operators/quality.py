@@ -1,8 +1,7 @@
-"""Declared data checks.
+"""Declared data checks, one by one or as a suite.
 
-A check never moves more than it has to: all NULL counts of a table come from one scan
-without a shuffle of rows, all its uniqueness checks from one scan and one shuffle of
-values that were counted map-side first, and reference checks join distinct keys only.
+The suite scans each table once, whatever is checked on it, and shuffles only the values of
+its key columns, counted map-side first.
 """
 
 import datetime as dt
@@ -68,41 +67,28 @@ def _declared() -> tuple[Check, ...]:
 DECLARED = _declared()
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, value, occurrences)`` of every non-NULL value, as text."""
+def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column_name, value, occurrences)`` of values that occur more than once.
+
+    Values are given as text; NULLs are left out.
+    """
     cells = [
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in columns
     ]
     return (
-        df.select(F.explode(F.array(*cells)).alias("cell"))
-        .select("cell.*")
+        df.select(F.inline(F.array(*cells)))
         .where("value is not null")
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("occurrences"))
-    )
-
-
-def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Values of each column that occur more than once. NULLs are left out."""
-    return value_counts(df, columns).where("occurrences > 1")
-
-
-def _as_rows(counts: DataFrame) -> DataFrame:
-    return counts.unpivot([], counts.columns, "column_name", "failures")
-
-
-def duplicate_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, failures)``: number of values ``check_unique`` finds per column."""
-    repeated = check_unique(df, columns)
-    return _as_rows(
-        repeated.agg(*[F.count_if(F.col("column_name") == c).alias(c) for c in columns])
+        .where("occurrences > 1")
     )
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, failures)``: number of NULLs per column."""
-    return _as_rows(df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]))
+    """``(column_name, failures)``: number of NULLs per column, in one scan."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return counts.unpivot([], list(columns), "column_name", "failures")
 
 
 def check_relationship(
@@ -122,39 +108,82 @@ def check_relationship(
     return values.join(keys, "value", "left_anti")
 
 
-def _labelled(rows: DataFrame, kind: str, table: str) -> DataFrame:
-    return rows.select(
-        F.concat(F.lit(f"{kind}_{table}_"), "column_name").alias("check_name"),
-        F.lit(kind).alias("kind"),
-        F.lit(table).alias("table_name"),
-        "column_name",
-        F.col("failures").cast("long").alias("failures"),
+def _value_counts(df: DataFrame, checks: Sequence[Check], columns: Sequence[str]) -> DataFrame:
+    """``(place, value, occurrences)`` over the checked columns, by their place in the list.
+
+    Every value of the columns to compare; of columns that just must not be NULL, the
+    NULLs alone.
+    """
+    compared = {c.column for c in checks if c.kind != "not_null"}
+    cells = []
+    for place, name in enumerate(columns):
+        cell = f"named_struct('place', {place}, 'value', CAST({name} AS STRING))"
+        cells.append(cell if name in compared else f"IF({name} IS NULL, {cell}, NULL)")
+    return (
+        df.selectExpr(f"inline(array({', '.join(cells)}))")
+        .where("place IS NOT NULL")
+        .groupBy("place", "value")
+        .agg(F.count(F.lit(1)).alias("occurrences"))
     )
 
 
-def run_suite(tables: Mapping[str, DataFrame], checks: Iterable[Check] = DECLARED) -> DataFrame:
-    """``(check_name, kind, table_name, column_name, failures, passed)`` for every check.
+def _parent_keys(
+    tables: Mapping[str, DataFrame], checks: Sequence[Check], columns: Sequence[str]
+) -> DataFrame | None:
+    """Distinct ``(place, value)`` of the keys the referring columns may hold."""
+    keys = [
+        tables[c.parent].selectExpr(
+            f"{columns.index(c.column)} AS place", f"CAST({c.parent_key} AS STRING) AS value"
+        )
+        for c in checks if c.kind == "relationship"
+    ]
+    return reduce(DataFrame.unionByName, keys).distinct() if keys else None
 
-    ``tables`` should be written tables (``write_all``): each is scanned once per kind of
-    check and once more per reference.
-    """
+
+def table_failures(
+    tables: Mapping[str, DataFrame], table: str, checks: Sequence[Check]
+) -> DataFrame:
+    """``(check_name, failures)`` for checks of one table, from a single scan of it."""
+    columns = list(dict.fromkeys(c.column for c in checks))
+    counts = _value_counts(tables[table], checks, columns)
+    known = _parent_keys(tables, checks, columns)
+    if known is None:
+        counts = counts.withColumn("known", F.lit(None).cast("boolean"))
+    else:
+        # Values are single by now: one held by most of the table is joined once.
+        known = known.withColumn("known", F.lit(True))
+        counts = counts.join(known, ["place", "value"], "left")
+
+    wrong = {
+        "unique": "IF(occurrences > 1 AND value IS NOT NULL, 1, 0)",
+        "not_null": "IF(value IS NULL, occurrences, 0)",
+        "relationship": "IF(known IS NULL AND value IS NOT NULL, occurrences, 0)",
+    }
+    totals = counts.agg(*[
+        F.expr(
+            f"coalesce(sum(IF(place = {columns.index(c.column)}, {wrong[c.kind]}, 0)), 0)"
+        ).alias(c.name)
+        for c in checks
+    ])
+    return totals.unpivot([], totals.columns, "check_name", "failures")
+
+
+def run_suite(tables: Mapping[str, DataFrame], checks: Iterable[Check] = DECLARED) -> DataFrame:
+    """``(check_name, kind, table_name, column_name, failures, passed)`` for every check."""
     checks = list(checks)
-    parts = []
-    for table in dict.fromkeys(c.table for c in checks):
-        mine = [c for c in checks if c.table == table]
-        for kind, count in (("unique", duplicate_values), ("not_null", check_not_null)):
-            columns = [c.column for c in mine if c.kind == kind]
-            if columns:
-                parts.append(_labelled(count(tables[table], columns), kind, table))
-        for c in mine:
-            if c.kind == "relationship":
-                orphans = check_relationship(
-                    tables[table], c.column, tables[c.parent], c.parent_key
-                )
-                total = orphans.agg(F.coalesce(F.sum("failures"), F.lit(0)).alias("failures"))
-                named = total.withColumn("column_name", F.lit(c.column))
-                parts.append(_labelled(named, c.kind, table))
-    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
+    by_table = {t: [c for c in checks if c.table == t] for t in dict.fromkeys(
+        c.table for c in checks)}
+    failures = reduce(
+        DataFrame.unionByName, [table_failures(tables, t, cs) for t, cs in by_table.items()]
+    )
+    about = failures.sparkSession.createDataFrame(
+        [(c.name, c.kind, c.table, c.column) for c in checks],
+        "check_name string, kind string, table_name string, column_name string",
+    )
+    # One row per declared check on either side.
+    return failures.join(F.broadcast(about), "check_name").select(
+        *about.columns, "failures", (F.col("failures") == 0).alias("passed")
+    )
 
 
 def failing_rows(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.audit import stamped
 from salesmart.functions.keys import surrogate_key
-from salesmart.functions.money import AMOUNT, PERCENT, cents_percent, to_cents
+from salesmart.functions.money import AMOUNT, PERCENT, PRICE, cents_percent, to_cents
 from salesmart.operators.calendar import FALLBACK_DAY
 from salesmart.operators.joins import lookup_join
-from salesmart.schemas import MONEY
 
 
 def fact_orders(
@@ -51,7 +50,7 @@ def fact_orders(
     joined = lookup_join(joined, days, "order_date")
 
     gross = F.col("quantity") * F.col("unit_price")
-    cost = F.col("quantity") * F.coalesce("cost_price", F.lit(0).cast(MONEY))
+    cost = F.col("quantity") * F.coalesce("cost_price", F.lit(0).cast(PRICE))
     measured = joined.select(
         surrogate_key("order_id", "product_id").alias("order_key"),
         F.when(F.col("known_customer"), surrogate_key("customer_id")).alias("customer_key"),

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.keys import surrogate_key
-from salesmart.functions.money import percent
-from salesmart.schemas import MONEY
+from salesmart.functions.money import PRICE, percent
 
 # Order states that count as fulfilled.
 FULFILLED = ("COMPLETED", "SHIPPED", "DELIVERED")
@@ -70,7 +69,7 @@ def stg_products(products: DataFrame, safe: bool = False) -> DataFrame:
 
 def stg_orders(orders: DataFrame) -> DataFrame:
     """Fulfilled orders, keyed by order and product, dated by day."""
-    none = F.lit(0).cast(MONEY)
+    none = F.lit(0).cast(PRICE)
     return orders.where(F.col("order_status").isin(*FULFILLED)).select(
         surrogate_key("order_id", "product_id").alias("order_key"),
         "order_id",

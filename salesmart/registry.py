@@ -56,8 +56,11 @@ def query(build: Query) -> Query:
     return build
 
 
+OPTIONS = RunOptions(as_of=AS_OF, run_ts=AS_OF_TIME)
+
+
 def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return Warehouse(adapt(spark, folder), RunOptions(as_of=AS_OF, run_ts=AS_OF_TIME))
+    return Warehouse(adapt(spark, folder), OPTIONS)
 
 
 def _model(name: str) -> None:

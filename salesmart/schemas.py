@@ -4,6 +4,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesmart.functions.money import PRICE
+
 MONEY = T.DecimalType(10, 2)
 
 CUSTOMERS = T.StructType([
@@ -90,8 +92,8 @@ def column_defaults(table: str) -> dict[str, Column]:
         "orders": {
             "order_date": now,
             "quantity": F.lit(1),
-            "discount_amount": F.lit(0).cast(MONEY),
-            "tax_amount": F.lit(0).cast(MONEY),
+            "discount_amount": F.lit(0).cast(PRICE),
+            "tax_amount": F.lit(0).cast(PRICE),
             "order_status": F.lit("PENDING"),
             "payment_method": F.lit("CREDIT_CARD"),
             **stamps,

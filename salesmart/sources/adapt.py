@@ -7,12 +7,10 @@ discounts and taxes are missing.
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.functions.money import from_cents, half_up_div
 from salesmart.operators.landing import conform
-from salesmart.schemas import CUSTOMERS, MONEY, ORDERS, PRODUCTS
+from salesmart.schemas import CUSTOMERS, ORDERS, PRODUCTS
 from salesmart.sources.readers import read_parquet
 
 # Declared, so that opening a table does not start a job to look at its files.
@@ -31,19 +29,31 @@ TABLES = {
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
 
-FIXED_STAMP = "2001-01-01 00:00:00"
+STAMP = "TIMESTAMP_NTZ '2001-01-01 00:00:00'"
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return read_parquet(spark, folder, table, TABLES[table])
 
 
-def _stamp() -> Column:
-    return F.lit(FIXED_STAMP).cast("timestamp_ntz")
+def _hundredths(column: str) -> str:
+    """A double of two decimals as a whole number of hundredths."""
+    return f"CAST(rint({column} * 100) AS BIGINT)"
 
 
-def _padded(c: Column | str) -> Column:
-    return F.concat(F.lit(" "), c, F.lit(" "))
+def _amount(cents: str) -> str:
+    return f"CAST(CAST({cents} AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(10,2))"
+
+
+def _share(of: str, rate: str, scale: int) -> str:
+    """``of * rate / scale``, half up, for whole numbers not below zero."""
+    return f"({of} * {rate} * 2 + {scale}) div {2 * scale}"
+
+
+# Retail price times 0.1, 1 or 2 by size.
+PRICE_CENTS = _share(
+    _hundredths("p_retailprice"), "element_at(array(1, 10, 20), p_size % 3 + 1)", 10
+)
 
 
 def adapted_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,126 +63,91 @@ def adapted_customers(spark: SparkSession, folder: str) -> DataFrame:
     places = nation.join(
         region, nation.n_regionkey == region.r_regionkey, "left"
     ).dropDuplicates(["n_nationkey"])
-    key = F.col("c_custkey")
-    rows = (
-        read_table(spark, folder, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            key.alias("customer_id"),
-            F.lit(" customer ").alias("first_name"),
-            F.concat(F.lit(" n"), F.expr("substring(c_name, 10)"), F.lit(" ")).alias("last_name"),
-            F.concat(
-                F.lit(" "), F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@Example.COM ")
-            ).alias("email"),
-            key.alias("phone"),
-            key.alias("address_line_1"),
-            F.lit(None).alias("address_line_2"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            F.col("n_name").alias("country"),
-            key.alias("postal_code"),
-            F.date_add(
-                F.lit("1995-01-01").cast("date"), ((key * 37) % 2400).cast("int")
-            ).alias("registration_date"),
-            F.when(key % 7 != 0, F.col("c_mktsegment")).alias("customer_segment"),
-            (F.col("c_acctbal") >= 0).alias("is_active"),
-            _stamp().alias("created_at"),
-            _stamp().alias("updated_at"),
-        )
+    customers = read_table(spark, folder, "customer")
+    rows = customers.join(
+        places, customers.c_nationkey == places.n_nationkey, "left"
+    ).selectExpr(
+        "c_custkey AS customer_id",
+        "' customer ' AS first_name",
+        "concat(' n', substring(c_name, 10), ' ') AS last_name",
+        "concat(' ', replace(c_name, '#', '.'), '@Example.COM ') AS email",
+        "c_custkey AS phone",
+        "c_custkey AS address_line_1",
+        "NULL AS address_line_2",
+        "n_name AS city",
+        "r_name AS state",
+        "n_name AS country",
+        "c_custkey AS postal_code",
+        "date_add(DATE '1995-01-01', CAST(c_custkey * 37 % 2400 AS INT)) AS registration_date",
+        "IF(c_custkey % 7 = 0, NULL, c_mktsegment) AS customer_segment",
+        "c_acctbal >= 0 AS is_active",
+        f"{STAMP} AS created_at",
+        f"{STAMP} AS updated_at",
     )
     return conform(rows, CUSTOMERS)
 
 
-def _hundredths(c: str) -> Column:
-    """A double with two decimals as a whole number of hundredths."""
-    return F.rint(F.col(c) * 100).cast("bigint")
-
-
-def _price_cents() -> Column:
-    """Retail price times 0.1, 1 or 2 by size, half up."""
-    tenths = F.expr("element_at(array(1, 10, 20), p_size % 3 + 1)")
-    return half_up_div(_hundredths("p_retailprice") * tenths, F.lit(10))
-
-
 def adapted_products(spark: SparkSession, folder: str) -> DataFrame:
-    price = F.col("price_cents")
-    priced = read_table(spark, folder, "part").withColumns({
-        "price_cents": _price_cents(),
-        "cost_tenths": F.expr("element_at(array(4, 6, 7, 8), p_size % 4 + 1)"),
-    })
-    rows = priced.select(
-        F.col("p_partkey").alias("product_id"),
-        _padded("p_name").alias("product_name"),
-        _padded(F.lower("p_type")).alias("category"),
-        F.col("p_size").alias("subcategory"),
-        _padded(F.lower("p_brand")).alias("brand"),
-        F.concat(F.lit(" Supplier"), F.col("p_partkey") % 4).alias("supplier"),
-        from_cents(price, MONEY).alias("unit_price"),
-        from_cents(half_up_div(price * F.col("cost_tenths"), F.lit(10)), MONEY).alias("cost_price"),
-        F.col("p_name").alias("description"),
-        (F.col("p_size") % 10 != 0).alias("is_active"),
-        _stamp().alias("created_at"),
-        _stamp().alias("updated_at"),
+    cost_tenths = "element_at(array(4, 6, 7, 8), p_size % 4 + 1)"
+    rows = read_table(spark, folder, "part").selectExpr(
+        "*", f"{PRICE_CENTS} AS cents"
+    ).selectExpr(
+        "p_partkey AS product_id",
+        "concat(' ', p_name, ' ') AS product_name",
+        "concat(' ', lower(p_type), ' ') AS category",
+        "p_size AS subcategory",
+        "concat(' ', lower(p_brand), ' ') AS brand",
+        "concat(' Supplier', p_partkey % 4) AS supplier",
+        f"{_amount('cents')} AS unit_price",
+        f"{_amount(_share('cents', cost_tenths, 10))} AS cost_price",
+        "p_name AS description",
+        "p_size % 10 <> 0 AS is_active",
+        f"{STAMP} AS created_at",
+        f"{STAMP} AS updated_at",
     )
     return conform(rows, PRODUCTS)
 
 
-def _status() -> Column:
-    state, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return (
-        F.when(state == "F", "DELIVERED")
-        .when((state == "O") & (priority == "1-URGENT"), "COMPLETED")
-        .when(state == "O", "SHIPPED")
-        .when((state == "P") & (priority == "5-LOW"), "CANCELLED")
-        .when(state == "P", "PENDING")
-    )
-
-
-def _payment() -> Column:
-    line = F.col("l_linenumber") % 4
-    return (
-        F.when(line == 0, "CREDIT_CARD").when(line == 1, "DEBIT_CARD")
-        .when(line == 2, "PAYPAL").otherwise("BANK_TRANSFER")
-    )
+ORDER_STATUS = """CASE
+    WHEN o_orderstatus = 'F' THEN 'DELIVERED'
+    WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN 'COMPLETED'
+    WHEN o_orderstatus = 'O' THEN 'SHIPPED'
+    WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'CANCELLED'
+    WHEN o_orderstatus = 'P' THEN 'PENDING' END"""
+PAYMENT_METHOD = """element_at(
+    array('CREDIT_CARD', 'DEBIT_CARD', 'PAYPAL', 'BANK_TRANSFER'), l_linenumber % 4 + 1)"""
 
 
 def adapted_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One order per line item. Order ids therefore repeat, unlike in a real source."""
-    lines = read_table(spark, folder, "lineitem").withColumns({
-        "units": F.col("l_quantity").cast("int"),
-        "discount_rate": _hundredths("l_discount"),
-        "tax_rate": _hundredths("l_tax"),
-    })
+    lines = read_table(spark, folder, "lineitem")
     orders = read_table(spark, folder, "orders")
-    prices = read_table(spark, folder, "part").select(
-        "p_partkey", _price_cents().alias("cents")
-    ).withColumn("unit_price", from_cents(F.col("cents"), MONEY))
-    gross, discount, tax = F.col("gross"), F.col("discount"), F.col("tax")
-    nothing = F.lit(0).cast("bigint")
-    rows = (
-        lines.join(prices, lines.l_partkey == prices.p_partkey)
-        .join(orders, lines.l_orderkey == orders.o_orderkey)
-        .withColumn("gross", F.col("units") * F.col("cents"))
-        .withColumns({
-            "discount": half_up_div(gross * F.col("discount_rate"), F.lit(100)),
-            "tax": half_up_div(gross * F.col("tax_rate"), F.lit(100)),
-        })
-        .select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.when(F.col("o_orderkey") % 97 != 0, F.col("o_orderdate")).alias("order_date"),
-            F.col("units").alias("quantity"),
-            "unit_price",
-            from_cents(F.nullif(discount, nothing), MONEY).alias("discount_amount"),
-            from_cents(F.nullif(tax, nothing), MONEY).alias("tax_amount"),
-            from_cents(gross - discount + tax, MONEY).alias("total_amount"),
-            _status().alias("order_status"),
-            _payment().alias("payment_method"),
-            F.col("o_custkey").alias("shipping_address"),
-            F.col("o_orderdate").alias("created_at"),
-            F.col("o_orderdate").alias("updated_at"),
-        )
+    prices = read_table(spark, folder, "part").selectExpr(
+        "p_partkey", f"{PRICE_CENTS} AS cents"
+    ).selectExpr("*", f"{_amount('cents')} AS unit_price")
+    lined = lines.join(prices, lines.l_partkey == prices.p_partkey).join(
+        orders, lines.l_orderkey == orders.o_orderkey
+    )
+    priced = lined.selectExpr("*", "CAST(l_quantity AS INT) * cents AS gross").selectExpr(
+        "*",
+        f"{_share('gross', _hundredths('l_discount'), 100)} AS discount",
+        f"{_share('gross', _hundredths('l_tax'), 100)} AS tax",
+    )
+    rows = priced.selectExpr(
+        "l_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "l_partkey AS product_id",
+        "IF(o_orderkey % 97 = 0, NULL, o_orderdate) AS order_date",
+        "l_quantity AS quantity",
+        "unit_price",
+        f"{_amount('nullif(discount, 0)')} AS discount_amount",
+        f"{_amount('nullif(tax, 0)')} AS tax_amount",
+        f"{_amount('(gross - discount + tax)')} AS total_amount",
+        f"{ORDER_STATUS} AS order_status",
+        f"{PAYMENT_METHOD} AS payment_method",
+        "o_custkey AS shipping_address",
+        "o_orderdate AS created_at",
+        "o_orderdate AS updated_at",
     )
     return conform(rows, ORDERS)
 

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.audit import business_date
 from salesmart.functions.draws import draw_below, pick
+from salesmart.functions.money import PRICE
 from salesmart.operators.landing import conform, fill_defaults, truncate_to
 from salesmart.schemas import (
-    CUSTOMERS, MONEY, ORDERS, PRODUCTS, WIDTHS, column_defaults,
+    CUSTOMERS, ORDERS, PRODUCTS, WIDTHS, column_defaults,
 )
 
 # The domains of the generated columns.
@@ -102,7 +103,7 @@ def synth_products(ids: DataFrame, seed: int) -> DataFrame:
     cost = (
         (draw_below(key, seed, 2, MAX_COST_CENTS - MIN_COST_CENTS + 1) + MIN_COST_CENTS)
         .cast("decimal(8,0)") * F.lit("0.01").cast("decimal(2,2)")
-    ).cast(MONEY)
+    ).cast(PRICE)
     markup = (
         (draw_below(key, seed, 3, MAX_MARKUP_MILLI - MIN_MARKUP_MILLI + 1) + MIN_MARKUP_MILLI)
         .cast("decimal(4,0)") * F.lit("0.001").cast("decimal(3,3)")
@@ -120,7 +121,7 @@ def synth_products(ids: DataFrame, seed: int) -> DataFrame:
         cost.alias("cost_price"),
         F.concat(F.lit("A "), F.lower(name), F.lit(" for every day.")).alias("description"),
         markup.alias("markup"),
-    ).withColumn("unit_price", (F.col("cost_price") * F.col("markup")).cast(MONEY))
+    ).withColumn("unit_price", (F.col("cost_price") * F.col("markup")).cast(PRICE))
     return _finished(rows, "products", PRODUCTS)
 
 
@@ -157,14 +158,13 @@ def synth_orders(
 
     Dates fall within the two years before ``as_of``; total = gross - discount + tax.
     """
-    who = dense_index(customers.select("customer_id"), "customer_id")
-    what = dense_index(products.select("product_id", "unit_price"), "product_id")
-    people, goods = who.count(), what.count()
+    people, goods = customers.count(), products.count()
     if not people or not goods:
         raise ValueError("orders need customers and products")
+    who = dense_index(customers.select("customer_id"), "customer_id")
+    what = dense_index(products.select("product_id", "unit_price"), "product_id")
 
     key = F.col("order_id")
-    money_zero_places = "decimal(10,0)"
     drawn = ids.select(
         "order_id",
         draw_below(key, seed, 0, people).alias("customer_place"),
@@ -177,14 +177,14 @@ def synth_orders(
     seconds_back = draw_below(key, seed, 3, HISTORY_DAYS * 86_400)
     gross = F.col("unit_price") * F.col("quantity").cast("decimal(1,0)")
     rate = (
-        draw_below(key, seed, 4, MAX_DISCOUNT_BASIS_POINTS + 1).cast(money_zero_places)
+        draw_below(key, seed, 4, MAX_DISCOUNT_BASIS_POINTS + 1).cast("decimal(10,0)")
         * F.lit("0.0001").cast("decimal(4,4)")
     ).cast("decimal(5,4)")
     rows = (
         named.withColumn(
             "quantity", (draw_below(key, seed, 2, MAX_QUANTITY) + 1).cast("int")
         )
-        .withColumn("gross", gross.cast(MONEY))
+        .withColumn("gross", gross.cast(PRICE))
         .select(
             "order_id",
             "customer_id",
@@ -192,8 +192,8 @@ def synth_orders(
             F.timestamp_add("SECOND", -seconds_back, start_of_day).alias("order_date"),
             "quantity",
             "unit_price",
-            (F.col("gross") * rate).cast(MONEY).alias("discount_amount"),
-            (F.col("gross") * F.lit(TAX_RATE).cast("decimal(2,2)")).cast(MONEY).alias(
+            (F.col("gross") * rate).cast(PRICE).alias("discount_amount"),
+            (F.col("gross") * F.lit(TAX_RATE).cast("decimal(2,2)")).cast(PRICE).alias(
                 "tax_amount"
             ),
             "gross",
