@@ -8,33 +8,60 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from salesmart.functions.audit import stamped
-from salesmart.functions.money import AMOUNT, average, count_percent, percent
+from salesmart.functions.money import (
+    AMOUNT, average, count_percent, from_cents, percent, to_cents,
+)
 
 
-def period_totals(fact: DataFrame, dim_dates: DataFrame, period: Sequence[str]) -> DataFrame:
+# A kind of calendar period: the column numbering it within the year, and its name.
+MONTHS = ("month", "month_name")
+QUARTERS = ("quarter", "quarter_name")
+
+
+def period_totals(
+    fact: DataFrame, dim_dates: DataFrame, kind: tuple[str, str] = MONTHS
+) -> DataFrame:
     """Orders, customers, revenue, profit and units per calendar period.
 
     Both exact distinct counts and the sums come from one pass: rows are first reduced to
     distinct (period, order) and (period, customer) pairs, hashed over all of them, so a
-    period with most of the rows is not one task's work. Orders count once each, however
-    many rows they have; unknown customers are not counted; the average is per row.
+    period with most of the rows is not one task's work. These pairs are what is shuffled,
+    so they are kept narrow: the period is one number, named afterwards, and amounts are
+    summed in cents.
+
+    Orders count once each, however many rows they have; unknown customers are not
+    counted; the average is per row.
     """
-    days = dim_dates.select("date_key", *period)
+    period = ["year", *kind]
+    number = (F.col("year") * 100 + F.col(kind[0])).alias("period")
+    days = dim_dates.select("date_key", number)
+    names = dim_dates.select(number, *period).distinct()
     rows = fact.select(
-        "date_key", "order_id", "customer_key", "total_amount", "profit_amount", "quantity"
+        "date_key",
+        "order_id",
+        "customer_key",
+        to_cents(F.col("total_amount")).alias("revenue"),
+        to_cents(F.col("profit_amount")).alias("profit"),
+        "quantity",
     )
-    totals = rows.join(days, "date_key").groupBy(*period).agg(
+    totals = rows.join(days, "date_key").groupBy("period").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_key").alias("unique_customers"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.sum("profit_amount").alias("total_profit"),
-        F.count("total_amount").alias("priced_rows"),
+        F.sum("revenue").alias("revenue"),
+        F.sum("profit").alias("profit"),
+        F.count("revenue").alias("priced_rows"),
         F.sum("quantity").alias("total_quantity_sold"),
     )
-    money = {c: F.col(c).cast(AMOUNT) for c in ("total_revenue", "total_profit")}
-    return totals.withColumns(
-        {**money, "avg_order_value": average(F.col("total_revenue"), F.col("priced_rows"))}
-    ).drop("priced_rows")
+    revenue = from_cents(F.col("revenue"))
+    return totals.join(names, "period").select(
+        *period,
+        "total_orders",
+        "unique_customers",
+        revenue.alias("total_revenue"),
+        from_cents(F.col("profit")).alias("total_profit"),
+        average(revenue, F.col("priced_rows")).alias("avg_order_value"),
+        "total_quantity_sold",
+    )
 
 
 def with_previous(totals: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -54,11 +81,13 @@ def _growth(value: str, previous: str, ratio) -> Column:
     return F.when(before > 0, ratio(now - before, before))
 
 
-def _report(totals: DataFrame, period: Sequence[str], order: Sequence[str], safe: bool):
+def _report(fact: DataFrame, dim_dates: DataFrame, kind: tuple[str, str], safe: bool):
+    order = ["year", kind[0]]
     return (
-        with_previous(totals, order)
+        with_previous(period_totals(fact, dim_dates, kind), order)
         .select(
-            *period,
+            *order,
+            kind[1],
             "total_orders",
             "unique_customers",
             "total_revenue",
@@ -89,16 +118,12 @@ def revenue_analysis(
     """
     if exclude_fallback:
         fact = fact.where("missing_date_flag = 0")
-    period = ["year", "month", "month_name"]
-    totals = period_totals(fact, dim_dates, period)
-    return stamped(_report(totals, period, ["year", "month"], safe), run_ts)
+    return stamped(_report(fact, dim_dates, MONTHS, safe), run_ts)
 
 
 def quarterly_revenue(fact: DataFrame, dim_dates: DataFrame, safe: bool = False) -> DataFrame:
     """The measures of ``revenue_analysis`` by quarter."""
-    period = ["year", "quarter", "quarter_name"]
-    totals = period_totals(fact, dim_dates, period)
-    return _report(totals, period, ["year", "quarter"], safe)
+    return _report(fact, dim_dates, QUARTERS, safe)
 
 
 def order_volume(mart: DataFrame) -> DataFrame:

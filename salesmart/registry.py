@@ -95,7 +95,7 @@ def _dim_dates(spark, folder):
 
 def _monthly(spark, folder) -> DataFrame:
     w = _warehouse(spark, folder)
-    return finance.period_totals(w.fact_orders, w.dim_dates, ["year", "month"])
+    return finance.period_totals(w.fact_orders, w.dim_dates)
 
 
 @query
