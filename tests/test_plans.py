@@ -14,6 +14,7 @@ from salesmart.plans.dimensions import dim_dates
 from salesmart.operators.calendar import date_spine
 from salesmart.plans.facts import fact_orders
 from salesmart.plans.finance import customer_value, margin_by_tier
+from salesmart.session import shuffle_partitions
 
 OPTIONS = RunOptions(as_of=fx.AS_OF, run_ts=fx.RUN)
 
@@ -204,3 +205,8 @@ def test_calendar_is_one_small_task(spark):
     keys = calendar.select("full_date", "date_key")._jdf.queryExecution().optimizedPlan()
     assert int(str(keys.stats().sizeInBytes())) < 10 * 1024 * 1024
     assert date_spine(spark, dt.date(1000, 1, 1), dt.date(9000, 1, 1)).rdd.getNumPartitions() == 3
+
+
+def test_partitions_grow_with_the_shuffle():
+    assert shuffle_partitions(0) == shuffle_partitions(10**9) == 200
+    assert shuffle_partitions(10 * 10**12) == 18_627
