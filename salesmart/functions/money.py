@@ -42,8 +42,9 @@ def cents_percent(part: Column, whole: Column) -> Column:
 def percent(part: Column, whole: Column, safe: bool = False) -> Column:
     """``part / whole * 100`` to two places, half up, for amounts up to 10**16.
 
-    A zero ``whole`` fails the query; with ``safe`` it gives NULL. Both sides are narrowed first: Spark gives decimal(18,2) / decimal(18,2) twenty
-    decimal places, whereas wider operands (sums) would keep as few as six.
+    A zero ``whole`` fails the query; with ``safe`` it gives NULL. Both sides are narrowed
+    first: Spark gives decimal(18,2) / decimal(18,2) twenty decimal places, whereas wider
+    operands (sums) would keep as few as six.
     """
     return _decimal_percent(part.cast(AMOUNT), whole.cast(AMOUNT), safe)
 

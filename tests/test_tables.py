@@ -1,6 +1,5 @@
 """Landing operators and table writers, by reading back what they wrote."""
 
-import datetime as dt
 import os
 
 import pytest
@@ -164,7 +163,8 @@ def test_merge_rewrites_touched_ranges_only(spark):
     tables.create_ranged(rows, "r1.t", "order_id", 10)
     before = ranged_files(spark, "r1.t")
     changes = spark.createDataFrame(
-        [(25, 1, "new"), (25, 2, "added"), (31, 1, "added")], "order_id long, product_id int, v string"
+        [(25, 1, "new"), (25, 2, "added"), (31, 1, "added")],
+        "order_id long, product_id int, v string",
     )
     merged = tables.merge_ranged(changes, "r1.t", ["order_id", "product_id"], "order_id", 10)
     got = {(r.order_id, r.product_id): r.v for r in merged.collect()}
