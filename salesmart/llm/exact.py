@@ -29,14 +29,13 @@ MESSAGES = (
 )
 
 
-def golomb(values: np.ndarray, universe_bits: int) -> tuple[int, bytes, bytes]:
+def golomb(values: np.ndarray) -> tuple[int, bytes, bytes]:
     """Rice code of sorted distinct values: parameter, unary quotients, binary remainders.
 
     Quotients and remainders stand in a stream each, so that both sides work on arrays.
     """
     gaps = np.diff(values, prepend=np.uint64(0)).astype(np.uint64)
-    mean = max(1.0, 2.0**universe_bits * 0.69 / max(len(values), 1))
-    bits = int(np.log2(mean))
+    bits = int(np.log2(max(1.0, float(values[-1]) / len(values) * 0.69)))
     quotients = (gaps >> np.uint64(bits)).astype(np.int64)
     ends = np.cumsum(quotients + 1) - 1
     unary = np.zeros(int(ends[-1]) + 1 if len(ends) else 0, np.uint8)
@@ -81,7 +80,8 @@ def _messages(owners: int, bits: int, chunk_documents: int):
         for owner in np.unique(owner_of):
             first, last = np.searchsorted(owner_of, [owner, owner + np.uint64(1)])
             begin, end = np.searchsorted(places, [first, last])
-            k, unary, low = golomb(distinct[first:last], bits)
+            least = np.uint64(-(-(int(owner) << 32) // owners) << (bits - 32))
+            k, unary, low = golomb(distinct[first:last] - least)
             yield pd.DataFrame({
                 "chunk": [chunk], "owner": [int(owner)], "count": [int(last - first)], "bits": [k],
                 "gaps": [unary], "low": [low], "repeated": [_bitmap(counts[first:last] > 1)],

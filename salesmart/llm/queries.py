@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import exact, planes
+from salesmart.llm import exact, lines, packing, planes
 from salesmart.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,57 @@ WINDOW g AS (PARTITION BY coalesce(text, ''))
 def op10_token_files(spark, folder):
     coding = planes.Coding(public_tokenizers.path("byte_bpe_50k.json"))
     return planes.round_trip(table(spark, folder, "documents"), coding)
+
+
+@query
+def op4_packing(spark, folder):
+    windows = packing.Windows(public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, windows, with_ids=False).drop("piece_id")
+
+
+@query
+def op1_line_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.delete_repeated_runs(docs).drop("deleted_runs")
+
+
+# Runs as texts: of each line the shortest run of 20 characters that starts, or ends, there.
+LINES_SQL = """
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {documents}
+), line AS (
+    SELECT doc_id, ls, unnest(range(len(ls))) AS pos, unnest(ls) AS l FROM split
+), place AS (
+    SELECT *, sum(length(l) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS after,
+           sum(length(l) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - length(l) - 1 AS before,
+           sum(length(l) + 1) OVER (PARTITION BY doc_id) AS total
+    FROM line
+), reach AS (
+    SELECT doc_id, ls, pos,
+           CASE WHEN total - before >= 20 THEN max(pos) OVER (PARTITION BY doc_id ORDER BY before
+                RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING) END AS until,
+           CASE WHEN after >= 20 THEN min(pos) OVER (PARTITION BY doc_id ORDER BY after
+                RANGE BETWEEN 19 PRECEDING AND CURRENT ROW) END AS since
+    FROM place
+), run AS (
+    SELECT doc_id, 0 AS kind, pos AS s, until AS e, array_to_string(ls[pos + 1:until + 1], chr(10)) AS t
+    FROM reach WHERE until IS NOT NULL
+    UNION ALL
+    SELECT doc_id, 1, since, pos, array_to_string(ls[since + 1:pos + 1], chr(10))
+    FROM reach WHERE since IS NOT NULL
+), later AS (
+    SELECT doc_id, s, e, row_number() OVER (PARTITION BY kind, t ORDER BY doc_id, s) AS nth FROM run
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS pos FROM later WHERE nth > 1
+), lined AS (
+    SELECT doc_id, string_agg(l, chr(10) ORDER BY pos) FILTER (g.pos IS NULL) AS text,
+           count(*) AS n_lines, count(g.pos) AS n_deleted
+    FROM line LEFT JOIN gone AS g USING (doc_id, pos) GROUP BY doc_id
+)
+"""
+ORACLE_SQL["op1_line_dedup"] = LINES_SQL.format(documents="documents") + """
+SELECT doc_id, CASE WHEN n_deleted = 0 THEN d.text ELSE coalesce(lined.text, '') END AS text,
+       n_lines::INTEGER AS n_lines, n_deleted::INTEGER AS n_deleted
+FROM documents AS d JOIN lined USING (doc_id)
+"""

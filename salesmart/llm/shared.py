@@ -125,3 +125,83 @@ def batches(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         size += len(text)
     if first < len(texts):
         yield first, len(texts)
+
+
+def byte_table(members: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(members)] = True
+    return table
+
+
+# A-Z to a-z on bytes; others, and all bytes of other letters, stay.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+WHITE = byte_table(b" \t\n\x0b\x0c\r")
+
+
+def _cut(text: bytes, limit: int) -> Iterator[bytes]:
+    """Pieces of a text of about ``limit`` bytes, cut at white space."""
+    at = 0
+    while len(text) - at > limit:
+        end = at + limit
+        while end < len(text) and not WHITE[text[end]]:
+            end += 1
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def word_hashes(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[np.ndarray]:
+    """For each text the 64-bit hashes of its words (runs without white space, A-Z as a-z).
+
+    Short texts share one pass over arrays, long ones take several, so that memory follows
+    the limit and eight bytes a word, not the longest text.
+    """
+    for first, last in batches(texts, limit):
+        if last - first == 1 and len(texts[first]) > limit:
+            parts = [next(word_hashes([p], 2 * limit + len(p))) for p in _cut(texts[first], limit)]
+            yield np.concatenate(parts)
+            continue
+        group = texts[first:last]
+        data = LOWER[np.frombuffer(b" ".join(group), np.uint8)]
+        begin, end = stretches(~WHITE[data])
+        hashes = Rolling(data).hashes(begin, end)
+        starts = np.cumsum([0, *[len(t) + 1 for t in group]])
+        bounds = np.searchsorted(begin, starts)
+        for i in range(len(group)):
+            yield hashes[bounds[i] : bounds[i + 1]]
+
+
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, component): connected nodes and the smallest node of their component.
+
+    Edges (a, b) are rewired towards smallest neighbours, alternately from each node's
+    larger and smaller side, until every node points at its smallest one. Each round is
+    an aggregation and a join, both of them fit for a node with most of the edges.
+    """
+    seen, state, number = None, edges.where("a <> b").distinct(), 0
+    while True:
+        state = scratch.write(state, f"edges{number}")
+        mark = state.agg(
+            F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")
+        ).first()
+        if mark == seen:
+            break
+        seen, number = mark, number + 1
+        both = state.select("a", "b").union(state.select("b", "a"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        least = least.select("a", F.least("a", "m").alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        down = large.where("a <> b").distinct()
+        down = down.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        small = down.join(least, "a")
+        state = (
+            small.select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .union(least.select("a", F.col("m").alias("b")))
+            .where("a <> b")
+            .distinct()
+        )
+    inner = state.groupBy("a").agg(F.min("b").alias("component"))
+    roots = inner.select(F.col("component").alias("node")).distinct()
+    return inner.withColumnRenamed("a", "node").union(roots.select("node", F.col("node")))
