@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import exact, lines, packing, planes
+from salesmart.llm import exact, lines, mixing, packing, planes, toxicity
 from salesmart.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,20 @@ SELECT doc_id, CASE WHEN n_deleted = 0 THEN d.text ELSE coalesce(lined.text, '')
        n_lines::INTEGER AS n_lines, n_deleted::INTEGER AS n_deleted
 FROM documents AS d JOIN lined USING (doc_id)
 """
+
+
+@query
+def op8_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.score_documents(docs, model).drop("passages")
+
+
+# Twice at most: scarce sources are read up to two times, the most frequent one once.
+MIXTURE = mixing.Target(repetitions=2.0)
+
+
+@query
+def op3_source_mixing(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, MIXTURE).drop("text")
