@@ -38,7 +38,14 @@ from salesmart.llm.shared import Scratch, components, mixed, plain_text, word_ha
 CLASSES = 64
 MOST_STRAYS = 64  # beyond it a region's shingle goes to the end of the order
 SPARE = 16  # pivots kept beyond one and a half of a document's windows
-SETS = "doc_id long, node long, n long, same binary, classes binary, pivots array<long>"
+SETS = (
+    "doc_id long, mark long, node long, n long, same binary, classes binary, pivots array<long>"
+)
+
+
+def mark() -> Column:
+    """A number by which a text is found again among those of one doc_id."""
+    return F.xxhash64(plain_text())
 
 
 @dataclass(frozen=True)
@@ -86,12 +93,12 @@ def _sets(similarity: Similarity):
         node = TaskContext.get().partitionId() << 36
         for batch in batches:
             rows = []
-            for key, hashes in zip(batch["doc_id"], word_hashes(_texts(batch))):
+            for key, own, hashes in zip(batch["doc_id"], batch["mark"], word_hashes(_texts(batch))):
                 values = shingles(hashes, similarity.words)
                 counts = np.bincount(values & np.uint64(CLASSES - 1), minlength=CLASSES)
                 spare = 3 * similarity.window(len(values)) // 2 + SPARE
                 rows.append((
-                    key, node, len(values), _same(values),
+                    key, own, node, len(values), _same(values),
                     np.minimum(counts, 65535).astype("<u2").tobytes(),
                     values[:spare].view(np.int64),
                 ))
@@ -152,7 +159,8 @@ class JaccardJoin:
         self.similarity = similarity
         self.scratch = Scratch(docs.sparkSession, "jaccard")
         self.texts = docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), plain_text().alias("text")
+            F.col("doc_id").cast("long").alias("doc_id"), mark().alias("mark"),
+            plain_text().alias("text"),
         )
         self._step = 0
         self._sets: DataFrame | None = None  # whole sets of the nodes compared so far
@@ -162,7 +170,7 @@ class JaccardJoin:
         return self.scratch.write(df, f"{self._step:03d}-{name}")
 
     def run(self) -> DataFrame:
-        """doc_id, n_shingles, component_id, and node, which is unique to a row."""
+        """doc_id, n_shingles, component_id; a component's own number; mark of the text."""
         sets = self.scratch.write(self.texts.mapInPandas(_sets(self.similarity), SETS), "sets")
         # Equal sets are one node from here on.
         same = self._write(
@@ -172,19 +180,19 @@ class JaccardJoin:
             "same",
         )
         self.reps = self._write(sets.join(same.select("node"), "node"), "representatives")
-        docs = self._write(sets.select("doc_id", "node", "n", "same"), "documents")
+        docs = self._write(sets.select("doc_id", "mark", "node", "n", "same"), "documents")
         self.scratch.drop("sets")
         found = components(self._links(), self.scratch)
         whole = same.join(found, "node", "left").select(
             "same", "least_doc", F.coalesce("component", "node").alias("component")
         )
         least = whole.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-        labels = whole.join(least, "component").select("same", "component_id")
+        labels = whole.join(least, "component").select("same", "component", "component_id")
         return docs.join(labels, "same", "left").select(
             "doc_id", F.col("n").alias("n_shingles"),
             F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
             .alias("component_id"),
-            "node",
+            F.coalesce("component", "node").alias("component"), "mark",
         )
 
     def _links(self) -> DataFrame:
@@ -353,21 +361,38 @@ def jaccard_components(docs: DataFrame, similarity: Similarity) -> DataFrame:
     Documents without words, empty or null texts have an empty set and are linked with
     nothing. Rows that repeat a doc_id are documents of their own; a null doc_id counts as
     larger than all, so component_id is null only where no other is linked. Further columns
-    are ignored; an empty table gives an empty result. ``node`` tells the rows apart.
+    are ignored; an empty table gives an empty result. ``component`` is a number of the
+    component that is never null, ``mark`` a hash of the text.
     """
     return JaccardJoin(docs, similarity).run()
 
 
 def one_of_each(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """The documents, one of each group of linked ones: the smallest doc_id stays.
+    """The documents, one of each group of linked ones.
 
-    Rows that repeat the doc_id of a group's representative stay together only if nothing
-    else tells them apart; one of them is kept. Rows with a null doc_id stay if no other
-    row of their group has one. Documents without words all stay.
+    The row of the smallest doc_id stays (a null one counts as larger than all); of rows
+    with that id the one with the smallest hash of its text, and of rows alike in both
+    one. Documents without words all stay. Columns stay as they are; ``_mark`` and
+    ``_times`` are reserved names.
     """
-    found = jaccard_components(docs, similarity).where(
-        (F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))
+    found = jaccard_components(docs, similarity)
+    place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "mark")
+    kept = found.where("n_shingles > 0").groupBy("component").agg(F.min(place).alias("p"))
+    kept = kept.select("p.doc_id", "p.mark").withColumn("alone", F.lit(True))
+    empty = found.where("n_shingles = 0").select("doc_id", "mark").distinct()
+    times = found.groupBy("doc_id", "mark").agg(F.count("*").alias("times"))
+
+    def same(other: DataFrame):
+        return times["doc_id"].eqNullSafe(other["doc_id"]) & (times["mark"] == other["mark"])
+
+    kept = times.join(kept, same(kept)).select(times["doc_id"], times["mark"], "times").union(
+        times.join(empty, same(empty)).select(
+            times["doc_id"], times["mark"], F.lit(1).cast("long").alias("times")
+        )
+    ).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_same"), F.col("times").alias("_times"))
+    rows = docs.withColumn("_mark", mark()).join(
+        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_same"))
     )
-    # Which text of a repeated doc_id stays is known by the set's size alone only if the
-    # sizes differ; a number within the doc_id settles it.
-    raise NotImplementedError
+    once = rows.where("_times = 1")
+    repeated = rows.where("_times > 1").dropDuplicates(["_id", "_mark"])
+    return once.union(repeated).select(*docs.columns)

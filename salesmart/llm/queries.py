@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import exact, lines, mixing, packing, planes, toxicity
+from salesmart.llm import exact, jaccard, lines, mixing, neighbours, packing, planes, toxicity
 from salesmart.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,16 @@ MIXTURE = mixing.Target(repetitions=2.0)
 def op3_source_mixing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, MIXTURE).drop("text")
+
+
+@query
+def op2_nearest(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), neighbours.Probing())
+
+
+@query
+def op9_jaccard_join(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = jaccard.jaccard_components(docs, jaccard.Similarity(words=4, percent=85))
+    return found.select("doc_id", "n_shingles", "component_id")
