@@ -20,7 +20,7 @@ BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 LOWER_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Characters that Python takes for white space and the tokenizers do not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-MOST_WORDS = 800_000  # words remembered in a worker; only a matter of speed
+MOST_WORDS = 200_000  # words remembered in a worker; only a matter of speed
 
 
 def _byte_letters() -> list[str]:
