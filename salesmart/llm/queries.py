@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import exact, jaccard, lines, mixing, neighbours, packing, planes, toxicity
+from salesmart.llm import exact, jaccard, lines, mixing, neighbours, packing, planes, quality, quotes, toxicity
 from salesmart.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,14 @@ def op9_jaccard_join(spark, folder):
     docs = table(spark, folder, "documents")
     found = jaccard.jaccard_components(docs, jaccard.Similarity(words=4, percent=85))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op5_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
+@query
+def op7_quotation_linking(spark, folder):
+    return quotes.link_replies(table(spark, folder, "conversations"))

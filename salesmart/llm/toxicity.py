@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -277,3 +278,21 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         key.alias("doc_id"), (fold(key) == 0).alias("held_out"), plain_text().alias("text")
     )
     return rows.mapInPandas(run, SCORES)
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents, all columns, without those that the model takes for toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
+
+    def run(record_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for records in record_batches:
+            for at in range(0, records.num_rows, 1000):
+                batch = records.slice(at, 1000)
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                table = np.array([e[:3] for e in document_evidence(texts, model)], float)
+                x = _features(*table.reshape(-1, 3).T, model)
+                score = sigmoid(model.weights[0] + x @ model.weights[1:])
+                yield batch.filter(pa.array(score < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
