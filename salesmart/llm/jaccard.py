@@ -342,7 +342,9 @@ class JaccardJoin:
     def _whole_sets(self, nodes: DataFrame) -> DataFrame:
         """(node, set), from the texts of a few documents."""
         wanted = nodes.select(F.col("doc_id").alias("id"), "node", "same")
-        rows = self.texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).select(
+        # Candidates grow with the documents: they are not for broadcasting.
+        same_id = F.col("doc_id").eqNullSafe(F.col("id"))
+        rows = self.texts.join(wanted.hint("merge"), same_id).select(
             "node", "same", "text"
         )
         sets = rows.mapInPandas(_whole(self.similarity), "node long, set binary")
@@ -391,7 +393,7 @@ def one_of_each(docs: DataFrame, similarity: Similarity) -> DataFrame:
         )
     ).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_same"), F.col("times").alias("_times"))
     rows = docs.withColumn("_mark", mark()).join(
-        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_same"))
+        kept.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_same"))
     )
     once = rows.where("_times = 1")
     repeated = rows.where("_times > 1").dropDuplicates(["_id", "_mark"])

@@ -202,7 +202,7 @@ def mix(docs: DataFrame, target: Target) -> DataFrame:
         {"_mix_source": "_mix_of", "_mix_block": "_mix_in"}
     )
     taken = in_blocks(marked.withColumn("tokens", F.col("_mix_tokens")).drop("_mix_tokens")).join(
-        chosen,
+        chosen.hint("merge"),  # grows with the documents: not for broadcasting
         F.col("_mix_source").eqNullSafe(F.col("_mix_of")) & (F.col("_mix_block") == F.col("_mix_in")),
     ).withColumn("_mix_take", F.explode("_mix_taken"))
     pass_number = F.col("_mix_take.pass_number")

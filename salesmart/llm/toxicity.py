@@ -209,7 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_text().alias("text"))
     rows = rows.withColumn("fold", fold(F.col("doc_id"))).where("fold <> 0")
-    rows = scratch.write(rows.join(known, "doc_id"), "labelled")
+    # Labels grow with the documents: they are not for broadcasting.
+    rows = scratch.write(rows.join(known.hint("merge"), "doc_id"), "labelled")
     counted = rows.where("fold <> 4").select("toxic", "text")
     sums = (
         counted.mapInPandas(_counts, TOKEN_COUNTS).groupBy("cell")
