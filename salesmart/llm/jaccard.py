@@ -16,9 +16,10 @@ Inside a region the pivots are documents:
 2. Members outside the pivot's component (strays) meet the members of other components,
    unless their distances to the pivot differ by more than the join's radius (triangle
    inequality).
-3. A region with many strays is a frequent passage, not a family of copies. Its shingle
-   moves to the end of the order, its documents move on to their next pivots, and the
-   step is repeated with those. Documents that have no other pivots left meet there.
+3. A region with many strays is a frequent passage, not a family of copies. Its shingle,
+   and what else its members have in common, moves to the end of the order; documents
+   move on to the pivots of their window in the new order, and the steps are repeated
+   there. Documents that have no other pivots left meet in the regions of these shingles.
 
 Every comparison starts with bounds (sizes, then counts of shingles in 64 classes, whose
 difference never exceeds that of the sets) and ends with the sets themselves.
@@ -199,50 +200,68 @@ class JaccardJoin:
         """Edges (a, b) whose components are those of all links."""
         window = self.similarity.window(F.col("n")).cast("int")
         rows = self.reps.select("node", F.explode(F.slice("pivots", F.lit(1), window)).alias("pivot"))
-        met, hot = rows, None
-        links, crowded = self._meet(met, None, False)
-        while not crowded.isEmpty():
-            # Nodes of crowded regions, with every pivot of theirs found crowded so far.
-            now = rows.join(crowded, "pivot").select("node", "pivot")
-            hot = self._write(now if hot is None else hot.union(now), "hot")
-            new = self._write(self._next_pivots(hot, rows, window), "new")
-            rows = self._write(rows.union(new), "rows")
-            met = rows.join(new.select("pivot").distinct(), "pivot", "left_semi")
-            links, crowded = self._meet(met, links, False)
-        if hot is not None:
-            links, _ = self._meet(self._last_pivots(hot, window), links, True)
+        links, placed, crowded = self._meet(rows, None)
+        if crowded.isEmpty():
+            return links
+        # Shingles that many unlinked documents share go to the end of the order: those of
+        # crowded regions, and what else their members have in common.
+        members = placed.join(crowded, "pivot", "left_semi").select("node", "component").distinct()
+        others = (
+            self.reps.select("node", F.explode("pivots").alias("pivot")).join(members, "node")
+            .groupBy("pivot").agg(F.countDistinct("component").alias("apart"))
+            .where(F.col("apart") > MOST_STRAYS).select("pivot")
+        )
+        late = self._write(crowded.union(others).distinct(), "late")
+        # Documents with such a shingle in their window have another window in that order.
+        moved = self._write(rows.join(late, "pivot", "left_semi").select("node").distinct(), "moved")
+        orders = self._orders(moved, late)
+        free = F.array_except("pivots", "late")
+        new = orders.select(
+            "node", F.explode(F.array_except(
+                F.slice(free, F.lit(1), window), F.slice("pivots", F.lit(1), window)
+            )).alias("pivot"),
+        )
+        new = self._write(new, "new")
+        old = rows.join(new.select("pivot").distinct().hint("merge"), "pivot", "left_semi")
+        links, _, _ = self._meet(old.unionByName(new), links, last=True)
+        # Documents that have too few other shingles meet in regions of the late ones.
+        lacking = F.greatest(window - F.size(free), F.lit(0))
+        rest = F.slice(F.array_intersect("pivots", "late"), F.lit(1), lacking)
+        links, _, _ = self._meet(
+            orders.select("node", F.explode(rest).alias("pivot")), links, last=True
+        )
         return links
 
-    def _orders(self, hot: DataFrame) -> DataFrame:
-        """Of nodes with crowded pivots: those, and all the pivots that they may need."""
-        lists = hot.groupBy("node").agg(F.collect_set("pivot").alias("hot"))
-        known = self.reps.select("node", "n", "pivots", "doc_id", "same").join(lists, "node")
-        free = F.size(F.array_except("pivots", "hot"))
-        enough = (free >= self.similarity.window(F.col("n"))) | (F.size("pivots") == F.col("n"))
-        known = self._write(known.withColumn("enough", enough), "orders")
-        short = self._whole_sets(known.where("not enough").select("node", "doc_id", "same"))
-        longer = short.mapInPandas(_pivots, "node long, pivots array<long>")
-        columns = ("node", "n", "pivots", "hot")
-        return known.where("enough").select(*columns).union(
-            known.where("not enough").drop("pivots").join(longer, "node").select(*columns)
-        )
+    def _orders(self, nodes: DataFrame, late: DataFrame) -> DataFrame:
+        """(node, n, pivots, late): as many pivots as a node's window in the new order needs."""
 
-    def _next_pivots(self, hot: DataFrame, rows: DataFrame, window: Column) -> DataFrame:
-        """The pivots that nodes of crowded regions move on to."""
-        free = F.slice(F.array_except("pivots", "hot"), F.lit(1), window)
-        moved = self._orders(hot).select("node", F.explode(free).alias("pivot"))
-        return moved.join(rows, ["node", "pivot"], "left_anti")
+        def marked(orders: DataFrame) -> DataFrame:
+            found = (
+                orders.select("node", F.explode("pivots").alias("pivot")).join(late, "pivot")
+                .groupBy("node").agg(F.collect_set("pivot").alias("late"))
+            )
+            return orders.join(found, "node")
 
-    def _last_pivots(self, hot: DataFrame, window: Column) -> DataFrame:
-        """Crowded pivots, where they belong to the window in the order's final form."""
-        lacking = window - F.size(F.array_except("pivots", "hot"))
-        late = F.slice(F.array_intersect("pivots", "hot"), F.lit(1), F.greatest(lacking, F.lit(0)))
-        return self._orders(hot).select("node", F.explode(late).alias("pivot"))
+        stored = self.reps.select("node", "n", "pivots", "doc_id", "same")
+        known = marked(stored.join(nodes, "node", "left_semi"))
+        left = F.size(F.array_except("pivots", "late"))
+        enough = (left >= self.similarity.window(F.col("n"))) | (F.size("pivots") == F.col("n"))
+        known = self._write(known.withColumn("enough", enough), "orders")
+        columns = ["node", "n", "pivots", "late"]
+        short = known.where("NOT enough").select("node", "n", "doc_id", "same")
+        if short.isEmpty():
+            return known.select(*columns)
+        whole = self._whole_sets(short.drop("n")).mapInPandas(_pivots, "node long, pivots array<long>")
+        longer = self._write(marked(short.join(whole, "node")).select(*columns), "longer")
+        return known.where("enough").select(*columns).union(longer)
 
     def _meet(
-        self, rows: DataFrame, links: DataFrame | None, last: bool
-    ) -> tuple[DataFrame, DataFrame]:
-        """All links so far, and the pivots of crowded regions (none in the last round)."""
+        self, rows: DataFrame, links: DataFrame | None, last: bool = False
+    ) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """All links so far; members of regions with strays; pivots of crowded regions.
+
+        In the last meeting strays of every region are compared, however many.
+        """
         firsts = rows.groupBy("pivot").agg(
             F.min("node").alias("first"), F.count("*").alias("members")
         )
@@ -277,17 +296,17 @@ class JaccardJoin:
             "a", "b",
             (1 - F.col("shared") / (F.col("a_n") + F.col("b_n") - F.col("shared"))).alias("far"),
         )
-        placed_far = (
+        others = (
             placed.where(~crowded & (F.col("node") != F.col("first")))
             .withColumns({"a": F.least("node", "first"), "b": F.greatest("node", "first")})
             .join(far, ["a", "b"], "left")
             .select("pivot", "node", "component", "far", stray.alias("stray"))
         )
-        x = placed_far.where("stray").select(
+        x = others.where("stray").select(
             "pivot", F.col("node").alias("x"), F.col("component").alias("cx"),
             F.col("far").alias("fx"),
         )
-        y = placed_far.select(
+        y = others.select(
             "pivot", F.col("node").alias("y"), F.col("component").alias("cy"),
             F.col("far").alias("fy"),
         )
@@ -299,7 +318,7 @@ class JaccardJoin:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         )
         links = self._linked(self._measure(pairs), links)
-        return links, placed.where(crowded).select("pivot").distinct()
+        return links, placed, placed.where(crowded).select("pivot").distinct()
 
     def _linked(self, measured: DataFrame, links: DataFrame | None) -> DataFrame:
         union = F.col("a_n") + F.col("b_n") - F.col("shared")
