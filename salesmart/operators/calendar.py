@@ -30,6 +30,13 @@ def date_spine(
     )
 
 
+def fixed_bounds(
+    spark: SparkSession, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END
+) -> DataFrame:
+    """One row ``(start, end)`` of given days."""
+    return spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
+
+
 def covering_bounds(
     df: DataFrame,
     column: str,

@@ -21,6 +21,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
+def fit_widths(df: DataFrame, widths: Mapping[str, int], cut: bool = False) -> DataFrame:
+    """Text columns within their declared widths: a longer text is cut, or fails the run."""
+    if cut:
+        return truncate_to(df, widths)
+
+    def checked(name: str, width: int) -> Column:
+        too_long = F.raise_error(F.lit(f"{name} is longer than {width} characters"))
+        return F.when(F.char_length(name) > width, too_long.cast("string")).otherwise(F.col(name))
+
+    return df.withColumns({c: checked(c, n) for c, n in widths.items()})
+
+
 def normalize_names(df: DataFrame) -> DataFrame:
     """Column names in capitals. Spark resolves either spelling."""
     return df.toDF(*[c.upper() for c in df.columns])
@@ -40,15 +52,30 @@ def truncate_to(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
 def upsert(target: DataFrame, changes: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """``target`` with rows of ``changes`` replacing those of equal key, or added.
 
-    ``changes`` must hold each key once (see ``latest_changes``). With a small change set
-    Spark broadcasts it and ``target`` is not shuffled. Neither input is written to: land
-    the result with ``sources.tables.full_refresh``.
+    A key that ``changes`` hold twice fails the run (see ``latest_changes``). With a small
+    change set Spark broadcasts it and ``target`` is not shuffled. Neither input is written
+    to: land the result with ``sources.tables.full_refresh``.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    changes = single_changes(changes, keys)
     kept = target.join(changes.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(changes)
 
 
+def single_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``changes`` as they are; the run fails if one of their keys stands on two rows."""
+    rest = [c for c in changes.columns if c not in keys]
+    row = F.struct(*rest) if rest else F.struct(F.lit(True).alias("_none"))
+    once = F.assert_true(F.col("_times") == 1, F.lit("a key is changed twice")).isNull()
+    return (
+        changes.groupBy(*keys)
+        .agg(F.max(row).alias("_row"), F.count(F.lit(1)).alias("_times"))
+        .where(once)
+        .select(*keys, "_row.*")
+        .select(*changes.columns)
+    )
+
+
 def latest_changes(changes: DataFrame, key: str | Sequence[str], by: str) -> DataFrame:
     """The newest row of each key; rows of equal ``by`` are settled by their content.
 
@@ -69,7 +96,11 @@ def touch_updated_at(
 ) -> DataFrame:
     """Stamp ``updated_at`` on changes to rows that exist; new rows keep theirs."""
     keys = [key] if isinstance(key, str) else list(key)
-    existing = target.select(*keys).distinct().withColumn("_exists", F.lit(True))
+    # Only keys that the changes name are made distinct, not those of the whole target.
+    existing = (
+        target.select(*keys).join(changes.select(*keys), keys, "left_semi").distinct()
+        .withColumn("_exists", F.lit(True))
+    )
     stamp = F.when(F.col("_exists"), run_time(ts)).otherwise(F.col("updated_at"))
     return (
         changes.join(existing, keys, "left")

@@ -6,9 +6,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Most candidate rows a top-k report looks up before falling back to the full join.
-PROBE_ROWS = 1000
-
 SAMPLE = (
     "first_name", "last_name", "customer_segment", "product_name", "category",
     "total_amount", "order_date",
@@ -51,22 +48,18 @@ def _first_named(
     products: DataFrame,
     order: Sequence[Column],
     k: int,
-    probe: int,
 ) -> DataFrame:
     """The first ``k`` orders, in ``order``, that have both a customer and a product.
 
-    Joining all orders to find a handful would shuffle the whole table. Instead the first
-    ``probe`` orders are taken by a top-k scan and, being few, looked up on their own: if
-    ``k`` of them match they are the answer. Otherwise the full join decides.
+    Which orders have both takes their ids only; the names are joined to the ``k`` rows
+    that are left. A repeated customer or product repeats its orders, as any join would,
+    so the names are cut to ``k`` rows once more.
     """
-    columns = ["order_id", "customer_id", "product_id", "order_date", "total_amount"]
-    first = orders.select(*columns).orderBy(*order).limit(probe)
-    # At most ``probe`` rows, kept so that the scan is not repeated.
-    kept = orders.sparkSession.createDataFrame(first.collect(), first.schema)
-    named = _with_names(F.broadcast(kept), customers, products).orderBy(*order).limit(k)
-    if named.count() < k:
-        named = _with_names(orders, customers, products).orderBy(*order).limit(k)
-    return named
+    rows = orders.select("order_id", "customer_id", "product_id", "order_date", "total_amount")
+    for side, key in ((customers, "customer_id"), (products, "product_id")):
+        rows = rows.join(side.select(key), key, "left_semi")
+    first = rows.orderBy(*order).limit(k)
+    return _with_names(first, customers, products).orderBy(*order).limit(k)
 
 
 def recent_orders(
@@ -74,7 +67,6 @@ def recent_orders(
     customers: DataFrame,
     products: DataFrame,
     k: int = 5,
-    probe: int = PROBE_ROWS,
 ) -> DataFrame:
     """The ``k`` latest orders with customer and product name.
 
@@ -85,7 +77,7 @@ def recent_orders(
         F.desc_nulls_first("order_date"), F.desc("order_id"), F.desc("product_id"),
         F.desc("total_amount"),
     ]
-    return _first_named(orders, customers, products, order, k, probe).select(
+    return _first_named(orders, customers, products, order, k).select(
         F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"),
         "product_name",
         "total_amount",
@@ -98,11 +90,10 @@ def sample_orders(
     customers: DataFrame,
     products: DataFrame,
     k: int = 5,
-    probe: int = PROBE_ROWS,
 ) -> DataFrame:
     """Any ``k`` orders with customer and product: those of the lowest ids."""
     order = [F.asc("order_id"), F.asc("product_id"), F.asc("total_amount"), F.asc("order_date")]
-    return _first_named(orders, customers, products, order, k, probe).select(*SAMPLE)
+    return _first_named(orders, customers, products, order, k).select(*SAMPLE)
 
 
 def sample_rows(
@@ -163,6 +154,15 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     )
 
 
+def verify_landing(landed: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """After a load: row counts of the landing tables, and a joined sample of them."""
+    tables = {n: df.toDF(*[c.lower() for c in df.columns]) for n, df in landed.items()}
+    return {
+        "row_counts": row_counts({f"landing.{n}": df for n, df in tables.items()}),
+        "sample_orders": sample_orders(**tables),
+    }
+
+
 def verify_warehouse(
     sources: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:

@@ -160,7 +160,7 @@ RELATIONS = {
   SELECT {key('order_id', 'product_id')} AS order_key, *
     REPLACE (CAST(order_date AS DATE) AS order_date,
       coalesce(discount_amount, 0) AS discount_amount, coalesce(tax_amount, 0) AS tax_amount)
-  FROM orders_ WHERE order_status IN ('DELIVERED', 'SHIPPED', 'COMPLETED')""",
+  FROM orders_ WHERE order_status IN ('COMPLETED', 'SHIPPED', 'DELIVERED')""",
     "dim_customers": f"""
   SELECT *, first_name || ' ' || last_name AS full_name,
     CASE WHEN date_diff('day', registration_date, {AS_OF}) <= 90 THEN 'NEW'
@@ -168,10 +168,10 @@ RELATIONS = {
       ELSE 'ESTABLISHED' END AS customer_tenure
   FROM stg_customers""",
     "dim_products": """
-  SELECT *, CASE WHEN profit_margin_pct < 25 THEN 'LOW' WHEN profit_margin_pct < 50
-      THEN 'MEDIUM' ELSE 'HIGH' END AS profit_margin_tier,
-    CASE WHEN unit_price < 100 THEN 'BUDGET' WHEN unit_price < 1000 THEN 'MID-RANGE'
-      ELSE 'PREMIUM' END AS price_tier
+  SELECT *, CASE WHEN profit_margin_pct >= 50 THEN 'HIGH' WHEN profit_margin_pct >= 25
+      THEN 'MEDIUM' ELSE 'LOW' END AS profit_margin_tier,
+    CASE WHEN unit_price >= 1000 THEN 'PREMIUM' WHEN unit_price >= 100 THEN 'MID-RANGE'
+      ELSE 'BUDGET' END AS price_tier
   FROM stg_products""",
     "dim_dates": calendar(literal_days(CALENDAR_END)),
     "fact_orders": f"""
@@ -462,14 +462,22 @@ def oracle_sql() -> dict[str, str]:
             f"product_key {PRODUCT} profit_margin_pct profit_margin_tier price_tier "
             f"description {STAMPS}"),
         "fact_orders": everything("fact_orders", FACT),
+        # The batch of changed orders, in the definition of the orders themselves.
+        "incremental_fact": everything("fact_orders", FACT)
+        .replace("ELSE 'SHIPPED' END", "ELSE 'CANCELLED' END")
+        .replace("ELSE 'PENDING' END", "ELSE 'COMPLETED' END"),
+        "load_counts": over("customers products orders_", " UNION ALL ".join(
+            f"SELECT 'landing' AS layer, '{n}' AS table_name, count(*) AS row_count, "
+            f"count(*) = 0 AS is_empty FROM {n if n != 'orders' else 'orders_'}"
+            for n in ("customers", "products", "orders"))),
         "revenue_analysis": over("revenue_analysis", "SELECT * FROM revenue_analysis"),
-        "date_spine": over("orders_", "SELECT CAST(d AS VARCHAR) AS date_day FROM (" + day_range(
-            "min(CAST(order_date AS DATE))::TIMESTAMP",
-            "max(CAST(order_date AS DATE))::TIMESTAMP + INTERVAL 1 DAY") + " FROM orders_)"),
-        "dim_dates": over("orders_", f"SELECT {plain(DATES)} FROM (" + calendar(day_range(
-            f"least(TIMESTAMP '{CALENDAR_START}', min(date_trunc('day', order_date)))",
+        "date_spine": "SELECT CAST(d AS VARCHAR) AS date_day FROM (" + day_range(
+            "min(CAST(o_orderdate AS DATE))::TIMESTAMP",
+            "max(CAST(o_orderdate AS DATE))::TIMESTAMP + INTERVAL 1 DAY") + " FROM orders)",
+        "dim_dates": f"SELECT {plain(DATES)} FROM (" + calendar(day_range(
+            f"least(TIMESTAMP '{CALENDAR_START}', min(date_trunc('day', o_orderdate)))",
             f"greatest(TIMESTAMP '{CALENDAR_END}', "
-            "max(date_trunc('day', order_date)) + INTERVAL 1 DAY)") + " FROM orders_") + ")"),
+            "max(date_trunc('day', o_orderdate)) + INTERVAL 1 DAY)") + " FROM orders") + ")",
         "monthly_distinct": over(
             "by_month",
             f"SELECT {months}, total_orders, unique_customers FROM by_month"),

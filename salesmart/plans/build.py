@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from salesmart.operators.calendar import date_spine
+from salesmart.operators.calendar import fixed_bounds, spine_between
 from salesmart.plans.dimensions import dim_customers, dim_dates, dim_products
 from salesmart.plans.facts import fact_orders
 from salesmart.plans.finance import revenue_analysis
@@ -83,7 +83,7 @@ class Warehouse:
 
     @cached_property
     def dim_dates(self) -> DataFrame:
-        days = date_spine(self.orders.sparkSession, **self.options.calendar)
+        days = spine_between(fixed_bounds(self.orders.sparkSession, **self.options.calendar))
         return self._keep("dim_dates", dim_dates(days, run_ts=self.options.run_ts))
 
     @cached_property
@@ -125,7 +125,7 @@ def write_all(
 ) -> dict[str, DataFrame]:
     """Rebuild all mart tables, each from the tables written before it.
 
-    Staging stays virtual, as temporary views. The written tables cut the lineage: a lost
+    Staging stays virtual, as temporary views (with the prefix in their names). The written tables cut the lineage: a lost
     executor costs the tasks of the step it was in, not a recomputation from the sources.
     """
 
@@ -133,5 +133,5 @@ def write_all(
         return full_refresh(df, f"{layer_name(LAYERS[name], prefix)}.{name}")
 
     models = Warehouse(sources, options, write).models()
-    publish_views({n: df for n, df in models.items() if LAYERS[n] == "staging"})
+    publish_views({n: df for n, df in models.items() if LAYERS[n] == "staging"}, prefix)
     return models

@@ -10,6 +10,26 @@ from salesmart.functions.keys import surrogate_key
 from salesmart.functions.money import AMOUNT, PERCENT, PRICE, cents_percent, to_cents
 from salesmart.operators.calendar import FALLBACK_DAY
 from salesmart.operators.joins import lookup_join
+from salesmart.plans.staging import stg_orders
+
+
+def merge_fact(
+    fact: DataFrame,
+    changed_orders: DataFrame,
+    dim_customers: DataFrame,
+    dim_products: DataFrame,
+    dim_dates: DataFrame,
+    run_ts: dt.datetime | None = None,
+) -> DataFrame:
+    """``fact`` with the orders of a change batch built anew.
+
+    Every changed order leaves the fact; those that are still fulfilled come back. The
+    dimensions' keys are functions of ids, so rows that did not change keep theirs. To
+    write only the ranges that change, give the same parts to ``tables.merge_ranged``.
+    """
+    made = fact_orders(stg_orders(changed_orders), dim_customers, dim_products, dim_dates, run_ts)
+    changed = changed_orders.select(surrogate_key("order_id", "product_id").alias("order_key"))
+    return fact.join(changed, "order_key", "left_anti").select(*fact.columns).unionByName(made)
 
 
 def fact_orders(

@@ -19,7 +19,8 @@ from salesmart.operators.calendar import (
 from salesmart.plans import finance
 from salesmart.plans.build import RunOptions, Warehouse
 from salesmart.plans.dimensions import dim_dates
-from salesmart.schemas import LANDING, column_defaults
+from salesmart.plans.facts import merge_fact
+from salesmart.schemas import LANDING, WIDTHS, column_defaults
 from salesmart.sources.adapt import adapt, read_table
 from salesmart.sources.synth import synth_customers, synth_orders, synth_products
 
@@ -79,14 +80,13 @@ for _name in (
 
 @query
 def _date_spine(spark, folder):
-    orders = adapt(spark, folder)["orders"]
-    return spine_between(covering_bounds(orders, "order_date"))
+    return spine_between(covering_bounds(read_table(spark, folder, "orders"), "o_orderdate"))
 
 
 @query
 def _dim_dates(spark, folder):
-    orders = adapt(spark, folder)["orders"]
-    bounds = covering_bounds(orders, "order_date", CALENDAR_START, CALENDAR_END)
+    orders = read_table(spark, folder, "orders")
+    bounds = covering_bounds(orders, "o_orderdate", CALENDAR_START, CALENDAR_END)
     return dim_dates(spine_between(bounds), run_ts=AS_OF_TIME)
 
 
@@ -238,6 +238,31 @@ def row_counts(spark, folder):
     )
 
 
+@query
+def load_counts(spark, folder):
+    """Row counts of the landing tables, as they are verified after a load."""
+    landed = {
+        name: landing.normalize_names(
+            landing.fit_widths(landing.conform(df, LANDING[name]), WIDTHS.get(name, {}))
+        )
+        for name, df in adapt(spark, folder).items()
+    }
+    return verify.verify_landing(landed)["row_counts"]
+
+
+@query
+def incremental_fact(spark, folder):
+    """The fact after a batch in which pending orders complete and shipped ones are cancelled."""
+    w = _warehouse(spark, folder)
+    status = F.col("order_status")
+    changed = w.orders.where(status.isin("PENDING", "SHIPPED")).withColumn(
+        "order_status", F.when(status == "PENDING", "COMPLETED").otherwise("CANCELLED")
+    )
+    return merge_fact(
+        w.fact_orders, changed, w.dim_customers, w.dim_products, w.dim_dates, AS_OF_TIME
+    )
+
+
 # Checks --------------------------------------------------------------------------------
 
 

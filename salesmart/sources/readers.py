@@ -15,19 +15,25 @@ def read_parquet(
 
 
 def key_bounds(spark: SparkSession, table: str, key: str, options: Mapping[str, str]):
-    """Smallest and largest ``key`` of a database table, worked out by the database."""
-    query = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}) bounds"
+    """Smallest and largest ``key`` and row count of a table, worked out by the database."""
+    query = (
+        f"(SELECT MIN({key}) AS low, MAX({key}) AS high, COUNT(*) AS row_count FROM {table}) bounds"
+    )
     return spark.read.format("jdbc").options(**{**options, "dbtable": query}).load().first()
 
 
 def split_options(
-    table: str, key: str, low: int | None, high: int | None, rows_per_split: int
+    table: str, key: str, low: int | None, high: int | None, row_count: int,
+    rows_per_split: int,
 ) -> dict[str, str]:
-    """Options for a JDBC read of ``table`` in parallel ranges of its integer ``key``."""
+    """Options for a JDBC read of ``table`` in parallel ranges of its integer ``key``.
+
+    The number of ranges follows the rows, not the key values: ids may be sparse.
+    """
     options = {"dbtable": table, "fetchsize": "10000"}
     if low is None or high is None:
         return options
-    splits = max(1, -(-(high - low + 1) // rows_per_split))
+    splits = max(1, min(-(-row_count // rows_per_split), high - low + 1))
     return {
         **options,
         "partitionColumn": key,
@@ -47,9 +53,9 @@ def read_jdbc(
     """A database table, read by many tasks at once.
 
     ``options`` are Spark's JDBC options (url, user, password, driver, ...). The number of
-    ranges grows with the key range, so no task pulls more than ``rows_per_split`` keys;
-    the executors at hand bound how many are open at a time.
+    ranges grows with the rows; evenly spread keys make ranges of ``rows_per_split`` rows.
+    The executors at hand bound how many are open at a time.
     """
     bounds = key_bounds(spark, table, key, options)
-    split = split_options(table, key, bounds["low"], bounds["high"], rows_per_split)
+    split = split_options(table, key, bounds["low"], bounds["high"], bounds["row_count"], rows_per_split)
     return spark.read.format("jdbc").options(**{**options, **split}).load()

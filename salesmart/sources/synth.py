@@ -48,7 +48,7 @@ STREETS = ("Oak Street", "Mill Road", "Hill Lane", "Lake Avenue")
 ADJECTIVES = ("Compact", "Sturdy", "Bright", "Quiet", "Classic", "Smart")
 NOUNS = ("Lamp", "Chair", "Bottle", "Speaker", "Jacket", "Notebook", "Racket")
 
-INDEX_BUCKET = 65_536
+INDEX_BITS = 16
 
 
 def identities(spark: SparkSession, n: int, column: str) -> DataFrame:
@@ -125,25 +125,48 @@ def synth_products(ids: DataFrame, seed: int) -> DataFrame:
     return _finished(rows, "products", PRODUCTS)
 
 
-def dense_index(df: DataFrame, key: str, bucket: int = INDEX_BUCKET) -> DataFrame:
-    """Number the rows of ``df`` from 0 in the order of an integer ``key``.
+def dense_index(df: DataFrame, key: str, bits: int = INDEX_BITS) -> DataFrame:
+    """Number the rows of ``df`` from 0 in the order of a 64-bit integer ``key``.
 
-    Rows are numbered within buckets of ``bucket`` consecutive key values; a bucket's
-    offset is the number of rows in the buckets before it. The window over the buckets has
-    one row per ``bucket`` keys, so it stays small for keys handed out in sequence.
+    Rows with a NULL key are left out. A row's place is its rank among the keys that share
+    all but the last ``bits`` bits, plus the rows of the ranges before it, level by level:
+    each level counts ranges of ``bits`` bits within one range of the level above. No
+    window has more than 2 ** bits ranges, however the keys are spread.
     """
-    ranged = df.withColumn("_bucket", F.expr(f"{key} div {int(bucket)}"))
-    sizes = ranged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    rows = df.where(F.col(key).isNotNull()).withColumn(
+        "_range0", F.shiftright(F.col(key).cast("long"), bits)
     )
-    within = F.row_number().over(W.partitionBy("_bucket").orderBy(key))
+    # Rows per range, from the finest level up; the top level is a single range.
+    counts = rows.groupBy("_range0").agg(F.count(F.lit(1)).alias("_rows"))
+    levels = [counts]
+    top = -(-64 // bits)
+    for level in range(1, top + 1):
+        above = F.shiftright(f"_range{level - 1}", bits) if level < top else F.lit(0)
+        finer = levels[-1].withColumn(f"_range{level}", above)
+        levels[-1] = finer
+        levels.append(finer.groupBy(f"_range{level}").agg(F.sum("_rows").alias("_rows")))
+    before = None
+    for level in range(len(levels) - 2, -1, -1):
+        above = f"_range{level + 1}"
+        earlier = W.partitionBy(above).orderBy(f"_range{level}").rowsBetween(
+            W.unboundedPreceding, -1
+        )
+        placed = levels[level].withColumn(
+            "_within", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+        )
+        if before is None:
+            placed = placed.withColumn("_before", F.col("_within"))
+        else:
+            placed = placed.join(before, above).withColumn(
+                "_before", F.col("_above") + F.col("_within")
+            )
+        before = placed.select(f"_range{level}", F.col("_before").alias("_above"))
+    within = F.row_number().over(W.partitionBy("_range0").orderBy(key))
     return (
-        ranged.withColumn("_place", within)
-        .join(offsets, "_bucket")
-        .withColumn("place", F.col("_offset") + F.col("_place") - 1)
-        .drop("_bucket", "_place", "_offset")
+        rows.withColumn("_place", within)
+        .join(before, "_range0")
+        .withColumn("place", F.col("_above") + F.col("_place") - 1)
+        .drop("_range0", "_place", "_above")
     )
 
 
@@ -157,22 +180,28 @@ def synth_orders(
     """One order per ``order_id`` of ``ids``, for an existing customer and product.
 
     Dates fall within the two years before ``as_of``; total = gross - discount + tax.
+    Customers and products without an id are not ordered by or of; one that is listed
+    twice counts once (a product at its lowest price). NULL order ids make no order.
     """
-    people, goods = customers.count(), products.count()
-    if not people or not goods:
-        raise ValueError("orders need customers and products")
-    who = dense_index(customers.select("customer_id"), "customer_id")
-    what = dense_index(products.select("product_id", "unit_price"), "product_id")
+    buyers = customers.select("customer_id").where("customer_id IS NOT NULL").distinct()
+    sold = products.where("product_id IS NOT NULL").groupBy("product_id").agg(
+        F.min("unit_price").alias("unit_price")
+    )
+    number = F.nullif(F.count(F.lit(1)), F.lit(0))
+    people, goods = (df.agg(number).scalar() for df in (buyers, sold))
+    who = dense_index(buyers, "customer_id")
+    what = dense_index(sold, "product_id")
 
     key = F.col("order_id")
-    drawn = ids.select(
+    drawn = ids.where("order_id IS NOT NULL").select(
         "order_id",
         draw_below(key, seed, 0, people).alias("customer_place"),
         draw_below(key, seed, 1, goods).alias("product_place"),
     )
+    # Every place drawn is taken, unless a side is empty: then the run fails.
     named = drawn.join(
-        who.withColumnRenamed("place", "customer_place"), "customer_place"
-    ).join(what.withColumnRenamed("place", "product_place"), "product_place")
+        who.withColumnRenamed("place", "customer_place"), "customer_place", "left"
+    ).join(what.withColumnRenamed("place", "product_place"), "product_place", "left")
     start_of_day = business_date(as_of).cast("timestamp_ntz")
     seconds_back = draw_below(key, seed, 3, HISTORY_DAYS * 86_400)
     gross = F.col("unit_price") * F.col("quantity").cast("decimal(1,0)")
@@ -187,8 +216,10 @@ def synth_orders(
         .withColumn("gross", gross.cast(PRICE))
         .select(
             "order_id",
-            "customer_id",
-            "product_id",
+            *[
+                F.coalesce(c, F.raise_error(F.lit(f"orders need {what}")).cast("long")).alias(c)
+                for c, what in (("customer_id", "customers"), ("product_id", "products"))
+            ],
             F.timestamp_add("SECOND", -seconds_back, start_of_day).alias("order_date"),
             "quantity",
             "unit_price",

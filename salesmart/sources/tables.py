@@ -1,12 +1,13 @@
 """Named tables: layers, whole-table replacement, loading and range-wise merging."""
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.operators.landing import conform, normalize_names, upsert
-from salesmart.schemas import LANDING
+from salesmart.operators.landing import conform, fit_widths, normalize_names, upsert
+from salesmart.schemas import LANDING, WIDTHS
 
 LANDING_LAYER = "landing"
 _RANGE = "key_range"
@@ -28,10 +29,10 @@ def bind(spark: SparkSession, schema: str, tables: Sequence[str]) -> dict[str, D
     return {t: spark.table(f"{schema}.{t}") for t in tables}
 
 
-def publish_views(views: Mapping[str, DataFrame]) -> None:
-    """Keep staging results virtual: each name becomes a temporary view."""
+def publish_views(views: Mapping[str, DataFrame], prefix: str | None = None) -> None:
+    """Keep staging results virtual: each name, after ``prefix``, becomes a temporary view."""
     for name, df in views.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(layer_name(name, prefix))
 
 
 def _details(spark: SparkSession, table: str) -> dict[str, str]:
@@ -53,6 +54,14 @@ def _live_location(spark: SparkSession, table: str) -> str | None:
     return location
 
 
+def _recover(spark: SparkSession, table: str) -> None:
+    """Undo what a failed change of the schema may have left in the catalog."""
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}__old"):
+        spark.sql(f"ALTER TABLE {table}__old RENAME TO {table}")
+    for name in (f"{table}__old", f"{table}__next"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def full_refresh(df: DataFrame, table: str) -> DataFrame:
     """Replace the whole of ``<schema>.<name>`` with ``df`` and return the new table.
 
@@ -60,20 +69,29 @@ def full_refresh(df: DataFrame, table: str) -> DataFrame:
     when they are complete is the table pointed at it, so a failed run leaves the old
     version in place, ``df`` may read the table it replaces, and no data are moved. Frames
     read before the switch stay valid until the refresh after it. One writer at a time.
+
+    New columns take a second table, which then changes names with the first: if that
+    fails, the old one keeps its name, or has it again by the next run. Folders of a table
+    that the catalog does not know are not overwritten.
     """
     spark = df.sparkSession
     schema, name = table.split(".")
     folder = f"{ensure_layer(spark, schema)}/{name}"
+    _recover(spark, table)
     live = _live_location(spark, table)
     spare = f"{folder}/{'b' if live and live.endswith('/a') else 'a'}"
-    df.write.mode("overwrite").parquet(spare)
-    if live is not None and spark.table(table).schema.simpleString() == df.schema.simpleString():
+    df.write.mode("overwrite" if live else "errorifexists").parquet(spare)
+    if live is None:
+        spark.catalog.createTable(table, path=spare, source="parquet", schema=df.schema)
+    elif spark.table(table).schema.simpleString() == df.schema.simpleString():
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{spare}'")
         spark.catalog.refreshTable(table)
     else:
-        # Both statements touch the catalog only: the folders of an external table stay.
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(table, path=spare, source="parquet", schema=df.schema)
+        # Names and catalog entries only: the folders of an external table stay.
+        spark.catalog.createTable(f"{table}__next", path=spare, source="parquet", schema=df.schema)
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+        spark.sql(f"DROP TABLE {table}__old")
     return spark.table(table)
 
 
@@ -81,52 +99,94 @@ def load_all(
     spark: SparkSession,
     read: Callable[[str], DataFrame],
     schema: str = LANDING_LAYER,
+    cut: bool = False,
 ) -> dict[str, DataFrame]:
-    """Extract and land every source table in turn; the first failure ends the run."""
+    """Extract and land every source table in turn; the first failure ends the run.
+
+    A text longer than its column fails the run too, or is cut on request. Verify the
+    result with ``operators.verify.verify_landing``.
+    """
     landed = {}
     for name, layout in LANDING.items():
-        rows = normalize_names(conform(read(name), layout))
-        landed[name] = full_refresh(rows, f"{schema}.{name}")
+        rows = fit_widths(conform(read(name), layout), WIDTHS.get(name, {}), cut)
+        landed[name] = full_refresh(normalize_names(rows), f"{schema}.{name}")
     return landed
 
 
+# Tables in ranges of a key ---------------------------------------------------------------
+
+_KEY, _WIDTH = "range.key", "range.width"
+
+
 def create_ranged(df: DataFrame, table: str, key: str, width: int) -> DataFrame:
-    """Write ``<schema>.<name>`` split into ranges of ``width`` values of an integer key."""
+    """Write ``<schema>.<name>`` split into ranges of ``width`` values of an integer key.
+
+    Key and width are kept with the table. A NULL key fails the run before anything is
+    written; the rows of a range are gathered, so that it has few files.
+    """
     spark = df.sparkSession
     schema, name = table.split(".")
-    path = f"{ensure_layer(spark, schema)}/{name}"
-    rows = df.withColumn(_RANGE, F.expr(f"{key} div {int(width)}"))
+    _refuse_nulls(df, key)
+    path = f"{ensure_layer(spark, schema)}/{name}/{uuid.uuid4().hex[:12]}"
+    rows = df.withColumn(_RANGE, F.expr(f"{key} div {int(width)}")).hint("rebalance", _RANGE)
     rows.write.partitionBy(_RANGE).option("path", path).saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_KEY}' = '{key}', '{_WIDTH}' = '{int(width)}')")
     return spark.table(table)
 
 
-def merge_ranged(changes: DataFrame, table: str, keys: Sequence[str], range_key: str, width: int):
+def _refuse_nulls(df: DataFrame, key: str) -> None:
+    if not df.where(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"{key} has NULLs: a row without a key belongs to no range")
+
+
+def merge_ranged(
+    changes: DataFrame, table: str, keys: Sequence[str], removed: DataFrame | None = None
+) -> DataFrame:
     """``upsert`` into a table of ``create_ranged``, rewriting only the ranges it touches.
 
-    ``range_key`` must be one of ``keys``, so that a row never moves between ranges. The
-    touched ranges are listed on the driver: at most one number per ``width`` keys changed.
-    Orders arrive with rising ids, hence a batch of recent orders touches few ranges and
-    the rest of the table is neither read nor written. Executors may be lost at any
-    point; but as in every dynamic overwrite, a driver that dies while it moves finished
-    ranges into place can leave one of them in the staging folder only.
+    The table's range key must be one of ``keys``, so that a row never moves between
+    ranges; rows whose keys ``removed`` lists go. NULL range keys are refused before
+    anything is written, and a key changed twice fails the run. Orders arrive with rising
+    ids, hence a batch of recent orders touches few ranges, and the rest of the table is
+    neither read (its ranges are pruned at run time) nor written.
+
+    Touched ranges are written whole to a new folder; only then are they switched over,
+    one by one in the catalog. The old files stay, so a run that fails at any point can be
+    repeated: what is switched is complete, and what is not is as it was.
     """
-    if range_key not in keys:
-        raise ValueError("range_key must be one of the keys")
     spark = changes.sparkSession
-    ranged = changes.withColumn(_RANGE, F.expr(f"{range_key} div {int(width)}"))
-    touched = [r[0] for r in ranged.select(_RANGE).distinct().collect()]
-    if not touched:
-        return spark.table(table)
-    current = spark.table(table).where(F.col(_RANGE).isin(touched))
-    merged = upsert(current, ranged.select(*current.columns), [*keys, _RANGE])
-    # Dynamic mode replaces the partitions present in ``merged``, when all are written.
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(_RANGE)
-        .parquet(_location(spark, table))
-    )
-    added = " ".join(f"PARTITION ({_RANGE} = {r})" for r in touched)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if _KEY not in stored:
+        raise ValueError(f"{table} was not written by create_ranged")
+    range_key, width = stored[_KEY], int(stored[_WIDTH])
+    if range_key not in keys:
+        raise ValueError(f"the range key {range_key} must be one of the keys")
+
+    def ranged(df: DataFrame) -> DataFrame:
+        _refuse_nulls(df, range_key)
+        return df.withColumn(_RANGE, F.expr(f"{range_key} div {width}"))
+
+    places = [*keys, _RANGE]
+    current, changes = spark.table(table), ranged(changes)
+    touched = changes.select(_RANGE)
+    if removed is not None:
+        removed = ranged(removed.select(*keys)).select(*places)
+        touched = touched.union(removed.select(_RANGE))
+    kept = current.join(touched.distinct(), _RANGE, "left_semi").select(*current.columns)
+    if removed is not None:
+        kept = kept.join(removed, places, "left_anti").select(*current.columns)
+    merged = upsert(kept, changes.select(*current.columns), places)
+    base = _location(spark, table).rpartition("/")[0]
+    folder = f"{base}/{uuid.uuid4().hex[:12]}"
+    merged.hint("rebalance", _RANGE).write.partitionBy(_RANGE).parquet(folder)
+    written = spark.read.schema(current.schema).parquet(folder).select(_RANGE).distinct()
+    emptied = touched.distinct().join(written, _RANGE, "left_anti")
+    for row in written.toLocalIterator():
+        place = f"PARTITION ({_RANGE} = {row[0]})"
+        path = f"{folder}/{_RANGE}={row[0]}"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {place} LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table} {place} SET LOCATION '{path}'")
+    for row in emptied.toLocalIterator():  # ranges of which every row was removed
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_RANGE} = {row[0]})")
     spark.catalog.refreshTable(table)
     return spark.table(table)

@@ -13,8 +13,6 @@ def stream_merge(
     changes: DataFrame,
     table: str,
     keys: Sequence[str],
-    range_key: str,
-    width: int,
     newest_by: str,
     checkpoint: str,
 ) -> StreamingQuery:
@@ -31,7 +29,7 @@ def stream_merge(
         # Read twice: for the ranges it touches and for its rows.
         newest = latest_changes(batch, keys, newest_by).persist()
         try:
-            merge_ranged(newest, table, keys, range_key, width)
+            merge_ranged(newest, table, keys)
         finally:
             newest.unpersist()
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from salesmart.operators import quality, verify
+from salesmart.operators import landing, quality, verify
 from salesmart.operators.joins import lookup_join
 from salesmart.plans.build import RunOptions, Warehouse
 from salesmart.plans.dimensions import dim_dates
@@ -110,6 +110,33 @@ def test_suite_scans_each_table_once(landed):
     assert plan(quality.run_suite(tables, mine)).count("FileScan") == 5
 
 
+def test_top_orders_are_one_lazy_plan(spark, landed):
+    """Building starts no job; names are joined to the few rows that are left."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("top orders", "built only")
+    df = verify.recent_orders(landed["orders"], landed["customers"], landed["products"])
+    assert not tracker.getJobIdsForGroup("top orders")
+    text = plan(df)
+    assert text.count("TakeOrderedAndProject") == 2
+    names = text.index("TakeOrderedAndProject", text.index("TakeOrderedAndProject") + 1)
+    assert text[names:].count("LeftSemi") == 2 and "LeftSemi" not in text[:names]
+
+
+def test_touch_reads_matching_keys_only(landed):
+    """The target meets the changes before its keys are made distinct."""
+    changes = landed["customers"].where("customer_id < 5")
+    text = plan(landing.touch_updated_at(changes, landed["customers"], "customer_id"))
+    assert "LeftSemi" in text and text.index("HashAggregate") < text.index("LeftSemi")
+
+
+def test_calendar_query_reads_one_table(spark):
+    from salesmart import registry
+
+    for name in ("date_spine", "dim_dates"):
+        text = plan(registry.QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert text.count("FileScan") == 1 and "o_orderdate" in text and "lineitem" not in text
+
+
 def test_top_k_without_full_sort(landed):
     w = Warehouse(landed, OPTIONS)
     assert "TakeOrderedAndProject" in plan(verify.latest_months(w.revenue_analysis))

@@ -1,9 +1,11 @@
 """Invariants of the generated tables."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from salesmart.schemas import CUSTOMERS, ORDERS, PRODUCTS
@@ -83,14 +85,43 @@ def test_seed_decides(spark, made):
 
 
 def test_orders_need_both_tables(spark, made):
-    with pytest.raises(ValueError):
+    with pytest.raises(PySparkException, match="orders need customers"):
         synth_orders(identities(spark, 1, "order_id"), made["customers"].limit(0),
-                     made["products"], 1, AS_OF)
-
-
-@pytest.mark.parametrize("bucket", [1, 7, 1000])
-def test_dense_index(spark, bucket):
-    keys = [-5, 0, 1, 2, 30, 31, 500, 10_000]
+                     made["products"], 1, AS_OF).collect()
+
+
+def test_no_order_is_lost(spark):
+    """NULL, negative, sparse and repeated ids; building starts no job."""
+    people = spark.createDataFrame(
+        [(1,), (2,), (2,), (-7,), (None,), (1 << 62,), (-(1 << 63),)], "customer_id long"
+    )
+    goods = spark.createDataFrame(
+        [(5, "3.00"), (5, "2.00"), (None, "9.00"), (-(1 << 40), "4.00")],
+        "product_id long, unit_price string",
+    ).withColumn("unit_price", F.col("unit_price").cast("decimal(10,2)"))
+    spark.sparkContext.setJobGroup("orders", "built only")
+    made = synth_orders(identities(spark, 1000, "order_id"), people, goods, 1, AS_OF)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("orders")
+    rows = made.select("order_id", "customer_id", "product_id", "unit_price").collect()
+    assert len(rows) == len({r.order_id for r in rows}) == 1000
+    assert {r.customer_id for r in rows} == {1, 2, -7, 1 << 62, -(1 << 63)}
+    assert {(r.product_id, str(r.unit_price)) for r in rows} == {(5, "2.00"), (-(1 << 40), "4.00")}
+
+
+def test_dense_index_of_hashed_keys(spark):
+    """The one window without a partition is over two rows: keys below zero, and others."""
+    df = spark.range(5000).select(F.xxhash64("id").alias("k"))
+    indexed = dense_index(df, "k")
+    text = indexed._jdf.queryExecution().executedPlan().toString()
+    assert text.count("SinglePartition") == 1
+    assert re.search(r"SinglePartition[^\n]*\n[^\n]*HashAggregate\(keys=\[_range3", text)
+    got = [r.k for r in indexed.orderBy("place").collect()]
+    assert got == sorted(got) and len(got) == 5000
+
+
+@pytest.mark.parametrize("bits", [8, 16, 33])
+def test_dense_index(spark, bits):
+    keys = [-(1 << 63), -70_000, -5, 0, 1, 2, 30, 31, 500, 10_000, 1 << 40, (1 << 63) - 1]
     df = spark.createDataFrame([(k,) for k in reversed(keys)], "k long")
-    got = {r.place: r.k for r in dense_index(df, "k", bucket).collect()}
+    got = {r.place: r.k for r in dense_index(df, "k", bits).collect()}
     assert [got[i] for i in range(len(keys))] == keys

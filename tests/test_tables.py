@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from salesmart.operators import landing
+from salesmart.operators import landing, verify
 from salesmart.plans.build import RunOptions, build_all, write_all
 from salesmart.schemas import CUSTOMERS, ORDERS, WIDTHS, column_defaults
 from salesmart.sources import readers, tables
@@ -43,12 +43,17 @@ def test_widths(spark):
     rows = fx.customers(spark, {"customer_id": 1, "first_name": "é" * 60, "phone": None})
     got = landing.truncate_to(rows, WIDTHS["customers"]).first()
     assert (got.first_name, got.phone) == ("é" * 50, None)
+    assert landing.fit_widths(rows, WIDTHS["customers"], cut=True).first().first_name == "é" * 50
+    with pytest.raises(PySparkException, match="first_name is longer than 50"):
+        landing.fit_widths(rows, WIDTHS["customers"]).collect()
 
 
 def test_upsert(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     changes = spark.createDataFrame([("B", 2), ("C", 3)], "v string, k int")
     assert pairs(landing.upsert(target, changes, "k")) == [(1, "a"), (2, "B"), (3, "C")]
+    with pytest.raises(PySparkException, match="changed twice"):
+        landing.upsert(target, changes.union(changes), "k").collect()
 
 
 def test_latest_changes(spark):
@@ -89,6 +94,33 @@ def test_failed_refresh_keeps_the_old_table(spark):
     assert spark.table("s2.t").count() == 3
 
 
+def test_failed_change_of_columns_keeps_the_old_table(spark, monkeypatch):
+    tables.full_refresh(spark.range(3), "s4.t")
+    real = type(spark).sql
+
+    def failing(self, text, *args, **kwargs):
+        if "__next RENAME" in text:
+            raise OSError("catalog is gone")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    wider = spark.range(4).withColumn("x", F.lit(1))
+    with pytest.raises(OSError):
+        tables.full_refresh(wider, "s4.t")
+    monkeypatch.undo()
+    assert spark.table("s4.t__old").count() == 3
+    again = tables.full_refresh(wider, "s4.t")
+    assert again.columns == ["id", "x"] and again.count() == 4
+    assert not spark.catalog.tableExists("s4.t__old")
+
+
+def test_folders_unknown_to_the_catalog_are_not_overwritten(spark):
+    tables.full_refresh(spark.range(3), "s5.t")
+    spark.sql("DROP TABLE s5.t")
+    with pytest.raises(PySparkException):
+        tables.full_refresh(spark.range(4), "s5.t")
+
+
 def test_foreign_tables_are_not_replaced(spark):
     tables.ensure_layer(spark, "s3")
     spark.range(1).write.mode("overwrite").saveAsTable("s3.t")
@@ -103,6 +135,10 @@ def test_load_all_lands_names_in_capitals(spark):
     assert landed["orders"].columns == [c.upper() for c in ORDERS.names]
     assert {n: df.count() for n, df in landed.items()} == {
         "customers": 2, "products": 2, "orders": 3}
+    told = verify.verify_landing(landed)
+    assert {r.table_name: r.row_count for r in told["row_counts"].collect()} == {
+        "customers": 2, "products": 2, "orders": 3}
+    assert told["sample_orders"].count() == 3
     bound = tables.bind(spark, "land1", list(sources))
     mart = build_all(bound, RunOptions(as_of=fx.AS_OF))["revenue_analysis"]
     assert [r.total_orders for r in mart.collect()] == [1, 2]
@@ -128,7 +164,10 @@ def test_write_all(spark):
             assert pairs(written[name]) == pairs(df), name
     assert spark.table("wh_core.fact_orders").count() == 3
     assert spark.table("wh_finance.revenue_analysis").count() == 2
-    assert spark.table("stg_orders").count() == 3
+    assert spark.table("wh_stg_orders").count() == 3
+    for name in ("dim_customers", "dim_products", "dim_dates", "fact_orders", "revenue_analysis"):
+        stamps = [c for c in written[name].columns if c.startswith("dw_")]
+        assert stamps and all(written[name].where(F.col(c).isNull()).isEmpty() for c in stamps)
     write_all(fx.good_sources(spark), options, prefix="wh")  # and again, over the old ones
     assert spark.table("wh_core.fact_orders").count() == 3
 
@@ -138,11 +177,16 @@ def test_layer_names():
     assert tables.layer_name("core", "public") == "public_core"
 
 
-def test_jdbc_ranges_grow_with_the_keys():
-    got = readers.split_options("orders", "order_id", 1, 2_500_000, 1_000_000)
+def test_jdbc_ranges_grow_with_the_rows():
+    got = readers.split_options("orders", "order_id", 1, 2_500_000, 2_500_000, 1_000_000)
     assert got["numPartitions"] == "3"
     assert (got["lowerBound"], got["upperBound"]) == ("1", "2500001")
-    assert "partitionColumn" not in readers.split_options("orders", "order_id", None, None, 10)
+    assert "partitionColumn" not in readers.split_options("orders", "order_id", None, None, 0, 10)
+    # Hashed keys over all 64 bits, negative ones, and more rows than keys.
+    hashed = readers.split_options("t", "k", -(1 << 63), (1 << 63) - 1, 5_000_000, 1_000_000)
+    assert hashed["numPartitions"] == "5" and hashed["lowerBound"] == str(-(1 << 63))
+    assert readers.split_options("t", "k", -9, -5, 10**6, 10)["numPartitions"] == "5"
+    assert readers.split_options("t", "k", 1, 9, 0, 10)["numPartitions"] == "1"
 
 
 def test_read_parquet(spark, tmp_path):
@@ -166,7 +210,7 @@ def test_merge_rewrites_touched_ranges_only(spark):
         [(25, 1, "new"), (25, 2, "added"), (31, 1, "added")],
         "order_id long, product_id int, v string",
     )
-    merged = tables.merge_ranged(changes, "r1.t", ["order_id", "product_id"], "order_id", 10)
+    merged = tables.merge_ranged(changes, "r1.t", ["order_id", "product_id"])
     got = {(r.order_id, r.product_id): r.v for r in merged.collect()}
     assert len(got) == 32 and merged.count() == 32
     assert (got[25, 1], got[25, 2], got[31, 1], got[24, 1]) == ("new", "added", "added", "old")
@@ -174,9 +218,58 @@ def test_merge_rewrites_touched_ranges_only(spark):
     assert untouched and set(untouched) <= ranged_files(spark, "r1.t")
 
 
-def test_merge_needs_the_range_key_in_the_key(spark):
-    with pytest.raises(ValueError):
-        tables.merge_ranged(spark.range(1), "r1.none", ["id"], "other", 10)
+def test_merge_needs_a_ranged_table_and_its_key(spark):
+    tables.create_ranged(spark.range(5).selectExpr("id", "id AS other"), "r4.t", "id", 10)
+    with pytest.raises(ValueError, match="range key id"):
+        tables.merge_ranged(spark.table("r4.t").drop("key_range"), "r4.t", ["other"])
+    tables.full_refresh(spark.range(3), "r4.plain")
+    with pytest.raises(ValueError, match="create_ranged"):
+        tables.merge_ranged(spark.range(1), "r4.plain", ["id"])
+
+
+def test_merge_refuses_null_keys_and_repeats(spark):
+    rows = spark.range(20).selectExpr("id AS order_id", "'old' AS v")
+    tables.create_ranged(rows, "r5.t", "order_id", 10)
+    schema = "order_id long, v string"
+    with pytest.raises(ValueError, match="NULL"):
+        tables.merge_ranged(spark.createDataFrame([(1, "n"), (None, "n")], schema), "r5.t", ["order_id"])
+    with pytest.raises(PySparkException, match="changed twice"):
+        tables.merge_ranged(spark.createDataFrame([(1, "n"), (1, "m")], schema), "r5.t", ["order_id"])
+    with pytest.raises(ValueError, match="NULL"):
+        tables.create_ranged(spark.createDataFrame([(None, "n")], schema), "r5.u", "order_id", 10)
+    assert pairs(spark.table("r5.t").select("v").distinct()) == [("old",)]
+
+
+def test_merge_that_fails_while_switching_can_be_repeated(spark, monkeypatch):
+    rows = spark.range(40).selectExpr("id AS order_id", "'old' AS v")
+    tables.create_ranged(rows.repartition(4), "r6.t", "order_id", 10)
+    assert len(ranged_files(spark, "r6.t")) == 4  # one file per range
+    changes = rows.withColumn("v", F.lit("new")).where("order_id % 3 = 0")
+    real, calls = type(spark).sql, []
+
+    def failing(self, text, *args, **kwargs):
+        if "SET LOCATION" in text:
+            calls.append(text)
+            if len(calls) == 3:
+                raise OSError("catalog is gone")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(OSError):
+        tables.merge_ranged(changes, "r6.t", ["order_id"])
+    spark.catalog.refreshTable("r6.t")
+    assert spark.table("r6.t").count() == 40
+    merged = tables.merge_ranged(changes, "r6.t", ["order_id"])
+    assert {r.order_id for r in merged.collect() if r.v == "new"} == set(range(0, 40, 3))
+    assert merged.count() == 40 and len(ranged_files(spark, "r6.t")) == 4
+
+
+def test_merge_removes_rows(spark):
+    rows = spark.range(30).selectExpr("id AS order_id", "'old' AS v")
+    tables.create_ranged(rows, "r7.t", "order_id", 10)
+    removed = spark.range(20, 30).selectExpr("id AS order_id").union(spark.range(3, 4))
+    merged = tables.merge_ranged(rows.where("order_id = 3"), "r7.t", ["order_id"], removed)
+    assert sorted(r.order_id for r in merged.collect()) == list(range(20))
 
 
 def test_stream_of_changes(spark, tmp_path):
@@ -187,7 +280,7 @@ def test_stream_of_changes(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(schema).parquet(feed)
-        query = stream_merge(stream, "r2.t", ["order_id"], "order_id", 10, "at", checkpoint)
+        query = stream_merge(stream, "r2.t", ["order_id"], "at", checkpoint)
         query.awaitTermination(120)
         spark.catalog.refreshTable("r2.t")  # written by the stream's own session
         return {r.order_id: r.v for r in spark.table("r2.t").collect()}
