@@ -1,7 +1,9 @@
 """Declared data checks, one by one or as a suite.
 
-The suite scans each table once, whatever is checked on it, and shuffles only the values of
-its key columns, counted map-side first.
+The suite reads each table once, whatever is checked on it (the plan of a table that is not
+written is repeated where a later one is built on it: run it over written tables), and
+shuffles only the values of its key columns, in a number or a few bytes, counted map-side
+first.
 """
 
 import datetime as dt
@@ -11,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions.audit import run_time
 from salesmart.sources.tables import full_refresh
@@ -35,31 +38,59 @@ def _declared() -> tuple[Check, ...]:
     # Table -> (unique columns, not-null columns, references).
     rules = {
         "customers": (
-            "customer_id email", "customer_id email first_name last_name", {}),
+            ("customer_id", "email"),
+            ("customer_id", "email", "first_name", "last_name"),
+            {},
+        ),
         "products": (
-            "product_id", "product_id product_name unit_price cost_price", {}),
+            ("product_id",),
+            ("product_id", "product_name", "unit_price", "cost_price"),
+            {},
+        ),
         "orders": (
-            "", "order_id customer_id product_id total_amount quantity",
+            (),
+            ("order_id", "customer_id", "product_id", "total_amount", "quantity"),
             {"customer_id": ("customers", "customer_id"),
-             "product_id": ("products", "product_id")}),
+             "product_id": ("products", "product_id")},
+        ),
         "stg_customers": (
-            "customer_key customer_id email", "customer_key customer_id email", {}),
-        "stg_products": ("product_key product_id", "product_key product_id unit_price", {}),
-        "stg_orders": ("order_key", "order_key customer_id product_id total_amount", {}),
+            ("customer_key", "customer_id", "email"),
+            ("customer_key", "customer_id", "email"),
+            {},
+        ),
+        "stg_products": (
+            ("product_key", "product_id"),
+            ("product_key", "product_id", "unit_price"),
+            {},
+        ),
+        "stg_orders": (
+            ("order_key",),
+            ("order_key", "customer_id", "product_id", "total_amount"),
+            {},
+        ),
         "dim_customers": (
-            "customer_key customer_id email", "customer_key customer_id email", {}),
-        "dim_products": ("product_key product_id", "product_key product_id unit_price", {}),
-        "dim_dates": ("date_key full_date", "date_key full_date", {}),
+            ("customer_key", "customer_id", "email"),
+            ("customer_key", "customer_id", "email"),
+            {},
+        ),
+        "dim_products": (
+            ("product_key", "product_id"),
+            ("product_key", "product_id", "unit_price"),
+            {},
+        ),
+        "dim_dates": (("date_key", "full_date"), ("date_key", "full_date"), {}),
         "fact_orders": (
-            "order_key", "order_key customer_key product_key date_key total_amount",
+            ("order_key",),
+            ("order_key", "customer_key", "product_key", "date_key", "total_amount"),
             {"customer_key": ("dim_customers", "customer_key"),
              "product_key": ("dim_products", "product_key"),
-             "date_key": ("dim_dates", "date_key")}),
+             "date_key": ("dim_dates", "date_key")},
+        ),
     }
     checks = []
     for table, (unique, not_null, references) in rules.items():
-        checks += [Check("unique", table, c) for c in unique.split()]
-        checks += [Check("not_null", table, c) for c in not_null.split()]
+        checks += [Check("unique", table, c) for c in unique]
+        checks += [Check("not_null", table, c) for c in not_null]
         checks += [Check("relationship", table, c, *to) for c, to in references.items()]
     return tuple(checks)
 
@@ -72,17 +103,29 @@ def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Values are given as text; NULLs are left out.
     """
-    cells = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in columns
-    ]
-    return (
-        df.select(F.inline(F.array(*cells)))
-        .where("value is not null")
-        .groupBy("column_name", "value")
+    cells = ", ".join(_cell(df, c, place) for place, c in enumerate(columns))
+    repeated = (
+        df.selectExpr(f"inline(array({cells}))")
+        .where("number IS NOT NULL OR bytes IS NOT NULL")
+        .groupBy(*_VALUE)
         .agg(F.count(F.lit(1)).alias("occurrences"))
         .where("occurrences > 1")
     )
+    # Values get their text back once only the repeated ones are left.
+    text = F.lit(None).cast("string")
+    for place, c in enumerate(columns):
+        kind = df.schema[c].dataType
+        shown = F.col("bytes").cast("string")
+        if isinstance(kind, T.IntegralType):
+            shown = F.col("number").cast("string")
+        elif isinstance(kind, T.DateType):
+            shown = F.date_from_unix_date(F.col("number").cast("int")).cast("string")
+        elif c.endswith("_key"):
+            key = F.octet_length("bytes") == 16
+            shown = F.when(key, F.lower(F.hex("bytes"))).otherwise(shown)
+        text = F.when(F.col("place") == place, shown).otherwise(text)
+    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("place") + 1)
+    return repeated.select(names.alias("column_name"), text.alias("value"), "occurrences")
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -108,8 +151,33 @@ def check_relationship(
     return values.join(keys, "value", "left_anti")
 
 
+def _narrow(df: DataFrame, column: str) -> tuple[str, str]:
+    """SQL of a value as a number and as bytes: one of them, in as few bytes as it takes.
+
+    Whole numbers and days are numbers, surrogate keys their 16 bytes instead of 32
+    letters, and all else the bytes of its text.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        return f"CAST({column} AS BIGINT)", "CAST(NULL AS BINARY)"
+    if isinstance(kind, T.DateType):
+        return f"CAST(unix_date({column}) AS BIGINT)", "CAST(NULL AS BINARY)"
+    text = f"CAST(CAST({column} AS STRING) AS BINARY)"
+    if column.endswith("_key"):
+        text = f"IF({column} RLIKE '^[0-9a-f]{{32}}$', unhex({column}), {text})"
+    return "CAST(NULL AS BIGINT)", text
+
+
+_VALUE = ("place", "number", "bytes")
+
+
+def _cell(df: DataFrame, column: str, place: int) -> str:
+    number, text = _narrow(df, column)
+    return f"named_struct('place', {place}, 'number', {number}, 'bytes', {text})"
+
+
 def _value_counts(df: DataFrame, checks: Sequence[Check], columns: Sequence[str]) -> DataFrame:
-    """``(place, value, occurrences)`` over the checked columns, by their place in the list.
+    """``(place, number, bytes, occurrences)`` over the checked columns, by their place.
 
     Every value of the columns to compare; of columns that just must not be NULL, the
     NULLs alone.
@@ -117,12 +185,12 @@ def _value_counts(df: DataFrame, checks: Sequence[Check], columns: Sequence[str]
     compared = {c.column for c in checks if c.kind != "not_null"}
     cells = []
     for place, name in enumerate(columns):
-        cell = f"named_struct('place', {place}, 'value', CAST({name} AS STRING))"
+        cell = _cell(df, name, place)
         cells.append(cell if name in compared else f"IF({name} IS NULL, {cell}, NULL)")
     return (
         df.selectExpr(f"inline(array({', '.join(cells)}))")
         .where("place IS NOT NULL")
-        .groupBy("place", "value")
+        .groupBy(*_VALUE)
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
 
@@ -130,13 +198,13 @@ def _value_counts(df: DataFrame, checks: Sequence[Check], columns: Sequence[str]
 def _parent_keys(
     tables: Mapping[str, DataFrame], checks: Sequence[Check], columns: Sequence[str]
 ) -> DataFrame | None:
-    """Distinct ``(place, value)`` of the keys the referring columns may hold."""
-    keys = [
-        tables[c.parent].selectExpr(
-            f"{columns.index(c.column)} AS place", f"CAST({c.parent_key} AS STRING) AS value"
-        )
-        for c in checks if c.kind == "relationship"
-    ]
+    """Distinct ``(place, number, bytes)`` of the keys the referring columns may hold."""
+    keys = []
+    for c in checks:
+        if c.kind == "relationship":
+            parent = tables[c.parent]
+            cell = _cell(parent, c.parent_key, columns.index(c.column))
+            keys.append(parent.selectExpr(f"{cell} AS cell").select("cell.*"))
     return reduce(DataFrame.unionByName, keys).distinct() if keys else None
 
 
@@ -152,12 +220,18 @@ def table_failures(
     else:
         # Values are single by now: one held by most of the table is joined once.
         known = known.withColumn("known", F.lit(True))
-        counts = counts.join(known, ["place", "value"], "left")
+        same = reduce(
+            lambda a, b: a & b, [counts[c].eqNullSafe(known[c]) for c in _VALUE]
+        )
+        counts = counts.join(known, same, "left").select(
+            *[counts[c] for c in _VALUE], "occurrences", "known"
+        )
 
+    null = "(number IS NULL AND bytes IS NULL)"
     wrong = {
-        "unique": "IF(occurrences > 1 AND value IS NOT NULL, 1, 0)",
-        "not_null": "IF(value IS NULL, occurrences, 0)",
-        "relationship": "IF(known IS NULL AND value IS NOT NULL, occurrences, 0)",
+        "unique": f"IF(occurrences > 1 AND NOT {null}, 1, 0)",
+        "not_null": f"IF({null}, occurrences, 0)",
+        "relationship": f"IF(known IS NULL AND NOT {null}, occurrences, 0)",
     }
     totals = counts.agg(*[
         F.expr(

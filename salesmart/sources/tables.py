@@ -21,7 +21,15 @@ def layer_name(layer: str, prefix: str | None = None) -> str:
 def ensure_layer(spark: SparkSession, schema: str) -> str:
     """Create the schema if needed; return the folder its tables live under."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
-    return spark.catalog.getDatabase(schema).locationUri.rstrip("/")
+    folder = spark.catalog.getDatabase(schema).locationUri.rstrip("/")
+    refuse_local(spark.sparkContext.master, folder)
+    return folder
+
+
+def refuse_local(master: str, folder: str) -> None:
+    """Tables of a cluster belong in a store that all its machines see."""
+    if folder.startswith("file:") and not master.startswith("local"):
+        raise ValueError(f"{folder} is local: set spark.sql.warehouse.dir to a shared store")
 
 
 def bind(spark: SparkSession, schema: str, tables: Sequence[str]) -> dict[str, DataFrame]:

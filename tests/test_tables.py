@@ -172,6 +172,13 @@ def test_write_all(spark):
     assert spark.table("wh_core.fact_orders").count() == 3
 
 
+def test_local_folders_are_for_local_runs():
+    tables.refuse_local("local[8]", "file:/tmp/warehouse")
+    tables.refuse_local("yarn", "hdfs://store/warehouse")
+    with pytest.raises(ValueError, match="spark.sql.warehouse.dir"):
+        tables.refuse_local("yarn", "file:/tmp/warehouse")
+
+
 def test_layer_names():
     assert tables.layer_name("core") == "core"
     assert tables.layer_name("core", "public") == "public_core"
