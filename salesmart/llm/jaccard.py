@@ -21,8 +21,8 @@ Inside a region the pivots are documents:
    move on to the pivots of their window in the new order, and the steps are repeated
    there. Documents that have no other pivots left meet in the regions of these shingles.
 
-Every comparison starts with bounds (sizes, then counts of shingles in 64 classes, whose
-difference never exceeds that of the sets) and ends with the sets themselves.
+Every comparison starts with bounds (sizes, then counts of shingles by classes of their
+hash, whose difference never exceeds that of the sets) and ends with the sets themselves.
 """
 
 from collections.abc import Iterator
@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.shared import Scratch, components, mixed, plain_text, word_hashes
 
-CLASSES = 64
+CLASSES = 64  # at least; longer documents have one for about 16 shingles
+MOST_CLASSES = 1 << 16
 MOST_STRAYS = 64  # beyond it a region's shingle goes to the end of the order
 SPARE = 16  # pivots kept beyond one and a half of a document's windows
 SETS = (
@@ -82,6 +83,25 @@ def _texts(batch: pd.DataFrame) -> list[bytes]:
     return [t.encode() for t in batch["text"]]
 
 
+def class_counts(values: np.ndarray) -> np.ndarray:
+    """Shingles per class (the last bits of their hash), up to 255."""
+    size = min(MOST_CLASSES, max(CLASSES, 1 << (len(values) // 16).bit_length()))
+    counts = np.bincount((values & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def class_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """At most the number of shingles that only one of two documents has.
+
+    Finer classes are added up to the coarser ones; counts stop at 255 on either side, so
+    what stops there can only bring the two closer.
+    """
+    if len(x) < len(y):
+        x, y = y, x
+    x = np.minimum(x.reshape(-1, len(y)).sum(axis=0, dtype=np.int64), 255)
+    return int(np.abs(x - y.astype(np.int64)).sum())
+
+
 def _same(values: np.ndarray) -> bytes:
     """128 bits that stand for a whole set."""
     return np.array([
@@ -96,11 +116,10 @@ def _sets(similarity: Similarity):
             rows = []
             for key, own, hashes in zip(batch["doc_id"], batch["mark"], word_hashes(_texts(batch))):
                 values = shingles(hashes, similarity.words)
-                counts = np.bincount(values & np.uint64(CLASSES - 1), minlength=CLASSES)
                 spare = 3 * similarity.window(len(values)) // 2 + SPARE
                 rows.append((
                     key, own, node, len(values), _same(values),
-                    np.minimum(counts, 65535).astype("<u2").tobytes(),
+                    class_counts(values).tobytes(),
                     values[:spare].view(np.int64),
                 ))
                 node += 1
@@ -131,11 +150,11 @@ def _near(percent: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x, y = (
-                np.frombuffer(b"".join(batch[c]), "<u2").reshape(-1, CLASSES).astype(np.int64)
-                for c in ("a_classes", "b_classes")
-            )
-            apart = np.abs(x - y).sum(axis=1)
+            pairs = zip(batch["a_classes"], batch["b_classes"])
+            apart = np.array([
+                class_difference(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8))
+                for a, b in pairs
+            ], np.int64)
             sizes = batch["a_n"].to_numpy() + batch["b_n"].to_numpy()
             # intersection >= t * union, with intersection = (sizes - apart) / 2
             keep = 100 * (sizes - apart) >= percent * (sizes + apart)
