@@ -179,3 +179,18 @@ def test_components(spark):
         **{i: 0 for i in range(61)}, 100: 100, 200: 100, 300: 100,
         **{1000 + i: 1000 for i in range(50)},
     }
+
+
+def test_class_difference_is_a_bound():
+    rng = np.random.default_rng(4)
+    for n, m, common in ((10, 12, 8), (900, 1100, 700), (5000, 4000, 3000), (40_000, 70_000, 9000)):
+        x, y = (rng.integers(0, 1 << 63, k).astype(np.uint64) for k in (n, m))
+        y[:common] = x[:common]
+        apart = len(np.setxor1d(x, y))
+        found = jaccard.class_difference(jaccard.class_counts(x), jaccard.class_counts(y))
+        assert found <= apart
+        same = jaccard.class_difference(jaccard.class_counts(x), jaccard.class_counts(x))
+        assert same == 0
+    # All in one class: counts that stop at 255 must not look apart.
+    one, two = np.full(70_000, 5, np.uint64), np.full(900, 5, np.uint64)
+    assert jaccard.class_difference(jaccard.class_counts(one), jaccard.class_counts(two)) == 0
