@@ -7,10 +7,14 @@ smaller the sum of squared distances to the cell borders that are crossed, the e
 What the tables find is merged and ranked by the exact inner product.
 
 Inner products are made distances by one more component: vectors are scaled into the unit
-ball and completed to length one, queries scaled to length one and given a zero.
-
-Buckets are spread over tasks. A bucket with many vectors is cut into parts of at most
-about ``part_rows``, and its queries go to each of them, so a bucket with a third of all
+ball and completed to length one, queries scaled to length one and given a zero. Vectors
+whose norms lie between the same powers of two are a range and scaled by the longest of
+them, so a long vector does not draw the others together. A range of few rows is met by
+every query, and a query that meets fewer than ``neighbours`` rows in all its buckets is
+compared with every row.
+
+Buckets are spread over tasks. A bucket with many vectors is cut into parts of about
+``part_rows``, and its queries go to each of them, so a bucket with a third of all
 rows is as many tasks' work as it has parts.
 """
 
@@ -41,6 +45,7 @@ class Probing:
     probes: int = 12
     width: float = 1.0
     part_rows: int = 4096
+    small_range: int = 256
     seed: int = 7
 
     def directions(self, table: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,14 +84,27 @@ def _stacked(batch: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in batch])
 
 
-def _hashed(probing: Probing, longest: float):
-    """Rows (vec_id, embedding) with their bucket in every table."""
+EVERYONE = -1  # the table whose only bucket every query visits
+
+
+def _hashed(probing: Probing, longest: dict[int, float]):
+    """Rows (vec_id, embedding, range) with their bucket in every table.
+
+    ``longest`` has the norm to scale by for each range that is not small.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            vectors = _stacked(batch["embedding"]) / longest
+            scale = batch.pop("range").map(longest)
+            small = scale.isna()
+            if small.any():
+                yield batch[small].assign(table=np.int32(EVERYONE), bucket=np.int64(0))
+            if small.all():
+                continue
+            batch = batch[~small]
+            vectors = _stacked(batch["embedding"]) / scale[~small].to_numpy(float)[:, None]
             rest = np.sqrt(np.maximum(0, 1 - (vectors**2).sum(axis=1)))
             vectors = np.column_stack([vectors, rest])
             for table in range(probing.tables):
@@ -107,6 +125,9 @@ def _probed(probing: Probing):
             vectors = _stacked(batch["embedding"])
             vectors /= np.linalg.norm(vectors, axis=1)[:, None]
             vectors = np.column_stack([vectors, np.zeros(len(vectors))])
+            yield batch.assign(
+                table=np.int32(EVERYONE), probe=np.int32(0), bucket=np.int64(0)
+            )
             for table in range(probing.tables):
                 cells, within = _cells(vectors, table, probing)
                 down, up = within[:, None, :] ** 2, (1 - within[:, None, :]) ** 2
@@ -153,21 +174,26 @@ def _ranked(probing: Probing):
 def nearest(vectors: DataFrame, queries: DataFrame, probing: Probing) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the vectors of largest inner product found.
 
-    Both tables have vec_id and embedding. Vectors that are null, empty, zero, or hold a
+    Every query gets ``neighbours`` rows, or all candidates if there are fewer. Both tables
+    have vec_id and embedding. Vectors that are null, empty, zero, or hold a
     null or non-finite component take no part, and a row without a vec_id neither; all
     others must have one length. Ties go to the smaller vec_id; rows that repeat a vec_id
     and its vector count once. A query's own vec_id is no candidate. Further columns are
     ignored; empty tables give an empty result.
     """
     scratch = Scratch(vectors.sparkSession, "neighbours")
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    # Null, the range of what is too short for a logarithm, is a range too.
+    power = F.coalesce(F.floor(F.log2(length)).cast("int"), F.lit(-(1 << 20)))
     kept = vectors.where(usable("embedding") & F.col("vec_id").isNotNull()).select(
-        F.col("vec_id").cast("long").alias("vec_id"), "embedding"
+        F.col("vec_id").cast("long").alias("vec_id"), "embedding", power.alias("range")
     ).distinct()
     asked = queries.where(usable("embedding") & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("query_id"), "embedding"
     ).distinct()
-    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    longest = kept.agg(F.max(length)).first()[0] or 1.0
+    ranges = kept.groupBy("range").agg(F.max(length).alias("longest"), F.count("*").alias("n"))
+    ranges = ranges.where(F.col("n") > probing.small_range).collect()  # a row a power of two
+    longest = {r["range"]: r["longest"] or 1.0 for r in ranges}
     kind = kept.schema["embedding"].dataType.simpleString()
     hashed = scratch.write(
         kept.mapInPandas(
@@ -175,14 +201,30 @@ def nearest(vectors: DataFrame, queries: DataFrame, probing: Probing) -> DataFra
         ),
         "hashed",
     )
-    parts = hashed.groupBy("table", "bucket").count().select(
-        "table", "bucket", F.ceil(F.col("count") / probing.part_rows).cast("int").alias("parts")
-    )
-    parts = scratch.write(parts, "parts")
     probed = asked.mapInPandas(
         _probed(probing),
         f"query_id long, embedding {kind}, table int, probe int, bucket long",
     )
+    ranked = scratch.write(_compared(probed, hashed, probing, scratch, "met"), "ranked")
+    full = ranked.where(F.col("rank") == probing.neighbours).select("query_id")
+    short = scratch.write(asked.join(full, "query_id", "left_anti"), "short")
+    if short.isEmpty():
+        return ranked
+    one = {"table": F.lit(EVERYONE), "bucket": F.lit(0).cast("long")}
+    rest = _compared(
+        short.withColumns(one), kept.drop("range").withColumns(one), probing, scratch, "all"
+    )
+    return ranked.join(full, "query_id", "left_semi").select(*ranked.columns).union(rest)
+
+
+def _compared(
+    probed: DataFrame, hashed: DataFrame, probing: Probing, scratch: Scratch, name: str
+) -> DataFrame:
+    """query_id, rank, vec_id, score: the best of what queries and vectors share buckets."""
+    parts = hashed.groupBy("table", "bucket").count().select(
+        "table", "bucket", F.ceil(F.col("count") / probing.part_rows).cast("int").alias("parts")
+    )
+    parts = scratch.write(parts, f"parts-{name}")
     key = ["table", "bucket", "part"]
     probed = probed.join(parts, ["table", "bucket"]).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -191,10 +233,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, probing: Probing) -> DataFra
         "part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
     )
     columns = [*key, "embedding"]
+    kind = "query_id long, vec_id long, score double"
     found = (
         probed.select("query_id", *columns).groupBy(*key)
         .cogroup(placed.select("vec_id", *columns).groupBy(*key))
-        .applyInPandas(_ranked(probing), "query_id long, vec_id long, score double")
+        .applyInPandas(_ranked(probing), kind)
     )
     # The same pair from several tables has the same score.
     merged = found.distinct()

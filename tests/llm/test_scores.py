@@ -174,6 +174,29 @@ def test_nearest(spark):
     assert neighbours.nearest(df.limit(0), asked.limit(0), everything).count() == 0
 
 
+def test_nearest_of_unequal_norms_and_small_tables(spark):
+    """20 rows a query, or all candidates, and true ones, whatever the lengths are."""
+    rng = np.random.default_rng(8)
+    unit = rng.normal(size=(900, 32))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    outlier = unit.copy()
+    outlier[5] *= 1000
+    spread = unit * 2.0 ** rng.integers(-3, 4, 900)[:, None]
+    for table, asked in ((outlier, 40), (spread, 40), (unit[:15], 15), (unit[:20], 20), (unit[:1], 1)):
+        rows = [(i, [float(x) for x in v], "x", "x") for i, v in enumerate(table)]
+        df = spark.createDataFrame(rows, VECTORS)
+        found = collections.defaultdict(set)
+        for r in neighbours.nearest(df, df.where(f"vec_id < {asked}"), neighbours.Probing()).collect():
+            found[r.query_id].add(r.vec_id)
+        size = min(20, len(table) - 1)
+        scores = np.float32(table[:asked]).astype(float) @ np.float32(table).astype(float).T
+        np.fill_diagonal(scores, -np.inf)
+        best = np.argsort(-scores, axis=1)[:, :size]
+        assert all(len(found[q]) == size for q in range(asked))
+        hits = [len(found[q] & set(best[q])) for q in range(asked)]
+        assert sum(hits) >= 0.9 * size * asked
+
+
 def entropy(tokens, tau):
     w = np.array(tokens, float) ** tau
     w /= w.sum()
