@@ -13,9 +13,10 @@ them, so a long vector does not draw the others together. A range of few rows is
 every query, and a query that meets fewer than ``neighbours`` rows in all its buckets is
 compared with every row.
 
-Buckets are spread over tasks. A bucket with many vectors is cut into parts of about
-``part_rows``, and its queries go to each of them, so a bucket with a third of all
-rows is as many tasks' work as it has parts.
+Buckets are spread over tasks. The vectors of a bucket are cut into parts of about
+``part_rows``, its queries too, and each part of the one meets each part of the other.
+What a task holds at a time is bounded, and a bucket with a third of all rows is as many
+tasks' work as it has pairs of parts.
 """
 
 from collections.abc import Iterator
@@ -221,23 +222,30 @@ def _compared(
     probed: DataFrame, hashed: DataFrame, probing: Probing, scratch: Scratch, name: str
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the best of what queries and vectors share buckets."""
-    parts = hashed.groupBy("table", "bucket").count().select(
-        "table", "bucket", F.ceil(F.col("count") / probing.part_rows).cast("int").alias("parts")
-    )
-    parts = scratch.write(parts, f"parts-{name}")
-    key = ["table", "bucket", "part"]
-    probed = probed.join(parts, ["table", "bucket"]).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
-    placed = hashed.join(parts, ["table", "bucket"]).withColumn(
-        "part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
+    bucket = ["table", "bucket"]
+
+    def parts(rows: DataFrame, column: str) -> DataFrame:
+        count = F.ceil(F.col("count") / probing.part_rows).cast("int")
+        return rows.groupBy(*bucket).count().select(*bucket, count.alias(column))
+
+    sizes = scratch.write(
+        parts(hashed, "parts").join(parts(probed, "query_parts"), bucket), f"parts-{name}"
     )
-    columns = [*key, "embedding"]
-    kind = "query_id long, vec_id long, score double"
+
+    def dealt(rows: DataFrame, row_id: str, own: tuple[str, str], other: tuple[str, str]):
+        """Each row in its own part, with every part of the other side."""
+        number = F.pmod(F.xxhash64(row_id, "embedding"), F.col(own[1])).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1))
+        return rows.join(sizes, bucket).withColumn(own[0], number).withColumn(
+            other[0], every
+        ).select(row_id, *key, "embedding")
+
+    key = [*bucket, "part", "query_part"]
+    vector, query = ("part", "parts"), ("query_part", "query_parts")
     found = (
-        probed.select("query_id", *columns).groupBy(*key)
-        .cogroup(placed.select("vec_id", *columns).groupBy(*key))
-        .applyInPandas(_ranked(probing), kind)
+        dealt(probed, "query_id", query, vector).groupBy(*key)
+        .cogroup(dealt(hashed, "vec_id", vector, query).groupBy(*key))
+        .applyInPandas(_ranked(probing), "query_id long, vec_id long, score double")
     )
     # The same pair from several tables has the same score.
     merged = found.distinct()

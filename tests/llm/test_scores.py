@@ -197,6 +197,33 @@ def test_nearest_of_unequal_norms_and_small_tables(spark):
         assert sum(hits) >= 0.9 * size * asked
 
 
+def test_nearest_holds_bounded_groups(spark, tmp_path, monkeypatch):
+    """No group has many more queries or vectors than a part, even of one bucket."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=8)], "x", "x") for i in range(600)]
+    df, ranked = spark.createDataFrame(rows, VECTORS), neighbours._ranked
+    folder = str(tmp_path)
+
+    def watched(probing):
+        run = ranked(probing)
+
+        def see(queries, vectors):
+            import pathlib
+            import uuid
+
+            name = f"{len(queries)}-{len(vectors)}-{uuid.uuid4().hex}"
+            (pathlib.Path(folder) / name).touch()
+            return run(queries, vectors)
+
+        return see
+
+    monkeypatch.setattr(neighbours, "_ranked", watched)
+    one_bucket = neighbours.Probing(tables=1, hashes=1, probes=3, width=40.0, part_rows=50)
+    assert neighbours.nearest(df, df, one_bucket).count() == 600 * 20
+    sizes = [tuple(map(int, p.name.split("-")[:2])) for p in tmp_path.iterdir()]
+    assert max(q for q, _ in sizes) < 120 and max(v for _, v in sizes) < 120
+
+
 def entropy(tokens, tau):
     w = np.array(tokens, float) ** tau
     w /= w.sum()
