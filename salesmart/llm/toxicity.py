@@ -3,7 +3,9 @@
 A token's score is its log-odds between toxic and clean labelled documents, with Dirichlet
 priors: a word's prior is the share of its first five bytes, theirs that of the first four
 bytes, theirs that of the whole corpus, so that rare and unseen forms lean on their stem.
-Counts are kept in a table of fixed size, by hash of the token.
+Counts are exact and kept in a written table by the 64-bit hash of the token, which grows
+with the words of the corpus. The most frequent ones, at most ``HEAD``, go to every task;
+the scores of rarer tokens are joined to the documents that have them.
 
 Scores less a drift are negative on average in clean text. One pass over a document finds
 all maximal scoring segments (every one that cannot be made better by growing or
@@ -15,7 +17,7 @@ a logistic fit on labelled documents that were not counted.
 """
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -26,40 +28,91 @@ from pyspark.sql import functions as F
 from salesmart.llm.logistic import fit_logistic, sigmoid
 from salesmart.llm.shared import Rolling, Scratch, batches, byte_table, plain_text, stretches
 
-CELLS = 1 << 19  # of each of the three tables
+HEAD = 1 << 20  # counts of words and prefixes at most that every task gets
+FLUSH = 500_000  # tokens counted at a time
 PREFIXES = (5, 4)
 STRENGTHS = (4.0, 8.0, 16.0)  # prior counts of a word, of five and of four bytes
 DRIFT = 1.0
 FIT_ROWS = 50_000  # labelled rows at most in the last fit
 LETTERS = byte_table(bytes([*range(65, 91), *range(97, 123), *range(128, 256)]))
-TOKEN_COUNTS = "cell int, toxic long, clean long"
+TOKEN_COUNTS = "kind int, key long, toxic long, clean long"
+NAMES = ("word", "five", "four")  # kinds 0, 1, 2
 EVIDENCE = "doc_id long, toxic int, tokens long, best double, total double"
 
 
 @dataclass
 class Model:
-    """Counts per class, [table, cell], and what calibration found."""
+    """Counts per class of frequent tokens, all counts as a table, and what calibration found.
 
+    ``keys`` are sorted hashes of each kind (word, five bytes, four bytes), kind after kind
+    between ``bounds``, and ``toxic`` and ``clean`` their counts. ``counts`` is the written
+    table if it has more than these, else None; tokens that occur ``least`` times are among
+    the frequent ones, and so are their prefixes.
+    """
+
+    keys: np.ndarray
+    bounds: list[int]
     toxic: np.ndarray
     clean: np.ndarray
+    totals: np.ndarray
+    counts: DataFrame | None = None
+    least: int = 1
     drift: float = DRIFT
     lam: float = 1.0
     log_k: float = 0.0
     weights: np.ndarray = field(default_factory=lambda: np.array([-4.0, 0.0, 0.0]))
 
-    def odds(self, cells: np.ndarray) -> np.ndarray:
-        """Scores of tokens given by their three cells (word, five bytes, four bytes)."""
-        totals = np.maximum([self.toxic[0].sum(), self.clean[0].sum()], 1.0)
-        share = np.full(cells.shape[1], totals[0] / totals.sum())
-        for table, strength in zip((2, 1, 0), reversed(STRENGTHS)):
-            toxic = self.toxic[table][cells[table]] + strength * share
-            clean = self.clean[table][cells[table]] + strength * (1 - share)
+    def local(self) -> "Model":
+        """What tasks need of it: no more than ``HEAD`` counts."""
+        return replace(self, counts=None)
+
+    def places(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the keys are in the arrays, and whether they are there."""
+        own = self.keys[self.bounds[kind] : self.bounds[kind + 1]]
+        if not len(own):
+            return np.zeros(len(keys), int), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+        return at + self.bounds[kind], own[at] == keys
+
+    def odds(self, keys: np.ndarray, rare: tuple | None = None) -> np.ndarray:
+        """Scores of tokens given by their three keys; ``rare`` has keys and scores of words."""
+        share = np.full(keys.shape[1], self.base())
+        for kind, strength in zip((2, 1, 0), reversed(STRENGTHS)):
+            at, known = self.places(kind, keys[kind])
+            toxic, clean = np.zeros(len(at)), np.zeros(len(at))
+            toxic[known], clean[known] = self.toxic[at[known]], self.clean[at[known]]
+            toxic, clean = toxic + strength * share, clean + strength * (1 - share)
             share = toxic / (toxic + clean)
-        return np.log(share / (1 - share)) - np.log(totals[0] / totals[1]) - self.drift
-
-
-def token_cells(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each text its tokens' cells [3, n] and byte ranges [2, n]; letters only, lower case.
+        out = np.log(share / (1 - share)) - self.offset()
+        if rare is not None and len(rare[0]):
+            words, scores = np.asarray(rare[0], np.int64), np.asarray(rare[1], float)
+            order = np.argsort(words)
+            words, scores = words[order], scores[order]
+            at = np.minimum(np.searchsorted(words, keys[0]), len(words) - 1)
+            out = np.where(words[at] == keys[0], scores[at], out)
+        return out
+
+    def base(self) -> float:
+        totals = np.maximum(self.totals, 1.0)
+        return float(totals[0] / totals.sum())
+
+    def offset(self) -> float:
+        totals = np.maximum(self.totals, 1.0)
+        return float(np.log(totals[0] / totals[1]) + self.drift)
+
+    def column(self) -> Column:
+        """The score of a row with toxic_word, clean_word, ..., as ``odds`` has it."""
+        share = F.lit(self.base())
+        for kind, strength in zip((2, 1, 0), reversed(STRENGTHS)):
+            toxic, clean = (
+                F.coalesce(F.col(f"{c}_{NAMES[kind]}"), F.lit(0)) for c in ("toxic", "clean")
+            )
+            share = (toxic + strength * share) / (toxic + clean + F.lit(strength))
+        return F.log(share / (1 - share)) - self.offset()
+
+
+def token_keys(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its tokens' keys [3, n] and byte ranges [2, n]; letters only, lower case.
 
     Long texts take the memory of their own arrays; short ones share a pass.
     """
@@ -70,12 +123,12 @@ def token_cells(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         begin, end = stretches(LETTERS[data])
         rolling = Rolling(data)
         stops = [end, *[np.minimum(begin + p, end) for p in PREFIXES]]
-        cells = np.stack([(rolling.hashes(begin, s) % np.uint64(CELLS)).astype(np.int32) for s in stops])
+        keys = np.stack([rolling.hashes(begin, s).view(np.int64) for s in stops])
         starts = np.cumsum([0, *[len(t) + 1 for t in group]])
         bounds = np.searchsorted(begin, starts)
         for i in range(len(group)):
             part = slice(bounds[i], bounds[i + 1])
-            yield cells[:, part], np.stack([begin[part], end[part]]) - starts[i]
+            yield keys[:, part], np.stack([begin[part], end[part]]) - starts[i]
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -115,20 +168,98 @@ def fold(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5
 
 
+def _counted(found: list[tuple[int, np.ndarray]]) -> Iterator[pd.DataFrame]:
+    toxic = np.concatenate([np.full(keys.shape[1], t != 0) for t, keys in found])
+    keys = np.concatenate([keys for _, keys in found], axis=1)
+    for kind in range(len(NAMES)):
+        each, place = np.unique(keys[kind], return_inverse=True)
+        both = np.bincount(place, minlength=len(each))
+        bad = np.bincount(place[toxic], minlength=len(each))
+        yield pd.DataFrame({"kind": np.int32(kind), "key": each, "toxic": bad, "clean": both - bad})
+
+
 def _counts(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Token counts of a task, cells of the three tables in a row."""
-    counts = np.zeros((2, 3 * CELLS), np.int64)
-    tables = (np.arange(3) * CELLS)[:, None]
+    """Counts of words and prefixes, of about FLUSH tokens at a time."""
+    found, size = [], 0
     for batch in batches_:
-        found = [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
-        for toxic, (cells, _) in zip(batch["toxic"], token_cells(list(batch["text"]))):
-            found[0 if toxic else 1].append((cells + tables).ravel())
-        for kind in range(2):
-            counts[kind] += np.bincount(np.concatenate(found[kind]), minlength=3 * CELLS)
-    used = np.flatnonzero(counts.any(axis=0))
-    for at in range(0, len(used), 1 << 16):
-        part = used[at : at + (1 << 16)]
-        yield pd.DataFrame({"cell": part.astype(np.int32), "toxic": counts[0][part], "clean": counts[1][part]})
+        for toxic, (keys, _) in zip(batch["toxic"], token_keys(list(batch["text"]))):
+            found.append((toxic, keys))
+            size += keys.shape[1]
+            if size >= FLUSH:
+                yield from _counted(found)
+                found, size = [], 0
+    if found:
+        yield from _counted(found)
+
+
+def _rare_tokens(model: Model):
+    """Of each text the words that are not among the frequent ones, with their prefixes."""
+
+    def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches_:
+            rows, found = [], []
+            for i, (keys, _) in enumerate(token_keys(list(batch["text"]))):
+                keys = keys[:, ~model.places(0, keys[0])[1]]
+                keys = keys[:, np.unique(keys[0], return_index=True)[1]]
+                rows.append(np.full(keys.shape[1], i))
+                found.append(keys)
+            if found:
+                rows, keys = np.concatenate(rows), np.concatenate(found, axis=1)
+                yield pd.DataFrame({
+                    "_text_a": batch["_text_a"].to_numpy()[rows],
+                    "_text_b": batch["_text_b"].to_numpy()[rows],
+                    **dict(zip(NAMES, keys)),
+                })
+
+    return run
+
+
+def with_rare(rows: DataFrame, model: Model, scratch: Scratch, name: str) -> DataFrame:
+    """The rows with _rare_words and _rare_scores: what frequent tokens do not tell of a text.
+
+    Texts are known by two hashes; copies add nothing to the set of a text's words.
+    """
+    kind = "array<{}>"
+    if model.counts is None:
+        return rows.withColumns({
+            "_rare_words": F.lit(None).cast(kind.format("long")),
+            "_rare_scores": F.lit(None).cast(kind.format("double")),
+        })
+    text = ["_text_a", "_text_b"]
+    rows = rows.withColumns({
+        "_text_a": F.xxhash64(plain_text()), "_text_b": F.xxhash64(F.lit(1), plain_text())
+    })
+    schema = "_text_a long, _text_b long, word long, five long, four long"
+    rare = scratch.write(
+        rows.select(*text, plain_text().alias("text"))
+        .mapInPandas(_rare_tokens(model.local()), schema),
+        f"rare-{name}",
+    )
+    words = rare.select(*NAMES).distinct()
+    for number, column in enumerate(NAMES):
+        counts = model.counts.where(F.col("kind") == number).select(
+            F.col("key").alias(column), F.col("toxic").alias(f"toxic_{column}"),
+            F.col("clean").alias(f"clean_{column}"),
+        )
+        words = words.join(counts.hint("merge"), column, "left")
+    # If no count of a word is missing from the frequent ones, the task has its score.
+    missing = F.lit(False)
+    for column in NAMES:
+        n = F.col(f"toxic_{column}") + F.col(f"clean_{column}")
+        missing = missing | F.coalesce(n < model.least, F.lit(False))
+    scores = words.where(missing).select("word", model.column().alias("score"))
+    told = rare.join(scores.hint("merge"), "word").groupBy(*text).agg(
+        F.collect_set(F.struct("word", "score")).alias("rare")
+    ).select(
+        *text, F.transform("rare", lambda x: x["word"]).alias("_rare_words"),
+        F.transform("rare", lambda x: x["score"]).alias("_rare_scores"),
+    )
+    return rows.join(told.hint("merge"), text, "left").drop(*text)
+
+
+def _rare_of(batch: pd.DataFrame) -> list[tuple | None]:
+    pairs = zip(batch["_rare_words"], batch["_rare_scores"])
+    return [None if words is None else (words, scores) for words, scores in pairs]
 
 
 def _excess(score, tokens, model: Model):
@@ -139,10 +270,10 @@ def _excess(score, tokens, model: Model):
 SIGNIFICANT = float(np.log(20))  # expected less than 0.05 times by chance
 
 
-def document_evidence(texts: list[str], model: Model) -> Iterator[tuple]:
+def document_evidence(texts: list[str], rare: list[tuple | None], model: Model) -> Iterator[tuple]:
     """tokens, best score, summed excess of significant segments, and those segments."""
-    for cells, ranges in token_cells(texts):
-        n, found = cells.shape[1], segments(model.odds(cells))
+    for (keys, ranges), more in zip(token_keys(texts), rare):
+        n, found = keys.shape[1], segments(model.odds(keys, more))
         best = max((s for _, _, s in found), default=0.0)
         kept = [(a, b, s) for a, b, s in found if _excess(s, n, model) > SIGNIFICANT]
         total = sum(float(_excess(s, n, model)) for _, _, s in kept)
@@ -162,8 +293,8 @@ def _histogram(model: Model, edges: np.ndarray):
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(len(edges) - 1, np.int64)
         for batch in batches_:
-            for cells, _ in token_cells(list(batch["text"])):
-                values = np.clip(model.odds(cells), edges[0], edges[-1])
+            for (keys, _), more in zip(token_keys(list(batch["text"])), _rare_of(batch)):
+                values = np.clip(model.odds(keys, more), edges[0], edges[-1])
                 counts += np.histogram(values, edges)[0]
         yield pd.DataFrame({"bin": np.arange(len(counts)), "n": counts})
 
@@ -173,7 +304,7 @@ def _histogram(model: Model, edges: np.ndarray):
 def _evidence(model: Model):
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches_:
-            rows = [e[:3] for e in document_evidence(list(batch["text"]), model)]
+            rows = [e[:3] for e in document_evidence(list(batch["text"]), _rare_of(batch), model)]
             frame = pd.DataFrame(rows, columns=["tokens", "best", "total"])
             yield batch[["doc_id", "toxic"]].reset_index(drop=True).join(frame)
 
@@ -195,6 +326,26 @@ def _root(counts: np.ndarray, values: np.ndarray) -> float:
     return middle
 
 
+def _frequent(sums: DataFrame) -> Model:
+    """A model with the counts of the frequent tokens, at most HEAD."""
+    n = F.col("toxic") + F.col("clean")
+    totals = sums.where("kind = 0").agg(F.sum("toxic"), F.sum("clean")).first()
+    sizes = sums.groupBy(F.floor(F.log2(n) + 1e-9).cast("int").alias("power")).count().collect()
+    sizes = {r["power"]: r["count"] for r in sizes}  # at most a row a power of two
+    power = max(sizes, default=0) + 1
+    room = HEAD
+    while power > 0 and sizes.get(power - 1, 0) <= room:
+        power -= 1
+        room -= sizes.get(power, 0)
+    head = sums.where(n >= (1 << power)).orderBy("kind", "key").toPandas()
+    bounds = np.searchsorted(head["kind"].to_numpy(int), np.arange(len(NAMES) + 1)).tolist()
+    return Model(
+        head["key"].to_numpy(np.int64), bounds, head["toxic"].to_numpy(float),
+        head["clean"].to_numpy(float), np.array([totals[0] or 0, totals[1] or 0], float),
+        sums if power else None, 1 << power,
+    )
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled documents that are not held out.
 
@@ -212,19 +363,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # Labels grow with the documents: they are not for broadcasting.
     rows = scratch.write(rows.join(known.hint("merge"), "doc_id"), "labelled")
     counted = rows.where("fold <> 4").select("toxic", "text")
-    sums = (
-        counted.mapInPandas(_counts, TOKEN_COUNTS).groupBy("cell")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toPandas()
-    )  # at most three tables of CELLS rows
-    tables = np.zeros((2, 3 * CELLS))
-    tables[:, sums["cell"].to_numpy(np.int64)] = sums[["toxic", "clean"]].to_numpy(float).T
-    model = Model(tables[0].reshape(3, CELLS), tables[1].reshape(3, CELLS))
+    sums = scratch.write(
+        counted.mapInPandas(_counts, TOKEN_COUNTS).groupBy("kind", "key")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
+        "counts",
+    )
+    model = _frequent(sums)
 
     rest = rows.where("fold = 4")
+    if model.counts is not None:
+        rest = scratch.write(with_rare(rest, model, scratch, "fit"), "rest")
+    else:
+        rest = with_rare(rest, model, scratch, "fit")
     edges = np.linspace(-15, 15, 1201)
     bins = (
-        rest.where("toxic = 0").select("text")
-        .mapInPandas(_histogram(model, edges), "bin int, n long")
+        rest.where("toxic = 0").select("text", "_rare_words", "_rare_scores")
+        .mapInPandas(_histogram(model.local(), edges), "bin int, n long")
         .groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     )
     counts = np.zeros(len(edges) - 1)
@@ -232,15 +386,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not counts.sum():
         return model
     model.lam = _root(counts, (edges[1:] + edges[:-1]) / 2)
-    seen = scratch.write(rest.mapInPandas(_evidence(model), EVIDENCE), "first")
+    seen = scratch.write(rest.mapInPandas(_evidence(model.local()), EVIDENCE), "first")
     means = seen.where("toxic = 0 AND tokens > 0").agg(
         F.avg("best"), F.avg(F.log("tokens"))
     ).first()
     model.log_k = model.lam * (means[0] or 0.0) - (means[1] or 0.0) - 0.5772
-    seen = scratch.write(rest.mapInPandas(_evidence(model), EVIDENCE), "second")
+    seen = scratch.write(rest.mapInPandas(_evidence(model.local()), EVIDENCE), "second")
     sample = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).toPandas()
     x = _features(*(sample[c].to_numpy(float) for c in ("tokens", "best", "total")), model)
     model.weights = fit_logistic(x, sample["toxic"].to_numpy(float), ridge=0.01)
+    for name in ("labelled", "rare-fit", "rest", "first", "second"):  # the counts stay
+        scratch.drop(name)
     return model
 
 
@@ -258,12 +414,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     how many such were expected by chance. Repeated rows are scored like others, further
     columns are ignored, and an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model.local())  # at most HEAD counts
 
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches_:
-            rows = list(document_evidence(list(batch["text"]), model))
+            rows = list(document_evidence(list(batch["text"]), _rare_of(batch), model))
             table = np.array([r[:3] for r in rows], float).reshape(-1, 3)
             x = _features(*table.T, model)
             score = sigmoid(model.weights[0] + x @ model.weights[1:])
@@ -278,12 +434,13 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(
         key.alias("doc_id"), (fold(key) == 0).alias("held_out"), plain_text().alias("text")
     )
-    return rows.mapInPandas(run, SCORES)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    return with_rare(rows, model, scratch, "score").mapInPandas(run, SCORES)
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The documents, all columns, without those that the model takes for toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model.local())  # at most HEAD counts
 
     def run(record_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -291,9 +448,16 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
             for at in range(0, records.num_rows, 1000):
                 batch = records.slice(at, 1000)
                 texts = [t or "" for t in batch.column("text").to_pylist()]
-                table = np.array([e[:3] for e in document_evidence(texts, model)], float)
+                rare = [
+                    None if words is None else (words, scores)
+                    for words, scores in zip(
+                        batch.column("_rare_words").to_pylist(), batch.column("_rare_scores").to_pylist()
+                    )
+                ]
+                table = np.array([e[:3] for e in document_evidence(texts, rare, model)], float)
                 x = _features(*table.reshape(-1, 3).T, model)
                 score = sigmoid(model.weights[0] + x @ model.weights[1:])
-                yield batch.filter(pa.array(score < 0.5))
+                yield batch.select(columns).filter(pa.array(score < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    scratch, columns = Scratch(docs.sparkSession, "toxicity"), docs.columns
+    return with_rare(docs, model, scratch, "filter").mapInArrow(run, docs.schema)

@@ -10,6 +10,7 @@ import corpus_pipeline
 from cases import documents, empty, frame, words
 from salesmart.llm import mixing, neighbours, quality, quotes, toxicity
 from salesmart.llm.logistic import fit_logistic, sigmoid
+from salesmart.llm.shared import Rolling
 
 SMALL = "/root/testdata/sf0.01"
 LABELS = "doc_id long, quality int, toxic int"
@@ -80,6 +81,45 @@ def test_toxic_passages_are_found(spark):
     }
 
 
+def test_words_that_share_low_bits_of_a_hash(spark):
+    """A toxic word is not hidden by a frequent clean one, whatever their hashes are."""
+    rng, seen = random.Random(12), {}
+    while True:
+        word = "".join(rng.choices("bcdfghklmnprstvz", k=9))
+        data = np.frombuffer(word.encode(), np.uint8)
+        low = int(Rolling(data).hashes(np.array([0]), np.array([9]))[0] % np.uint64(1 << 19))
+        if low in seen and seen[low][:4] != word[:4]:
+            break
+        seen[low] = word
+    vile, fine, rows, labels = word, seen[low], [], []
+    for i in range(400):
+        text = words(rng, 60)
+        text[20:20] = [vile] * 3 if i % 4 == 0 else [fine] * 5
+        rows.append((i, " ".join(text), "en", "s", 0))
+        labels.append((i, 1, int(i % 4 == 0)))
+    docs = frame(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, LABELS))
+    found = toxicity.score_documents(docs, model).where("held_out").collect()
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in found) >= 0.95 * len(found)
+
+
+def test_rare_tokens_are_joined(spark, monkeypatch):
+    """Scores do not depend on how many counts go to every task."""
+    docs, labels, _ = labelled(spark)
+    docs = docs.unionByName(frame(spark)).unionByName(docs.limit(3))
+    whole = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "HEAD", 40)
+    part = toxicity.fit(docs, labels)
+    assert whole.counts is None and part.counts is not None and len(part.keys) <= 40
+    one, two = (
+        sorted((r.doc_id or -1, r.tokens, round(r.score, 9), str(r.passages)[:80])
+               for r in toxicity.score_documents(docs, m).collect()) for m in (whole, part)
+    )
+    assert [r[:3] for r in one] == [r[:3] for r in two]
+    kept = [toxicity.without_toxic(docs, m).select("doc_id").collect() for m in (whole, part)]
+    assert collections.Counter(kept[0]) == collections.Counter(kept[1])
+
+
 def test_toxicity_without_labels(spark):
     model = toxicity.fit(empty(spark), spark.createDataFrame([], LABELS))
     assert toxicity.score_documents(empty(spark), model).count() == 0
