@@ -1,9 +1,12 @@
 """Conversations in the order of replies, without quotations (operator 7).
 
 Lines that begin with ">" are quoted, once for each such mark. A run of lines of one level
-is a passage. Its lines, freed of marks, spacing and case, are hashed and joined with the
-unquoted lines of the same conversation: the original of a line is the first message that
-has it as its own. A message answers the message from which most of its quoted text of
+without a blank line is a passage. Passages, freed of marks, line ends, spacing and case,
+are hashed and joined with the unquoted passages and lines of the same conversation: the
+original is the first message that has the text as its own. So a quotation that was wrapped
+anew is found. Where no such text is found, stretches of five words of the passage are
+looked up in the same way, and where none of these is found, its single lines. A message
+answers the message from which most of its quoted text of
 the lowest level comes. Messages that quote nothing known start a thread of their own;
 roots of threads are found by pointer jumping, in as many rounds as the logarithm of the
 longest chain.
@@ -13,11 +16,13 @@ No step gathers a conversation: every join is by conversation and line, or by me
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from salesmart.llm.shared import Scratch, plain_text, shuffle_width
 
 # Quotation marks at the start of a line, and the line that announces a quotation.
 MARKS = r"^[ \t]*((?:>[ \t]?)+)"
+SHINGLE = 5  # words
 WROTE = r"(?i)^[ \t]*(?:on|le|am|el)\b.{0,200}(?:wrote|écrit|schrieb|escribió)[ \t]*:[ \t]*$"
 
 
@@ -45,11 +50,54 @@ def parse(messages: DataFrame) -> DataFrame:
     at = F.element_at
     level = at("levels", F.col("pos") + 1)
     following = F.coalesce(F.try_element_at("levels", F.col("pos") + 2), F.lit(0))
-    return rows.select(
+    rows = rows.select(
         "row", "conv_id", "turn", "pos", "line", level.alias("level"),
         _normal(F.col("line")).alias("normal"),
         ((level > 0) | (F.col("line").rlike(WROTE) & (following > 0))).alias("goes"),
     )
+    in_order = Window.partitionBy("row").orderBy("pos")
+    before = F.lag(F.struct("level", "goes", F.col("normal") == "")).over(in_order)
+    opens = before != F.struct("level", "goes", F.lit(False))
+    return rows.withColumn("opens", F.coalesce(opens, F.lit(True)).cast("int")).withColumn(
+        "passage", F.sum("opens").over(in_order)
+    ).drop("opens")
+
+
+def _texts(lines: DataFrame) -> DataFrame:
+    """What is looked up: conv, row, turn, level, passage, kind, two hashes, chars.
+
+    Kind 0 are whole passages, 1 stretches of words, 2 lines. Passages and lines are found
+    under the same hashes. Only conversations in which something is quoted have any.
+    """
+    # Equal only between rows; conversations without a number meet under one that is none.
+    lines = lines.where("normal <> '' AND (level > 0 OR NOT goes)").withColumn(
+        "conv", F.struct("conv_id")
+    )
+    lines = lines.join(lines.where("level > 0").select("conv").distinct(), "conv", "left_semi")
+    place = ["conv", "row", "turn", "level", "passage"]
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "normal")))
+    whole = lines.groupBy(*place).agg(ordered.alias("of")).select(
+        *place, F.array_join(F.transform("of", lambda x: x["normal"]), " ").alias("normal")
+    )
+    words = F.split("normal", " ")
+    starts = F.sequence(F.lit(1), F.size(words) - SHINGLE + 1)
+    stretches = whole.where(F.size(words) >= SHINGLE).select(
+        *place,
+        F.explode(F.transform(starts, lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")))
+        .alias("normal"),
+    )
+    texts = None
+    for kind, rows in enumerate((whole, stretches, lines)):
+        space = F.lit(int(kind == 1))
+        # Each word of a passage is in about as many stretches as they have words.
+        chars = F.length("normal") / (SHINGLE if kind == 1 else 1)
+        rows = rows.select(
+            *place, F.lit(kind).alias("kind"), F.struct(
+                F.xxhash64(space, "normal").alias("a"), F.xxhash64("normal", space).alias("b")
+            ).alias("hash"), chars.cast("double").alias("chars"),
+        )
+        texts = rows if texts is None else texts.union(rows)
+    return texts
 
 
 def link_replies(messages: DataFrame) -> DataFrame:
@@ -72,23 +120,21 @@ def link_replies(messages: DataFrame) -> DataFrame:
         ),
         "messages",
     )
-    lines = scratch.write(
-        parse(base).withColumn("hash", F.struct(
-            F.xxhash64("normal").alias("a"), F.xxhash64(F.lit(1), "normal").alias("b")
-        )).drop("line"),
-        "lines",
-    )
-    # Equal only between rows; conversations without a number meet under one that is none.
-    conv = F.struct("conv_id").alias("conv")
-    own = lines.where("NOT goes AND normal <> ''").groupBy(conv, "hash").agg(
+    lines = scratch.write(parse(base).drop("line"), "lines")
+    texts = scratch.write(_texts(lines), "texts")
+    own = texts.where("level = 0").groupBy("conv", "hash").agg(
         F.min(F.struct("turn", "row")).alias("original")
     )
-    quoted = lines.where("level > 0 AND normal <> ''").groupBy(
-        conv, "hash", "row", "turn", "level"
-    ).agg(F.sum(F.length("normal")).alias("chars"))
+    quoted = texts.where("level > 0").groupBy(
+        "conv", "hash", "row", "turn", "level", "passage", "kind"
+    ).agg(F.sum("chars").alias("chars"))
     found = quoted.join(own, ["conv", "hash"]).where(
         F.col("original") < F.struct("turn", "row")
-    ).groupBy("row", "level", "original").agg(F.sum("chars").alias("chars"))
+    )
+    surest = F.min("kind").over(Window.partitionBy("row", "passage"))
+    found = found.withColumn("surest", surest).where("kind = surest").groupBy(
+        "row", "level", "original"
+    ).agg(F.sum("chars").alias("chars"))
     parents = found.groupBy("row").agg(
         F.max(F.struct((-F.col("level")).alias("l"), "chars", "original")).alias("best")
     ).select("row", F.col("best.original.row").alias("parent"))

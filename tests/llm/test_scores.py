@@ -347,6 +347,24 @@ def test_quotations(spark):
     assert quotes.link_replies(spark.createDataFrame([], MESSAGES)).count() == 0
 
 
+def test_quotations_wrapped_anew(spark):
+    """Passages are found whatever their line ends, and before short lines in them."""
+    long = "the valve of the old pump was never closed and the tank ran empty over night"
+    rows = [
+        (1, 0, "u", "yes"), (1, 1, "a", f"Hello\n{long}\nyes"), (1, 2, "u", "first part of it\nand its second part"),
+        # One line as two, two as one, a part of a line as two, a whole passage with a short line.
+        (1, 3, "u", "> the valve of the old pump was never closed\n> and the tank ran empty over night\nA"),
+        (1, 4, "u", "> First part of it and its  second part\nB"),
+        (1, 5, "u", "> old pump was never closed and\n> the tank ran empty\nC"),
+        (1, 6, "u", f"> Hello {long}\n> yes\nD"), (1, 7, "u", "> yes\nE"), (1, 8, "u", "> nobody\n> said so\nF"),
+    ]
+    found = quotes.link_replies(spark.createDataFrame(rows, MESSAGES).repartition(2)).collect()
+    assert {r.turn: r.parent_turn for r in found} == {
+        0: None, 1: None, 2: None, 3: 1, 4: 2, 5: 1, 6: 1, 7: 0, 8: None,
+    }
+    assert {r.turn: r.text for r in found}[6] == "D"
+
+
 def test_pipeline_stages(spark):
     """Every stage keeps the columns, and takes only what its operator decides."""
     assert [n for n, _ in corpus_pipeline.STAGES] == [
