@@ -8,7 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import exact, jaccard, lines, mixing, neighbours, packing, planes, quality, quotes, toxicity
+from salesmart.llm import (
+    exact, jaccard, lines, mixing, neighbours, packing, planes, quality, quotes, toxicity, variants,
+)
 from salesmart.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +135,8 @@ def op5_quality(spark, folder):
 @query
 def op7_quotation_linking(spark, folder):
     return quotes.link_replies(table(spark, folder, "conversations"))
+
+
+@query
+def op11_spelling_variants(spark, folder):
+    return variants.spelling_variants(table(spark, folder, "documents"), variants.Spelling())
