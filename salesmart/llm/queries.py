@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.llm import (
-    exact, jaccard, lines, mixing, neighbours, packing, planes, quality, quotes, toxicity, variants,
+    alignment, exact, jaccard, lines, mixing, neighbours, packing, planes, quality,
+    quotes, toxicity, variants,
 )
 from salesmart.llm.shared import table
 
@@ -140,3 +141,9 @@ def op7_quotation_linking(spark, folder):
 @query
 def op11_spelling_variants(spark, folder):
     return variants.spelling_variants(table(spark, folder, "documents"), variants.Spelling())
+
+
+@query
+def op13_token_alignment(spark, folder):
+    files = alignment.Tokenizers(*map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+    return alignment.align_tokens(table(spark, folder, "documents"), files)

@@ -4,10 +4,12 @@ import collections
 import io
 import random
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from cases import documents, empty, frame
 from salesmart.llm import packing, planes
@@ -21,14 +23,17 @@ BYTE, WORD = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "wor
 def test_encoder_equals_the_library(path, monkeypatch):
     monkeypatch.setattr("salesmart.llm.tokens.MOST_WORDS", 50)  # forget often
     encoder, rng = Encoder(path), random.Random(5)
+    fresh = Tokenizer.from_file(path)
     parts = [
         "a", "B", "é", "é", " ", "  ", "\n", "\n\n", " \n", "\t", "\r\n", "'s", "'", "1", "23",
-        "!!", ".", ",", "<|endoftext|>", "\x1c", "\xa0", "　", "Σ", "ΑΣ", "İ", "ß", "日本", "​",
+        "!!", ".", ",", "<|endoftext|>", "<|StartOfText|>", "\x1c", "\xa0", "　", "Σ", "ΑΣ", "İ", "ß", "日本", "​",
         "👍🏽", "x'll", "ﬁ", "\x00", "\x85", " word", " Word.",
     ]
     for _ in range(3000):
         text = "".join(rng.choices(parts, k=rng.randint(0, 9)))
         assert encoder.encode(text) == encoder.library(text), text
+        # The library as it is opened by itself.
+        assert encoder.encode(text) == array("I", fresh.encode(text, add_special_tokens=False).ids).tobytes()
     for _, text, *_ in documents():
         assert encoder.encode(text or "") == encoder.library(text or "")
 

@@ -22,16 +22,19 @@ def brute_force(rows, rules):
                 run = run[:at] + run[at + 1 :]
             counts[run] += 1
     words = {w: n for w, n in counts.items() if n >= rules.least_count and len(w) >= rules.least_length}
-    near = {w: [] for w in words}
-    for a in words:
-        for b in words:
-            short, long = sorted((a, b), key=len)
-            same = len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1
-            more = len(long) == len(short) + 1 and any(
-                long[:i] + long[i + 1 :] == short for i in range(len(long))
-            )
-            if same or more:
-                near[a].append(b)
+    near = {w: set() for w in words}
+    cut = {}  # a word without its letter i: words that differ there share it
+    for w in words:
+        for i in range(len(w)):
+            shorter = w[:i] + w[i + 1 :]
+            if shorter in words:
+                near[w].add(shorter)
+                near[shorter].add(w)
+            others = cut.setdefault((i, shorter), set())
+            for other in others:
+                near[w].add(other)
+                near[other].add(w)
+            others.add(w)
     form = {}
     for w, others in near.items():
         if others:
