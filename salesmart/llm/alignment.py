@@ -16,12 +16,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
 
 from salesmart.llm.shared import Scratch, plain_text
-from salesmart.llm.tokens import encoder, pieces
+from salesmart.llm.tokens import BYTE_WORDS, byte_letters
 
 BLOCK = 1 << 16  # tokens of a document put into dictionaries at a time
 HEAD = 1 << 19  # pairs every task knows the counts of
@@ -44,35 +47,59 @@ class Tokenizers:
         return _OPEN[self]
 
 
-class Pair:
-    def __init__(self, files: Tokenizers):
-        self._a, self._b = encoder(files.a, plain=True), pieces(files.b)
-        self._letters_a, self._letters_b = self._a.letters(), self._b.letters()
-        if not (all(self._letters_a) and all(self._letters_b)):
+class Entries:
+    """The bytes of a vocabulary's ids, in arrays."""
+
+    def __init__(self, entries: list[bytes]):
+        if not all(entries):
             raise ValueError("a token without bytes")
-        self._length_a = np.array([len(x) for x in self._letters_a])
-        self._length_b = np.array([len(x) for x in self._letters_b])
-        self.n_b = len(self._letters_b)
-        self._names = [str(i) for i in range(max(len(self._letters_a), self.n_b))]
+        self.lengths = np.array([len(e) for e in entries])
+        self._starts = np.cumsum(self.lengths) - self.lengths
+        self._bytes = np.frombuffer(b"".join(entries), np.uint8)
 
-    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Both id lists, or None where one of them does not spell a space and the text."""
-        if not text:
-            return None
-        a = np.frombuffer(self._a.encode(text, space=True), np.uint32)
-        b = np.frombuffer(self._b.encode(text), np.uint32)
-        spelled = b" " + text.encode()
-        for ids, letters in ((a, self._letters_a), (b, self._letters_b)):
-            if b"".join(map(letters.__getitem__, ids.tolist())) != spelled:
-                return None
-        return a, b
-
-    def groups(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[list[int], list[int]]]:
+    def spell(self, ids: np.ndarray, ends: np.ndarray, text: bytes) -> bool:
+        """Whether the ids, each ending where ``ends`` says, are the bytes of the text."""
+        if not len(ids) or ends[-1] != len(text):
+            return False
+        lengths = self.lengths[ids]
+        places = np.repeat(self._starts[ids] - (ends - lengths), lengths) + np.arange(len(text))
+        return self._bytes[places].tobytes() == text
+
+
+class Pair:
+    def __init__(self, files: Tokenizers):
+        whole = Tokenizer.from_file(files.a)
+        special = {t.content for t in whole.get_added_tokens_decoder().values()}
+        byte = {letter: b for b, letter in enumerate(byte_letters())}
+        entries = {
+            i: w.encode() if w in special else bytes(byte[c] for c in w)
+            for w, i in whole.get_vocab().items()
+        }
+        # Merges of the file stand in the order of the ids they make, which tiktoken follows.
+        ranks = {entries[i]: i for w, i in whole.get_vocab().items() if w not in special}
+        self._a = tiktoken.Encoding("a", pat_str=BYTE_WORDS, mergeable_ranks=ranks, special_tokens={})
+        self.a = Entries([entries[i] for i in range(len(entries))])
+        self._b = SentencePieceProcessor(model_file=files.b)
+        self.b = Entries([self._piece(i) for i in range(self._b.get_piece_size())])
+        self.n_b = self._b.get_piece_size()
+        # Ids in decimal: digits to the left, and how many.
+        names = [str(i) for i in range(max(len(entries), self.n_b))]
+        self._digits = np.array(names, "S").view(np.uint8).reshape(len(names), -1)
+        self._width = np.array([len(n) for n in names])
+
+    def _piece(self, i: int) -> bytes:
+        entry = self._b.id_to_piece(i)
+        return bytes([int(entry[3:5], 16)]) if self._b.is_byte(i) else entry.replace("\u2581", " ").encode()
+
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        a = self._a.encode_to_numpy(" " + text, disallowed_special=())
+        return a.astype(np.int64), np.array(self._b.encode(text), np.int64)
+
+    def _stops(self, ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[tuple[list[int], list[int]]]:
         """Where groups end in either list, block by block."""
-        ends_a, ends_b = np.cumsum(self._length_a[a]), np.cumsum(self._length_b[b])
         from_a, from_b, width = 0, 0, BLOCK
-        while from_a < len(a):
-            to_a = min(from_a + width, len(a))
+        while from_a < len(ends_a):
+            to_a = min(from_a + width, len(ends_a))
             to_b = int(np.searchsorted(ends_b, ends_a[to_a - 1], "right"))
             at_a = dict(zip(ends_a[from_a:to_a].tolist(), range(from_a + 1, to_a + 1)))
             at_b = dict(zip(ends_b[from_b:to_b].tolist(), range(from_b + 1, to_b + 1)))
@@ -80,27 +107,45 @@ class Pair:
             if not shared:  # a group of more than a block
                 width *= 2
                 continue
-            yield [at_a[e] for e in shared], [at_b[e] for e in shared]
+            yield list(map(at_a.__getitem__, shared)), list(map(at_b.__getitem__, shared))
             from_a, from_b, width = at_a[shared[-1]], at_b[shared[-1]], BLOCK
 
-    def described(self, a: np.ndarray, b: np.ndarray) -> tuple[int, str, np.ndarray, np.ndarray]:
-        """Number of groups, digest of their text, linked pairs and how often each is linked."""
-        names, sha, count, linked = self._names, hashlib.sha256(), 0, []
-        of_a = list(map(names.__getitem__, a.tolist()))
-        of_b = list(map(names.__getitem__, b.tolist()))
-        i = k = 0
-        for stops_a, stops_b in self.groups(a, b):
-            told = []
-            for to_a, to_b in zip(stops_a, stops_b):
-                told.append(f"{','.join(of_a[i:to_a])}|{','.join(of_b[k:to_b])}")
-                i, k = to_a, to_b
-            sha.update((";" * (count > 0) + ";".join(told)).encode())
-            count += len(told)
+    def _told(self, a: np.ndarray, b: np.ndarray, stops_a: np.ndarray, stops_b: np.ndarray) -> bytes:
+        """Slices as ``a1,a2|b1;...``: of each group the ids of A, then those of B."""
+        sizes_a, sizes_b = np.diff(stops_a, prepend=0), np.diff(stops_b, prepend=0)
+        place_a = np.arange(len(a)) + np.repeat(stops_b - sizes_b, sizes_a)
+        place_b = np.arange(len(b)) + np.repeat(stops_a, sizes_b)
+        ids = np.empty(len(a) + len(b), np.int64)
+        ids[place_a], ids[place_b] = a, b
+        mark = np.full(len(ids), ord(","), np.uint8)
+        mark[place_a[stops_a - 1]], mark[place_b[stops_b - 1]] = ord("|"), ord(";")
+        width = self._width[ids]
+        table = np.zeros((len(ids), self._digits.shape[1] + 1), np.uint8)
+        table[:, :-1] = self._digits[ids]
+        table[np.arange(len(ids)), width] = mark
+        return table[table > 0].tobytes()
+
+    def groups(self, text: str) -> tuple[int, int, str, np.ndarray] | None:
+        """Tokens of either side, digest of the groups and the linked pair of each group.
+
+        None where one of the lists does not spell a space and the text.
+        """
+        if not text:
+            return None
+        (a, b), spelled = self.ids(text), b" " + text.encode()
+        ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        if not (self.a.spell(a, ends_a, spelled) and self.b.spell(b, ends_b, spelled)):
+            return None
+        sha, linked, i, k, held = hashlib.sha256(), [], 0, 0, b""
+        for stops_a, stops_b in map(lambda s: map(np.array, s), self._stops(ends_a, ends_b)):
+            of_a, of_b = a[i : stops_a[-1]], b[k : stops_b[-1]]
+            sha.update(held)
+            held = self._told(of_a, of_b, stops_a - i, stops_b - k)
             # Tokens have bytes, so of a slice only the last of either side end together.
-            last_a, last_b = a[np.array(stops_a) - 1], b[np.array(stops_b) - 1]
-            linked.append(last_a.astype(np.int64) * self.n_b + last_b)
-        pairs, times = np.unique(np.concatenate(linked), return_counts=True)
-        return count, sha.hexdigest(), pairs, times
+            linked.append(a[stops_a - 1] * self.n_b + b[stops_b - 1])
+            i, k = stops_a[-1], stops_b[-1]
+        sha.update(held[:-1])
+        return len(a), len(b), sha.hexdigest(), np.concatenate(linked)
 
 
 _OPEN: dict[Tokenizers, Pair] = {}
@@ -112,14 +157,15 @@ def _align(files: Tokenizers):
         for batch in batches:
             made, size = [], 0
             for doc_id, text in zip(batch.column(0), batch.column(1)):
-                found = opened.ids(text.as_py())
+                found = opened.groups(text.as_py())
                 if found is None:
                     made.append((part + row, doc_id.as_py(), 0, 0, 0, 0, "", b"", b""))
                 else:
-                    count, sha, pairs, times = opened.described(*found)
+                    n_a, n_b, sha, linked = found
+                    pairs, times = np.unique(linked, return_counts=True)
                     packed = pairs.astype("<i8").tobytes(), times.astype("<i4").tobytes()
-                    n_a, n_b = map(len, found)
-                    made.append((part + row, doc_id.as_py(), n_a, n_b, count, count, sha, *packed))
+                    n = len(linked)
+                    made.append((part + row, doc_id.as_py(), n_a, n_b, n, n, sha, *packed))
                     size += len(packed[0])
                 row += 1
                 if size > 1 << 24:

@@ -1,4 +1,4 @@
-"""Token ids of whole texts by a tokenizer file of the tokenizers or sentencepiece library.
+"""Token ids of whole texts by a tokenizer file of the tokenizers library.
 
 The tokenizers library spends most of its time on offsets and on words it has seen before. Both files
 used here split texts at white space before they merge, so ids of a text are the ids of
@@ -23,30 +23,28 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 MOST_WORDS = 200_000  # words remembered in a worker; only a matter of speed
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that stands for each byte in vocabularies of bytes."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = iter(range(256, 512))
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
-_LETTERS = _byte_letters()
+_LETTERS = byte_letters()
 
 
 class Encoder:
     """Ids as bytes (unsigned 32-bit, little-endian) of texts, equal to the library's.
 
-    Strings of special tokens in a text become those tokens, as the library has it, or are
-    ordinary text if ``plain``.
+    Strings of special tokens in a text become those tokens, as the library has it.
     """
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = plain
         added = self._whole.get_added_tokens_decoder().values()
-        self._special = [] if plain else [t.content.lower() for t in added]
+        self._special = [t.content.lower() for t in added]
         self._model = self._whole.model
         self._lower = self._whole.normalizer is not None
         self._split = regex.compile(LOWER_WORDS if self._lower else BYTE_WORDS).findall
@@ -95,94 +93,33 @@ class Encoder:
                     known[w] = start + self._part(w[-1])
         return [known[w] for w in words]
 
-    def letters(self) -> list[bytes]:
-        """The bytes of every id, for a vocabulary of bytes."""
-        byte = {letter: b for b, letter in enumerate(_LETTERS)}
-        entries = [self._whole.id_to_token(i) for i in range(self._whole.get_vocab_size())]
-        return [bytes(byte[c] for c in e) for e in entries]
-
-    def encode(self, text: str, space: bool = False) -> bytes:
-        """The ids of a text, or of a space and the text."""
-        if self._special:
-            lowered = text.lower()
-            if any(s in lowered for s in self._special):
-                return self.library(" " + text if space else text)
+    def encode(self, text: str) -> bytes:
+        lowered = text.lower()
+        if any(s in lowered for s in self._special):
+            return self.library(text)
         words = text.split()
         if self._lower:
             if ODD_SPACE.search(text):
                 return self.library(text)
             return b"".join(self._ids(words, "", self._words))
         if not words or " ".join(words) != text.replace("\n", " "):
-            return self.library(" " + text if space else text)
+            return self.library(text)
         # One space or one line end between words: a word keeps its space, a line end is
         # a part of its own.
         ids = self._ids(words, " ", self._words)
-        lines, place = text.split("\n"), 0
-        if space:  # the first word keeps its space as well
-            place = lines.pop(0).count(" ") + 1
-        for line in lines:
+        place = 0
+        for line in text.split("\n"):
             first = self._ids([words[place]], "", self._firsts)[0]
             ids[place] = self._break + first if place else first
             place += line.count(" ") + 1
         return b"".join(ids)
 
 
-class Pieces:
-    """Ids of texts by a sentencepiece file, as the library gives them.
-
-    No piece of the file has a space after another letter, or a line end. So nothing is
-    merged across the start of a word, and words are looked up as above.
-    """
-
-    def __init__(self, path: str):
-        import sentencepiece
-
-        self._model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self._entries = [self._model.id_to_piece(i) for i in range(self._model.get_piece_size())]
-        apart = re.compile("[^\u2581]\u2581|\n")
-        self._by_words = not any(apart.search(e) for e in self._entries)
-        self._words: dict[str, bytes] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
-    def letters(self) -> list[bytes]:
-        """The bytes of every id."""
-        found = []
-        for i, entry in enumerate(self._entries):
-            byte = self._model.is_byte(i)
-            found.append(bytes([int(entry[3:5], 16)]) if byte else entry.replace("\u2581", " ").encode())
-        return found
 
-    def library(self, text: str) -> bytes:
-        return array("I", self._model.encode(text)).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        words = text.split()
-        if not self._by_words or not words or " ".join(words) != text.replace("\n", " "):
-            return self.library(text)
-        # After a line end a word has no space: it is looked up with the line end before it.
-        words, known = text.replace("\n", " \n").split(" "), self._words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > MOST_WORDS:
-                known.clear()
-        for w in words:
-            if w not in known:
-                ids = self.library(w)
-                known[w] = ids[4:] if w[0] == "\n" else ids  # less the space the library adds
-        return b"".join([known[w] for w in words])
-
-
-_ENCODERS: dict[tuple, Encoder | Pieces] = {}
-
-
-def encoder(path: str, plain: bool = False) -> Encoder:
+def encoder(path: str) -> Encoder:
     """The encoder of a file, one per worker process."""
-    if (path, plain) not in _ENCODERS:
-        _ENCODERS[path, plain] = Encoder(path, plain)
-    return _ENCODERS[path, plain]
-
-
-def pieces(path: str) -> Pieces:
-    if (path,) not in _ENCODERS:
-        _ENCODERS[path,] = Pieces(path)
-    return _ENCODERS[path,]
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
