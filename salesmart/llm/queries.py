@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.llm import (
     alignment, exact, jaccard, lines, mixing, neighbours, packing, planes, quality,
-    quotes, toxicity, variants,
+    quotes, repeats, toxicity, variants,
 )
 from salesmart.llm.shared import table
 
@@ -143,6 +143,11 @@ def op11_spelling_variants(spark, folder):
     return variants.spelling_variants(table(spark, folder, "documents"), variants.Spelling())
 
 
+@query
+def op12_repeated_substrings(spark, folder):
+    return repeats.digest(repeats.delete_repeats(table(spark, folder, "documents")))
+
+
 @query
 def op13_token_alignment(spark, folder):
     files = alignment.Tokenizers(*map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))

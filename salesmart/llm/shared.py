@@ -105,6 +105,15 @@ class Rolling:
         return mixed(value ^ (end - start).astype(np.uint64))
 
 
+def row_hashes(table: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of every stretch of ``length`` bytes in each row of a table of bytes."""
+    up, down = _powers(table.shape[1] + 1)
+    sums = np.zeros((len(table), table.shape[1] + 1), np.uint64)
+    np.cumsum(_BYTE[table] * up[: table.shape[1]], axis=1, out=sums[:, 1:])
+    value = sums[:, length:] - sums[:, :-length]
+    return mixed(value * down[: value.shape[1]])
+
+
 def stretches(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true values."""
     edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
