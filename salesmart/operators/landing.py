@@ -88,6 +88,28 @@ def latest_changes(changes: DataFrame, key: str | Sequence[str], by: str) -> Dat
     return reduced.select(*keys, "_newest.*").select(*changes.columns)
 
 
+def merge_ordered(
+    stored: DataFrame, changes: DataFrame, key: str | Sequence[str], by: str, deleted: str
+) -> DataFrame:
+    """``stored`` after ``changes``, in whatever order and parts they arrive.
+
+    Of all rows of a key the one newest by ``by`` stays; of equally new ones a deletion, then
+    the largest content. Deleted rows stay as marks (``deleted`` is true), since an older
+    change may still come after them: see ``live_rows``. The result is a maximum per key, so
+    merging is repeatable, and its order and grouping do not matter.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in stored.columns if c not in keys and c not in (by, deleted)]
+    newest = F.max(F.struct(by, deleted, *rest)).alias("_newest")
+    reduced = stored.unionByName(changes).groupBy(*keys).agg(newest)
+    return reduced.select(*keys, "_newest.*").select(*stored.columns)
+
+
+def live_rows(stored: DataFrame, deleted: str) -> DataFrame:
+    """Rows that are not marked as deleted, without the mark."""
+    return stored.where(~F.col(deleted)).drop(deleted)
+
+
 def touch_updated_at(
     changes: DataFrame,
     target: DataFrame,

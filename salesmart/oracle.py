@@ -449,6 +449,9 @@ FROM (SELECT *, (gross * rate + 5000) // 10000 AS discount, (gross * 8 + 50) //
 
 def oracle_sql() -> dict[str, str]:
     months = '"year", "month"'
+    quarterly = over("fact_orders", report(
+        f"({monthly(chr(34) + 'year' + chr(34) + ', quarter, quarter_name')})",
+        '"year", quarter, quarter_name', '"year", quarter'))
     return {
         "stg_customers": everything("stg_customers", f"customer_key {CUSTOMER} {STAMPS}"),
         "stg_products": everything(
@@ -466,6 +469,9 @@ def oracle_sql() -> dict[str, str]:
         "incremental_fact": everything("fact_orders", FACT)
         .replace("ELSE 'SHIPPED' END", "ELSE 'CANCELLED' END")
         .replace("ELSE 'PENDING' END", "ELSE 'COMPLETED' END"),
+        # What states of ranges merge to is what the fact itself gives.
+        "rollup_months": over("revenue_analysis", "SELECT * FROM revenue_analysis"),
+        "rollup_quarters": quarterly,
         "load_counts": over("customers products orders_", " UNION ALL ".join(
             f"SELECT 'landing' AS layer, '{n}' AS table_name, count(*) AS row_count, "
             f"count(*) = 0 AS is_empty FROM {n if n != 'orders' else 'orders_'}"
@@ -492,9 +498,7 @@ SELECT {months}, CAST(total_revenue AS DOUBLE) AS total_revenue, total_orders,
         "revenue_without_fallback": over("fact_orders", report(
             f"({monthly(months + ', month_name', 'missing_date_flag = 0')})",
             months + ", month_name", months)),
-        "quarterly_revenue": over("fact_orders", report(
-            f"({monthly(chr(34) + 'year' + chr(34) + ', quarter, quarter_name')})",
-            '"year", quarter, quarter_name', '"year", quarter')),
+        "quarterly_revenue": quarterly,
         "order_volume": over("revenue_analysis", f"""
 SELECT {months}, total_orders, avg_order_value, order_growth_pct FROM revenue_analysis"""),
         "customer_value": everything(
@@ -587,6 +591,20 @@ SELECT {plain(f"{ORDER} {STAMPS}")} FROM (SELECT *, row_number() OVER (
     order_date DESC NULLS LAST, quantity DESC, unit_price DESC,
     discount_amount DESC NULLS LAST, tax_amount DESC NULLS LAST, total_amount DESC,
     order_status DESC, payment_method DESC) AS place FROM orders_) WHERE place = 1"""),
+        # Later, earlier and deleting changes of three sets of customers.
+        "ordered_merge": over("orders_", f"""
+SELECT {plain(f"{ORDER} {STAMPS}")} FROM (SELECT *, row_number() OVER (
+    PARTITION BY order_id, product_id ORDER BY updated_at DESC, is_deleted DESC, customer_id DESC,
+    order_date DESC NULLS LAST, quantity DESC, unit_price DESC,
+    discount_amount DESC NULLS LAST, tax_amount DESC NULLS LAST, total_amount DESC,
+    order_status DESC, payment_method DESC) AS place FROM (
+  SELECT *, false AS is_deleted FROM orders_
+  UNION ALL SELECT * REPLACE (updated_at + INTERVAL 10 DAY AS updated_at, 'COMPLETED' AS order_status),
+    false FROM orders_ WHERE customer_id % 5 = 0
+  UNION ALL SELECT * REPLACE (updated_at + INTERVAL 7 DAY AS updated_at), true
+    FROM orders_ WHERE customer_id % 7 = 0
+  UNION ALL SELECT * REPLACE (updated_at + INTERVAL 5 DAY AS updated_at, 'CANCELLED' AS order_status),
+    false FROM orders_ WHERE customer_id % 3 = 0)) WHERE place = 1 AND NOT is_deleted"""),
         "synth_customers": generated_customers(),
         "synth_products": generated_products(),
         "synth_orders": generated_orders(),

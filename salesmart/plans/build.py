@@ -13,6 +13,7 @@ from salesmart.plans.facts import fact_orders
 from salesmart.plans.finance import revenue_analysis
 from salesmart.plans.staging import stg_customers, stg_orders, stg_products
 from salesmart.sources.tables import full_refresh, layer_name, publish_views
+from salesmart.sources.versions import refresh_versioned
 
 LAYERS = {
     "stg_customers": "staging", "stg_products": "staging", "stg_orders": "staging",
@@ -122,15 +123,23 @@ def write_all(
     sources: Mapping[str, DataFrame],
     options: RunOptions = RunOptions(),
     prefix: str | None = None,
+    fact_width: int | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild all mart tables, each from the tables written before it.
 
-    Staging stays virtual, as temporary views (with the prefix in their names). The written tables cut the lineage: a lost
-    executor costs the tasks of the step it was in, not a recomputation from the sources.
+    Staging stays virtual, as temporary views (with the prefix in their names). The written
+    tables cut the lineage: a lost executor costs the tasks of the step it was in, not a
+    recomputation from the sources.
+
+    With ``fact_width`` the fact is kept in ranges of so many order ids, as
+    ``plans.incremental`` needs it.
     """
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        return full_refresh(df, f"{layer_name(LAYERS[name], prefix)}.{name}")
+        table = f"{layer_name(LAYERS[name], prefix)}.{name}"
+        if name == "fact_orders" and fact_width:
+            return refresh_versioned(df, table, "order_id", fact_width)
+        return full_refresh(df, table)
 
     models = Warehouse(sources, options, write).models()
     publish_views({n: df for n, df in models.items() if LAYERS[n] == "staging"}, prefix)

@@ -13,23 +13,38 @@ from salesmart.operators.joins import lookup_join
 from salesmart.plans.staging import stg_orders
 
 
+def rebuilt_orders(
+    orders: DataFrame,
+    changed: DataFrame,
+    dim_customers: DataFrame,
+    dim_products: DataFrame,
+    dim_dates: DataFrame,
+    run_ts: dt.datetime | None = None,
+) -> DataFrame:
+    """The fact rows of the orders whose ids ``changed`` lists, from all their rows in ``orders``."""
+    whole = orders.join(changed.select("order_id").distinct(), "order_id", "left_semi")
+    return fact_orders(stg_orders(whole), dim_customers, dim_products, dim_dates, run_ts)
+
+
 def merge_fact(
     fact: DataFrame,
-    changed_orders: DataFrame,
+    orders: DataFrame,
+    changed: DataFrame,
     dim_customers: DataFrame,
     dim_products: DataFrame,
     dim_dates: DataFrame,
     run_ts: dt.datetime | None = None,
 ) -> DataFrame:
-    """``fact`` with the orders of a change batch built anew.
+    """``fact`` with the orders that ``changed`` lists built anew from the landed ``orders``.
 
-    Every changed order leaves the fact; those that are still fulfilled come back. The
-    dimensions' keys are functions of ids, so rows that did not change keep theirs. To
-    write only the ranges that change, give the same parts to ``tables.merge_ranged``.
+    Whole orders change: an order key need not be single, so every row of a listed order
+    leaves the fact and every landed row of it that is fulfilled comes back. The dimensions'
+    keys are functions of ids, so rows that did not change keep theirs. To write only the
+    ranges that change, see ``plans.incremental``.
     """
-    made = fact_orders(stg_orders(changed_orders), dim_customers, dim_products, dim_dates, run_ts)
-    changed = changed_orders.select(surrogate_key("order_id", "product_id").alias("order_key"))
-    return fact.join(changed, "order_key", "left_anti").select(*fact.columns).unionByName(made)
+    made = rebuilt_orders(orders, changed, dim_customers, dim_products, dim_dates, run_ts)
+    ids = changed.select("order_id").distinct()
+    return fact.join(ids, "order_id", "left_anti").select(*fact.columns).unionByName(made)
 
 
 def fact_orders(

@@ -81,10 +81,11 @@ def _growth(value: str, previous: str, ratio) -> Column:
     return F.when(before > 0, ratio(now - before, before))
 
 
-def _report(fact: DataFrame, dim_dates: DataFrame, kind: tuple[str, str], safe: bool):
+def period_report(totals: DataFrame, kind: tuple[str, str] = MONTHS, safe: bool = False) -> DataFrame:
+    """Totals per period with margin and growth, in calendar order."""
     order = ["year", kind[0]]
     return (
-        with_previous(period_totals(fact, dim_dates, kind), order)
+        with_previous(totals, order)
         .select(
             *order,
             kind[1],
@@ -118,12 +119,12 @@ def revenue_analysis(
     """
     if exclude_fallback:
         fact = fact.where("missing_date_flag = 0")
-    return stamped(_report(fact, dim_dates, MONTHS, safe), run_ts)
+    return stamped(period_report(period_totals(fact, dim_dates), MONTHS, safe), run_ts)
 
 
 def quarterly_revenue(fact: DataFrame, dim_dates: DataFrame, safe: bool = False) -> DataFrame:
     """The measures of ``revenue_analysis`` by quarter."""
-    return _report(fact, dim_dates, QUARTERS, safe)
+    return period_report(period_totals(fact, dim_dates, QUARTERS), QUARTERS, safe)
 
 
 def order_volume(mart: DataFrame) -> DataFrame:

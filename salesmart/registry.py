@@ -16,7 +16,7 @@ from salesmart.operators import landing, quality, verify
 from salesmart.operators.calendar import (
     CALENDAR_END, CALENDAR_START, covering_bounds, date_spine, spine_between,
 )
-from salesmart.plans import finance
+from salesmart.plans import finance, rollup
 from salesmart.plans.build import RunOptions, Warehouse
 from salesmart.plans.dimensions import dim_dates
 from salesmart.plans.facts import merge_fact
@@ -252,17 +252,43 @@ def load_counts(spark, folder):
 
 @query
 def incremental_fact(spark, folder):
-    """The fact after a batch in which pending orders complete and shipped ones are cancelled."""
+    """The fact after a batch in which pending orders complete and shipped ones are cancelled.
+
+    The batch names one row of each changed order; all rows of the order are derived anew.
+    """
     w = _warehouse(spark, folder)
     status = F.col("order_status")
-    changed = w.orders.where(status.isin("PENDING", "SHIPPED")).withColumn(
-        "order_status", F.when(status == "PENDING", "COMPLETED").otherwise("CANCELLED")
-    )
+    becomes = F.when(status == "PENDING", "COMPLETED").when(status == "SHIPPED", "CANCELLED")
+    landed = w.orders.withColumn("order_status", F.coalesce(becomes, status))
+    batch = w.orders.where(status.isin("PENDING", "SHIPPED")).groupBy("order_id").agg(F.min("product_id"))
     return merge_fact(
-        w.fact_orders, changed, w.dim_customers, w.dim_products, w.dim_dates, AS_OF_TIME
+        w.fact_orders, landed, batch, w.dim_customers, w.dim_products, w.dim_dates, AS_OF_TIME
     )
 
 
+# Orders per range of the states: small, so that the test tables have several.
+STATE_WIDTH = 1000
+
+
+def _state_totals(spark, folder, kind) -> DataFrame:
+    w = _warehouse(spark, folder)
+    sums = rollup.sum_states(w.fact_orders, w.dim_dates, STATE_WIDTH)
+    members = rollup.member_states(w.fact_orders, w.dim_customers, w.dim_dates, STATE_WIDTH)
+    return rollup.merged_totals(sums, members, w.dim_dates, kind)
+
+
+@query
+def rollup_months(spark, folder):
+    """The monthly mart from mergeable states of ranges of the fact."""
+    return finance.period_report(_state_totals(spark, folder, finance.MONTHS))
+
+
+@query
+def rollup_quarters(spark, folder):
+    totals = _state_totals(spark, folder, finance.QUARTERS)
+    return finance.period_report(totals, finance.QUARTERS)
+
+
 # Checks --------------------------------------------------------------------------------
 
 
@@ -368,6 +394,27 @@ def latest_changes(spark, folder):
     return landing.latest_changes(adapt(spark, folder)["orders"], ORDER_KEYS, "updated_at")
 
 
+@query
+def ordered_merge(spark, folder):
+    """Orders after later, deleting and earlier changes that arrive in this order."""
+    orders = adapt(spark, folder)["orders"]
+
+    def batch(divisor, days, deleted, **changes):
+        chosen = orders.where(F.col("customer_id") % divisor == 0)
+        stamp = F.col("updated_at") + F.make_dt_interval(F.lit(days))
+        new = {"updated_at": stamp, "is_deleted": F.lit(deleted)}
+        return chosen.withColumns(new | {c: F.lit(v) for c, v in changes.items()})
+
+    stored = orders.withColumn("is_deleted", F.lit(False))
+    for changes in (
+        batch(5, 10, False, order_status="COMPLETED"),
+        batch(7, 7, True),
+        batch(3, 5, False, order_status="CANCELLED"),
+    ):
+        stored = landing.merge_ordered(stored, changes, ORDER_KEYS, "updated_at", "is_deleted")
+    return landing.live_rows(stored, "is_deleted")
+
+
 # Generated data, for the ids and reference tables given --------------------------------
 
 

@@ -147,6 +147,22 @@ def _refuse_nulls(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key} has NULLs: a row without a key belongs to no range")
 
 
+def stored_range(spark: SparkSession, table: str) -> tuple[str, int]:
+    """The key of a table of ``create_ranged`` and the width of its ranges."""
+    stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if _KEY not in stored:
+        raise ValueError(f"{table} was not written by create_ranged")
+    return stored[_KEY], int(stored[_WIDTH])
+
+
+def rows_of_keys(changes: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """Stored rows with the keys of ``changes``, read from the ranges of these alone."""
+    spark = changes.sparkSession
+    range_key, width = stored_range(spark, table)
+    wanted = changes.select(*keys).withColumn(_RANGE, F.expr(f"{range_key} div {width}"))
+    return spark.table(table).join(wanted, [_RANGE, *keys], "left_semi").drop(_RANGE)
+
+
 def merge_ranged(
     changes: DataFrame, table: str, keys: Sequence[str], removed: DataFrame | None = None
 ) -> DataFrame:
@@ -163,10 +179,7 @@ def merge_ranged(
     repeated: what is switched is complete, and what is not is as it was.
     """
     spark = changes.sparkSession
-    stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    if _KEY not in stored:
-        raise ValueError(f"{table} was not written by create_ranged")
-    range_key, width = stored[_KEY], int(stored[_WIDTH])
+    range_key, width = stored_range(spark, table)
     if range_key not in keys:
         raise ValueError(f"the range key {range_key} must be one of the keys")
 

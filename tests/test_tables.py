@@ -1,6 +1,7 @@
 """Landing operators and table writers, by reading back what they wrote."""
 
 import os
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,10 +9,11 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from salesmart.operators import landing, verify
+from salesmart.operators.landing import live_rows
 from salesmart.plans.build import RunOptions, build_all, write_all
 from salesmart.schemas import CUSTOMERS, ORDERS, WIDTHS, column_defaults
-from salesmart.sources import readers, tables
-from salesmart.streaming.incremental import stream_merge
+from salesmart.sources import readers, tables, versions
+from salesmart.streaming.incremental import stream_merge, stream_ordered
 
 
 def pairs(df):
@@ -301,4 +303,32 @@ def test_stream_of_changes(spark, tmp_path):
     send((4, "later", 3))
     got = run()
     assert (len(got), got[3], got[4]) == (21, "second", "later")
+    send((4, "late but older", 2), (3, "third", 3))
+    got = run()
+    assert (len(got), got[3], got[4]) == (21, "third", "later")
     assert os.listdir(checkpoint)
+
+
+STATE = "order_id long, line long, v string, at int, is_deleted boolean"
+CHANGES = [
+    (3, 0, "b", 2, False), (3, 0, None, 3, True), (3, 0, "late", 1, False), (4, 0, "x", 5, False),
+    (4, 0, "y", 5, False), (4, 1, None, 5, True), (4, 1, "back", 6, False), (50, 0, "added", 1, False),
+    (51, 0, None, 2, True), (51, 0, "late", 1, False), (12, 0, "old and late", 0, False),
+]
+
+
+@pytest.mark.parametrize("name, cuts, seed", [("a", [11], 0), ("b", [4, 8], 1), ("c", [1, 2, 7], 2)])
+def test_any_order_and_split_of_changes_gives_one_table(spark, tmp_path, name, cuts, seed):
+    table, checkpoint = f"r8.{name}", str(tmp_path / "checkpoint")
+    rows = spark.range(20).selectExpr("id AS order_id", "0L AS line", "'old' AS v", "1 AS at", "false AS is_deleted")
+    versions.refresh_versioned(rows, table, "order_id", 10)
+    changes = random.Random(seed).sample(CHANGES, len(CHANGES))
+    for first, last in zip([0, *cuts], [*cuts, len(changes)]):
+        batch = spark.createDataFrame(changes[first:last], STATE)
+        batch.write.mode("append").parquet(str(tmp_path / "feed"))
+        stream = spark.readStream.schema(STATE).parquet(str(tmp_path / "feed"))
+        stream_ordered(stream, table, ["order_id", "line"], "at", checkpoint).awaitTermination(120)
+    got = live_rows(versions.read_versioned(spark, table), "is_deleted")
+    expected = {(i, 0): "old" for i in range(20) if i != 3}
+    expected |= {(4, 0): "y", (4, 1): "back", (50, 0): "added"}
+    assert {(r.order_id, r.line): r.v for r in got.collect()} == expected
