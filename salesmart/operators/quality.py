@@ -277,6 +277,31 @@ def store_failures(
     return full_refresh(failing_rows(tables, check), f"{schema}.{check.name}")
 
 
+def rejected_rows(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
+    """The whole rows of a table that a check objects to.
+
+    The values are found on counted ones; the rows are joined to these, which hold each value
+    once, so a value on very many rows is met by each of them once.
+    """
+    df, column = tables[check.table], check.column
+    if check.kind == "not_null":
+        return df.where(F.col(column).isNull())
+    if check.kind == "unique":
+        counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_times"))
+        wrong = counted.where("_times > 1").select(column)
+    else:
+        orphans = check_relationship(df, column, tables[check.parent], check.parent_key)
+        wrong = orphans.select(F.col("value").alias(column))
+    return df.join(wrong, column, "left_semi").select(*df.columns)
+
+
+def quarantine(
+    tables: Mapping[str, DataFrame], check: Check, schema: str = "check_failures"
+) -> DataFrame:
+    """Keep the rows that a check objects to as ``<schema>.<check name>__rows``."""
+    return full_refresh(rejected_rows(tables, check), f"{schema}.{check.name}__rows")
+
+
 def check_freshness(
     df: DataFrame,
     table: str,

@@ -1,7 +1,8 @@
 """Named tables: layers, whole-table replacement, loading and range-wise merging."""
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,39 +71,72 @@ def _recover(spark: SparkSession, table: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def full_refresh(df: DataFrame, table: str) -> DataFrame:
-    """Replace the whole of ``<schema>.<name>`` with ``df`` and return the new table.
+@dataclass(frozen=True)
+class Staged:
+    """Rows complete in a table's spare folder, which readers do not see yet."""
 
-    A table has two folders, ``a`` and ``b``. The new rows go to the one not in use; only
-    when they are complete is the table pointed at it, so a failed run leaves the old
-    version in place, ``df`` may read the table it replaces, and no data are moved. Frames
-    read before the switch stay valid until the refresh after it. One writer at a time.
+    table: str
+    folder: str
+    live: str | None
+    rows: DataFrame
 
-    New columns take a second table, which then changes names with the first: if that
-    fails, the old one keeps its name, or has it again by the next run. Folders of a table
-    that the catalog does not know are not overwritten.
-    """
+
+def stage(df: DataFrame, table: str) -> Staged:
+    """Write ``df`` to the folder of ``<schema>.<name>`` that is not in use."""
     spark = df.sparkSession
     schema, name = table.split(".")
     folder = f"{ensure_layer(spark, schema)}/{name}"
     _recover(spark, table)
     live = _live_location(spark, table)
     spare = f"{folder}/{'b' if live and live.endswith('/a') else 'a'}"
-    df.write.mode("overwrite" if live else "errorifexists").parquet(spare)
-    if live is None:
-        spark.catalog.createTable(table, path=spare, source="parquet", schema=df.schema)
-    elif spark.table(table).schema.simpleString() == df.schema.simpleString():
+    rejected = f"{table}__rejected"
+    known = live is not None or spark.catalog.tableExists(rejected)
+    spark.sql(f"DROP TABLE IF EXISTS {rejected}")  # the entry; its folder is the spare one
+    df.write.mode("overwrite" if known else "errorifexists").parquet(spare)
+    return Staged(table, spare, live, spark.read.schema(df.schema).parquet(spare))
+
+
+def reject(staged: Staged) -> DataFrame:
+    """Leave the table as it is; what was staged becomes ``<table>__rejected`` until the next."""
+    spark, name = staged.rows.sparkSession, f"{staged.table}__rejected"
+    spark.catalog.createTable(name, path=staged.folder, source="parquet", schema=staged.rows.schema)
+    return spark.table(name)
+
+
+def publish(staged: Staged) -> DataFrame:
+    """Show what was staged in place of the rows before; the new table.
+
+    New columns take a second table, which then changes names with the first: if that
+    fails, the old one keeps its name, or has it again by the next run.
+    """
+    table, spare, schema = staged.table, staged.folder, staged.rows.schema
+    spark = staged.rows.sparkSession
+    if staged.live is None:
+        spark.catalog.createTable(table, path=spare, source="parquet", schema=schema)
+    elif spark.table(table).schema.simpleString() == schema.simpleString():
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{spare}'")
         spark.catalog.refreshTable(table)
     else:
         # Names and catalog entries only: the folders of an external table stay.
-        spark.catalog.createTable(f"{table}__next", path=spare, source="parquet", schema=df.schema)
+        spark.catalog.createTable(f"{table}__next", path=spare, source="parquet", schema=schema)
         spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
         spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
         spark.sql(f"DROP TABLE {table}__old")
     return spark.table(table)
 
 
+def full_refresh(df: DataFrame, table: str) -> DataFrame:
+    """Replace the whole of ``<schema>.<name>`` with ``df`` and return the new table.
+
+    A table has two folders, ``a`` and ``b``. The new rows go to the one not in use; only
+    when they are complete is the table pointed at it, so a failed run leaves the old
+    version in place, ``df`` may read the table it replaces, and no data are moved. Frames
+    read before the switch stay valid until the refresh after it. One writer at a time.
+    Folders of a table that the catalog does not know are not overwritten.
+    """
+    return publish(stage(df, table))
+
+
 def load_all(
     spark: SparkSession,
     read: Callable[[str], DataFrame],
@@ -114,11 +148,14 @@ def load_all(
     A text longer than its column fails the run too, or is cut on request. Verify the
     result with ``operators.verify.verify_landing``.
     """
-    landed = {}
+    return {name: full_refresh(rows, f"{schema}.{name}") for name, rows in landing_rows(read, cut)}
+
+
+def landing_rows(read: Callable[[str], DataFrame], cut: bool = False) -> Iterator[tuple[str, DataFrame]]:
+    """Each source table by name, in the shape in which it is landed."""
     for name, layout in LANDING.items():
         rows = fit_widths(conform(read(name), layout), WIDTHS.get(name, {}), cut)
-        landed[name] = full_refresh(normalize_names(rows), f"{schema}.{name}")
-    return landed
+        yield name, normalize_names(rows)
 
 
 # Tables in ranges of a key ---------------------------------------------------------------
