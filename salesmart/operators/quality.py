@@ -164,7 +164,9 @@ def _narrow(df: DataFrame, column: str) -> tuple[str, str]:
         return f"CAST(unix_date({column}) AS BIGINT)", "CAST(NULL AS BINARY)"
     text = f"CAST(CAST({column} AS STRING) AS BINARY)"
     if column.endswith("_key"):
-        text = f"IF({column} RLIKE '^[0-9a-f]{{32}}$', unhex({column}), {text})"
+        # What is not in lower case, or no hex, would not come back the same.
+        hex_ = f"octet_length({column}) = 32 AND {column} = lower({column})"
+        text = f"coalesce(IF({hex_}, unhex({column}), NULL), {text})"
     return "CAST(NULL AS BIGINT)", text
 
 

@@ -469,6 +469,18 @@ def oracle_sql() -> dict[str, str]:
         "incremental_fact": everything("fact_orders", FACT)
         .replace("ELSE 'SHIPPED' END", "ELSE 'CANCELLED' END")
         .replace("ELSE 'PENDING' END", "ELSE 'COMPLETED' END"),
+        # The copy lacks ids of 101, has those of 103 once more and wrong totals in those of 97.
+        "reconciliation": over("orders_", """
+SELECT order_id, count(*) AS source_rows,
+  sum(CASE WHEN order_id % 101 = 0 THEN 0 ELSE 1 END
+    + CASE WHEN order_id % 103 = 0 THEN 1 ELSE 0 END)::BIGINT AS target_rows,
+  CASE WHEN order_id % 103 = 0 AND order_id % 101 <> 0
+      OR order_id % 101 = 0 AND order_id % 103 <> 0 THEN 'customer_id,order_date,quantity,total_amount'
+    ELSE 'total_amount' END AS differs_in
+FROM orders_
+WHERE order_id % 101 = 0 AND order_id % 103 <> 0 OR order_id % 101 <> 0 AND order_id % 103 = 0
+   OR order_id % 101 <> 0 AND order_id % 97 = 0
+GROUP BY order_id"""),
         # What states of ranges merge to is what the fact itself gives.
         "rollup_months": over("revenue_analysis", "SELECT * FROM revenue_analysis"),
         "rollup_quarters": quarterly,

@@ -16,6 +16,7 @@ from salesmart.operators import landing, quality, verify
 from salesmart.operators.calendar import (
     CALENDAR_END, CALENDAR_START, covering_bounds, date_spine, spine_between,
 )
+from salesmart.operators.reconcile import reconcile
 from salesmart.plans import finance, rollup
 from salesmart.plans.build import RunOptions, Warehouse
 from salesmart.plans.dimensions import dim_dates
@@ -238,6 +239,20 @@ def row_counts(spark, folder):
     )
 
 
+@query
+def reconciliation(spark, folder):
+    """Orders against a copy that lost some, holds some twice and has wrong cells in others."""
+    orders = adapt(spark, folder)["orders"].drop("shipping_address")
+    copy = orders.where("order_id % 101 <> 0").withColumn(
+        "total_amount",
+        F.when(F.col("order_id") % 97 == 0, (F.col("total_amount") + 1).cast("decimal(10,2)"))
+        .otherwise(F.col("total_amount")),
+    )
+    copy = copy.unionByName(orders.where("order_id % 103 = 0"))
+    found = reconcile(orders, copy, "order_id", ["order_id", "customer_id", "order_date", "quantity", "total_amount"])
+    return found.withColumn("differs_in", F.array_join("differs_in", ","))
+
+
 @query
 def load_counts(spark, folder):
     """Row counts of the landing tables, as they are verified after a load."""
