@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,11 +103,11 @@ def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Values are given as text; NULLs are left out.
     """
-    cells = ", ".join(_cell(df, c, place) for place, c in enumerate(columns))
+    cells = ", ".join(cell(df, c, place) for place, c in enumerate(columns))
     repeated = (
         df.selectExpr(f"inline(array({cells}))")
         .where("number IS NOT NULL OR bytes IS NOT NULL")
-        .groupBy(*_VALUE)
+        .groupBy(*VALUE)
         .agg(F.count(F.lit(1)).alias("occurrences"))
         .where("occurrences > 1")
     )
@@ -170,10 +170,10 @@ def _narrow(df: DataFrame, column: str) -> tuple[str, str]:
     return "CAST(NULL AS BIGINT)", text
 
 
-_VALUE = ("place", "number", "bytes")
+VALUE = ("place", "number", "bytes")
 
 
-def _cell(df: DataFrame, column: str, place: int) -> str:
+def cell(df: DataFrame, column: str, place: int) -> str:
     number, text = _narrow(df, column)
     return f"named_struct('place', {place}, 'number', {number}, 'bytes', {text})"
 
@@ -187,17 +187,17 @@ def _value_counts(df: DataFrame, checks: Sequence[Check], columns: Sequence[str]
     compared = {c.column for c in checks if c.kind != "not_null"}
     cells = []
     for place, name in enumerate(columns):
-        cell = _cell(df, name, place)
-        cells.append(cell if name in compared else f"IF({name} IS NULL, {cell}, NULL)")
+        value = cell(df, name, place)
+        cells.append(value if name in compared else f"IF({name} IS NULL, {value}, NULL)")
     return (
         df.selectExpr(f"inline(array({', '.join(cells)}))")
         .where("place IS NOT NULL")
-        .groupBy(*_VALUE)
+        .groupBy(*VALUE)
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
 
 
-def _parent_keys(
+def parent_keys(
     tables: Mapping[str, DataFrame], checks: Sequence[Check], columns: Sequence[str]
 ) -> DataFrame | None:
     """Distinct ``(place, number, bytes)`` of the keys the referring columns may hold."""
@@ -205,8 +205,8 @@ def _parent_keys(
     for c in checks:
         if c.kind == "relationship":
             parent = tables[c.parent]
-            cell = _cell(parent, c.parent_key, columns.index(c.column))
-            keys.append(parent.selectExpr(f"{cell} AS cell").select("cell.*"))
+            value = cell(parent, c.parent_key, columns.index(c.column))
+            keys.append(parent.selectExpr(f"{value} AS cell").select("cell.*"))
     return reduce(DataFrame.unionByName, keys).distinct() if keys else None
 
 
@@ -216,17 +216,17 @@ def table_failures(
     """``(check_name, failures)`` for checks of one table, from a single scan of it."""
     columns = list(dict.fromkeys(c.column for c in checks))
     counts = _value_counts(tables[table], checks, columns)
-    known = _parent_keys(tables, checks, columns)
+    known = parent_keys(tables, checks, columns)
     if known is None:
         counts = counts.withColumn("known", F.lit(None).cast("boolean"))
     else:
         # Values are single by now: one held by most of the table is joined once.
         known = known.withColumn("known", F.lit(True))
         same = reduce(
-            lambda a, b: a & b, [counts[c].eqNullSafe(known[c]) for c in _VALUE]
+            lambda a, b: a & b, [counts[c].eqNullSafe(known[c]) for c in VALUE]
         )
         counts = counts.join(known, same, "left").select(
-            *[counts[c] for c in _VALUE], "occurrences", "known"
+            *[counts[c] for c in VALUE], "occurrences", "known"
         )
 
     null = "(number IS NULL AND bytes IS NULL)"
@@ -244,6 +244,14 @@ def table_failures(
     return totals.unpivot([], totals.columns, "check_name", "failures")
 
 
+def described_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
+    """(check_name, kind, table_name, column_name), a row a check."""
+    return spark.createDataFrame(
+        [(c.name, c.kind, c.table, c.column) for c in checks],
+        "check_name string, kind string, table_name string, column_name string",
+    )
+
+
 def run_suite(tables: Mapping[str, DataFrame], checks: Iterable[Check] = DECLARED) -> DataFrame:
     """``(check_name, kind, table_name, column_name, failures, passed)`` for every check."""
     checks = list(checks)
@@ -252,10 +260,7 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Iterable[Check] = DECLARE
     failures = reduce(
         DataFrame.unionByName, [table_failures(tables, t, cs) for t, cs in by_table.items()]
     )
-    about = failures.sparkSession.createDataFrame(
-        [(c.name, c.kind, c.table, c.column) for c in checks],
-        "check_name string, kind string, table_name string, column_name string",
-    )
+    about = described_checks(failures.sparkSession, checks)
     # One row per declared check on either side.
     return failures.join(F.broadcast(about), "check_name").select(
         *about.columns, "failures", (F.col("failures") == 0).alias("passed")

@@ -2,17 +2,19 @@
 
 ``start`` builds everything once, with the fact in ranges of order ids and the mart's states
 beside it. ``refresh`` then reads the landed tables for the changed orders alone, rewrites
-the ranges of the fact they lie in, makes the states of these ranges anew and the mart from
-all states. The result equals a full rebuild.
+the ranges of the fact they lie in, makes the states of these ranges anew (of the mart and
+of the fact's checks) and the mart from all states. The result equals a full rebuild.
 """
 
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.audit import stamped
+from salesmart.operators import check_states
+from salesmart.operators.quality import DECLARED
 from salesmart.plans import finance, rollup
 from salesmart.plans.build import LAYERS, RunOptions, Warehouse, write_all
 from salesmart.plans.facts import rebuilt_orders
@@ -49,15 +51,38 @@ class Places:
     def __init__(self, prefix: str | None):
         self.core = {n: f"{layer_name(layer, prefix)}.{n}" for n, layer in LAYERS.items()}
         self.fact, self.mart = self.core["fact_orders"], self.core["revenue_analysis"]
-        self.sums, self.members = (f"{layer_name('finance', prefix)}.{n}" for n in ("state_sums", "state_members"))
-        self.pending = f"{layer_name('core', prefix)}.changed_orders"
-
-
-def _states(fact: DataFrame, tables: Mapping[str, DataFrame], width: int) -> tuple[DataFrame, DataFrame]:
-    return (
-        rollup.sum_states(fact, tables["dim_dates"], width),
-        rollup.member_states(fact, tables["dim_customers"], tables["dim_dates"], width),
-    )
+        finance_, core = layer_name("finance", prefix), layer_name("core", prefix)
+        self.sums, self.members = f"{finance_}.state_sums", f"{finance_}.state_members"
+        self.failures, self.references = f"{core}.state_failures", f"{core}.state_references"
+        self.pending = f"{core}.changed_orders"
+
+
+FACT_CHECKS = [c for c in DECLARED if c.table == "fact_orders"]
+
+
+def _states(
+    fact: DataFrame, tables: Mapping[str, DataFrame], width: int, places: Places
+) -> list[tuple[str, str, DataFrame]]:
+    """(table, range column, states) of the given fact rows, for the mart and for the checks."""
+    place = F.expr(f"CAST(order_id AS BIGINT) div {int(width)}")
+    ranged = fact.withColumn(check_states.STATE_RANGE, place)
+    # An order key is made of the order's id, so its rows share a range.
+    failures = check_states.failure_states(ranged, FACT_CHECKS, ["order_key"])
+    members = rollup.member_states(fact, tables["dim_customers"], tables["dim_dates"], width)
+    return [
+        (places.sums, rollup.FACT_RANGE, rollup.sum_states(fact, tables["dim_dates"], width)),
+        (places.members, rollup.FACT_RANGE, members),
+        (places.failures, check_states.STATE_RANGE, failures),
+        (places.references, check_states.STATE_RANGE, check_states.reference_states(ranged, FACT_CHECKS)),
+    ]
+
+
+def fact_checks(spark: SparkSession, prefix: str | None = None) -> DataFrame:
+    """The declared checks of the fact, from the states of its ranges."""
+    places = Places(prefix)
+    parents = {c.parent: spark.table(places.core[c.parent]) for c in FACT_CHECKS if c.parent}
+    states = spark.table(places.failures), spark.table(places.references)
+    return check_states.suite_from_states(*states, parents, FACT_CHECKS)
 
 
 def _write_mart(places: Places, dim_dates: DataFrame, options: RunOptions) -> DataFrame:
@@ -76,9 +101,8 @@ def start(
     """Everything from the sources; the fact in ranges, and the states of the mart."""
     tables = write_all(sources, options, prefix, fact_width=width)
     places = Places(prefix)
-    sums, members = _states(tables["fact_orders"], tables, width)
-    refresh_versioned(sums, places.sums, rollup.FACT_RANGE, 1)
-    refresh_versioned(members, places.members, rollup.FACT_RANGE, 1)
+    for name, key, rows in _states(tables["fact_orders"], tables, width, places):
+        refresh_versioned(rows, name, key, 1)
     full_refresh(tables["fact_orders"].select("order_id").limit(0), places.pending)
     return tables
 
@@ -116,9 +140,8 @@ def refresh(
     tables["fact_orders"] = replace_keys(made, places.fact, due)
     touched = touched_ranges(spark, places.fact, due)
     fact = rows_of_ranges(spark, places.fact, touched)
-    ranges = touched.select(F.col(RANGE).alias(rollup.FACT_RANGE))
-    for rows, name in zip(_states(fact, tables, width), (places.sums, places.members)):
-        replace_keys(rows, name, ranges)
+    for name, key, rows in _states(fact, tables, width, places):
+        replace_keys(rows, name, touched.select(F.col(RANGE).alias(key)))
     tables["revenue_analysis"] = _write_mart(places, tables["dim_dates"], options)
     full_refresh(due.limit(0), places.pending)
     return tables

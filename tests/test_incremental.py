@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from salesmart.plans import facts, finance, incremental, rollup
+from salesmart.operators import check_states
+from salesmart.operators.quality import Check, run_suite
+from salesmart.plans import facts, finance, incremental, periods, rollup
 from salesmart.plans.build import RunOptions, build_all
 from salesmart.sources import versions
 
@@ -42,6 +44,8 @@ def check(spark, prefix, landed):
     for name in ("fact_orders", "revenue_analysis", "dim_customers"):
         stored = spark.table(f"{prefix}_{'finance' if name == 'revenue_analysis' else 'core'}.{name}")
         assert rows(stored.drop("key_range")) == rows(full[name]), name
+    suite = run_suite(landed | full, incremental.FACT_CHECKS)
+    assert rows(incremental.fact_checks(spark, prefix)) == rows(suite)
 
 
 def test_a_batch_with_one_row_of_a_repeated_key_loses_nothing(spark):
@@ -111,3 +115,32 @@ def test_states_merge_over_any_ranges(spark):
             assert merged.schema.simpleString() == full.schema.simpleString()
     shares = members.where(F.length("members") != 4096)
     assert shares.isEmpty()
+
+
+def test_checks_read_states_only_and_refuse_values_of_many_ranges(spark):
+    incremental.start(sources(spark, *FIRST, order(28, customer_id=99)), OPTIONS, "inc4", width=5)
+    suite = incremental.fact_checks(spark, "inc4")
+    assert {r.check_name: r.failures for r in suite.where("NOT passed").collect()} == {
+        "unique_fact_orders_order_key": 1, "not_null_fact_orders_customer_key": 1
+    }
+    plan = suite._jdf.queryExecution().optimizedPlan().toString()
+    assert "state_failures__rows" in plan.lower() and "fact_orders__rows" not in plan.lower()
+    ranged = spark.table("inc4_core.fact_orders").withColumn(check_states.STATE_RANGE, F.lit(1))
+    with pytest.raises(ValueError, match="several ranges"):
+        check_states.failure_states(ranged, [Check("unique", "fact_orders", "customer_key")], ["order_key"])
+
+
+def test_reports_of_months_read_their_files_only(spark):
+    landed = sources(spark, *[order(i, order_date=dt.datetime(2022 + i % 2, 1 + i % 12, 3)) for i in range(60)])
+    w = build_all(landed, OPTIONS)
+    periods.write_months(w["fact_orders"], w["dim_dates"], "mon1.fact")
+    full = finance.revenue_analysis(w["fact_orders"], w["dim_dates"], fx.RUN)
+    report = periods.latest_report(spark, "mon1.fact", w["dim_dates"], 5)
+    expected = full.orderBy(F.desc("year"), F.desc("month")).limit(5).drop("dw_created_at", "dw_updated_at")
+    assert [tuple(r) for r in report.collect()] == [tuple(r) for r in expected.collect()]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "__rows" in line.lower() or "PartitionFilters" in line]
+    assert any("key_range" in line and "IN (" in line for line in scans)
+    year = periods.facts_of(spark, "mon1.fact", w["dim_dates"].where("year = 2023"))
+    assert year.count() == w["fact_orders"].join(w["dim_dates"].where("year = 2023"), "date_key").count() > 0
+    assert "dynamicpruning" in year._jdf.queryExecution().executedPlan().toString()
