@@ -22,7 +22,8 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm.logistic import fit_logistic, sigmoid
@@ -61,10 +62,13 @@ class Model:
     lam: float = 1.0
     log_k: float = 0.0
     weights: np.ndarray = field(default_factory=lambda: np.array([-4.0, 0.0, 0.0]))
+    sent: Broadcast | None = None
 
-    def local(self) -> "Model":
-        """What tasks need of it: no more than ``HEAD`` counts."""
-        return replace(self, counts=None)
+    def local(self, spark: SparkSession) -> "Sent":
+        """What tasks need of it: no more than ``HEAD`` counts, sent once."""
+        if self.sent is None:
+            self.sent = spark.sparkContext.broadcast((self.keys, self.toxic, self.clean))
+        return Sent(replace(self, counts=None, sent=None, keys=None, toxic=None, clean=None), self.sent)
 
     def places(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the keys are in the arrays, and whether they are there."""
@@ -192,10 +196,11 @@ def _counts(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _counted(found)
 
 
-def _rare_tokens(model: Model):
+def _rare_tokens(sent: "Sent"):
     """Of each text the words that are not among the frequent ones, with their prefixes."""
 
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = sent.open()
         for batch in batches_:
             rows, found = [], []
             for i, (keys, _) in enumerate(token_keys(list(batch["text"]))):
@@ -232,7 +237,7 @@ def with_rare(rows: DataFrame, model: Model, scratch: Scratch, name: str) -> Dat
     schema = "_text_a long, _text_b long, word long, five long, four long"
     rare = scratch.write(
         rows.select(*text, plain_text().alias("text"))
-        .mapInPandas(_rare_tokens(model.local()), schema),
+        .mapInPandas(_rare_tokens(model.local(rows.sparkSession)), schema),
         f"rare-{name}",
     )
     words = rare.select(*NAMES).distinct()
@@ -267,6 +272,18 @@ def _excess(score, tokens, model: Model):
     return model.lam * score - model.log_k - np.log(np.maximum(tokens, 1))
 
 
+@dataclass(frozen=True)
+class Sent:
+    """A model whose arrays tasks read from the broadcast that all its uses share."""
+
+    numbers: Model
+    arrays: Broadcast
+
+    def open(self) -> Model:
+        keys, toxic, clean = self.arrays.value
+        return replace(self.numbers, keys=keys, toxic=toxic, clean=clean)
+
+
 SIGNIFICANT = float(np.log(20))  # expected less than 0.05 times by chance
 
 
@@ -289,8 +306,9 @@ def _features(tokens: np.ndarray, best: np.ndarray, total: np.ndarray, model: Mo
     return np.column_stack([excess, np.log1p(total)])
 
 
-def _histogram(model: Model, edges: np.ndarray):
+def _histogram(sent: "Sent", edges: np.ndarray):
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = sent.open()
         counts = np.zeros(len(edges) - 1, np.int64)
         for batch in batches_:
             for (keys, _), more in zip(token_keys(list(batch["text"])), _rare_of(batch)):
@@ -301,8 +319,9 @@ def _histogram(model: Model, edges: np.ndarray):
     return run
 
 
-def _evidence(model: Model):
+def _evidence(sent: Sent):
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = sent.open()
         for batch in batches_:
             rows = [e[:3] for e in document_evidence(list(batch["text"]), _rare_of(batch), model)]
             frame = pd.DataFrame(rows, columns=["tokens", "best", "total"])
@@ -337,11 +356,11 @@ def _frequent(sums: DataFrame) -> Model:
     while power > 0 and sizes.get(power - 1, 0) <= room:
         power -= 1
         room -= sizes.get(power, 0)
-    head = sums.where(n >= (1 << power)).orderBy("kind", "key").toPandas()
-    bounds = np.searchsorted(head["kind"].to_numpy(int), np.arange(len(NAMES) + 1)).tolist()
+    head = sums.where(n >= (1 << power)).orderBy("kind", "key").toArrow()
+    kind, key, toxic, clean = (np.asarray(head.column(c)) for c in ("kind", "key", "toxic", "clean"))
+    bounds = np.searchsorted(kind, np.arange(len(NAMES) + 1)).tolist()
     return Model(
-        head["key"].to_numpy(np.int64), bounds, head["toxic"].to_numpy(float),
-        head["clean"].to_numpy(float), np.array([totals[0] or 0, totals[1] or 0], float),
+        key, bounds, toxic.astype(float), clean.astype(float), np.array([totals[0] or 0, totals[1] or 0], float),
         sums if power else None, 1 << power,
     )
 
@@ -360,8 +379,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_text().alias("text"))
     rows = rows.withColumn("fold", fold(F.col("doc_id"))).where("fold <> 0")
-    # Labels grow with the documents: they are not for broadcasting.
-    rows = scratch.write(rows.join(known.hint("merge"), "doc_id"), "labelled")
+    # Spark measures the labels (two numbers a row): it broadcasts them while they are below
+    # its threshold, so that no text is shuffled, and shuffles both sides beyond it.
+    rows = scratch.write(rows.join(known, "doc_id"), "labelled")
     counted = rows.where("fold <> 4").select("toxic", "text")
     sums = scratch.write(
         counted.mapInPandas(_counts, TOKEN_COUNTS).groupBy("kind", "key")
@@ -378,7 +398,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     edges = np.linspace(-15, 15, 1201)
     bins = (
         rest.where("toxic = 0").select("text", "_rare_words", "_rare_scores")
-        .mapInPandas(_histogram(model.local(), edges), "bin int, n long")
+        .mapInPandas(_histogram(model.local(docs.sparkSession), edges), "bin int, n long")
         .groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     )
     counts = np.zeros(len(edges) - 1)
@@ -386,12 +406,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not counts.sum():
         return model
     model.lam = _root(counts, (edges[1:] + edges[:-1]) / 2)
-    seen = scratch.write(rest.mapInPandas(_evidence(model.local()), EVIDENCE), "first")
+    seen = scratch.write(rest.mapInPandas(_evidence(model.local(docs.sparkSession)), EVIDENCE), "first")
     means = seen.where("toxic = 0 AND tokens > 0").agg(
         F.avg("best"), F.avg(F.log("tokens"))
     ).first()
     model.log_k = model.lam * (means[0] or 0.0) - (means[1] or 0.0) - 0.5772
-    seen = scratch.write(rest.mapInPandas(_evidence(model.local()), EVIDENCE), "second")
+    seen = scratch.write(rest.mapInPandas(_evidence(model.local(docs.sparkSession)), EVIDENCE), "second")
     sample = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).toPandas()
     x = _features(*(sample[c].to_numpy(float) for c in ("tokens", "best", "total")), model)
     model.weights = fit_logistic(x, sample["toxic"].to_numpy(float), ridge=0.01)
@@ -414,10 +434,10 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     how many such were expected by chance. Repeated rows are scored like others, further
     columns are ignored, and an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model.local())  # at most HEAD counts
+    sent = model.local(docs.sparkSession)
 
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
+        model = sent.open()
         for batch in batches_:
             rows = list(document_evidence(list(batch["text"]), _rare_of(batch), model))
             table = np.array([r[:3] for r in rows], float).reshape(-1, 3)
@@ -440,10 +460,10 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The documents, all columns, without those that the model takes for toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.local())  # at most HEAD counts
+    sent = model.local(docs.sparkSession)
 
     def run(record_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = sent.open()
         for records in record_batches:
             for at in range(0, records.num_rows, 1000):
                 batch = records.slice(at, 1000)
