@@ -45,11 +45,14 @@ class Encoder:
         self._whole = Tokenizer.from_file(path)
         added = self._whole.get_added_tokens_decoder().values()
         self._special = [t.content.lower() for t in added]
+        # What all of them begin with, as far as it has no letters: "<|" in both files.
+        self._sign = re.match(r"[^\w\s]*", os.path.commonprefix(self._special)).group()
         self._model = self._whole.model
         self._lower = self._whole.normalizer is not None
         self._split = regex.compile(LOWER_WORDS if self._lower else BYTE_WORDS).findall
-        self._words: dict[str, bytes] = {}
-        self._firsts: dict[str, bytes] = {}
+        self._words: list[dict[str, bytes]] = [{}, {}]
+        self._firsts: list[dict[str, bytes]] = [{}, {}]
+        self._ends = {mark: self._part(mark) for mark in ".,"}
         self._break = self.library("\n")
 
     def library(self, text: str) -> bytes:
@@ -76,26 +79,27 @@ class Encoder:
             return b"".join([self._part(p) for p in self._split(space + word)])
         return self.library(space + word)
 
-    def _ids(self, words: list[str], space: str, known: dict[str, bytes]) -> list[bytes]:
-        try:
-            return [known[w] for w in words]
-        except KeyError:
-            if len(known) > MOST_WORDS:
-                known.clear()
-        for w in words:
-            if w not in known:
-                start = None
-                if w[-1] in ".," and w[:-1].isalpha() and "\u0130" not in w:
-                    start = known.get(w[:-1])
-                if start is None:
-                    known[w] = self._unseen(w, space)
-                else:
-                    known[w] = start + self._part(w[-1])
-        return [known[w] for w in words]
+    def _ids(self, words: list[str], space: str, known: list[dict[str, bytes]]) -> list[bytes]:
+        recent = known[0]
+        if len(recent) > MOST_WORDS // 2:
+            # Words in use come back from the older half; the others are forgotten with it.
+            known[:] = {}, recent
+            recent = known[0]
+        return [recent.get(w) or self._recalled(w, space, known) for w in words]
+
+    def _recalled(self, word: str, space: str, known: list[dict[str, bytes]]) -> bytes:
+        recent, older = known
+        ids = older.get(word)
+        if ids is None:
+            start = None
+            if word[-1] in ".," and word[:-1].isalpha() and "\u0130" not in word:
+                start = recent.get(word[:-1]) or older.get(word[:-1])
+            ids = self._unseen(word, space) if start is None else start + self._ends[word[-1]]
+        recent[word] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
-        lowered = text.lower()
-        if any(s in lowered for s in self._special):
+        if self._sign in text and any(s in text.lower() for s in self._special):
             return self.library(text)
         words = text.split()
         if self._lower:
