@@ -18,14 +18,29 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """The documents' own columns of names that an operator gives its results, under others."""
+    own = {c: f"_own_{c}" for c in docs.columns if c in names}
+    return docs.withColumnsRenamed(own), own
+
+
+def _back(rows: DataFrame, docs: DataFrame, own: dict[str, str]) -> DataFrame:
+    """The columns of the documents, those put aside among them."""
+    return rows.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
+
+
 def repeated_lines_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without runs of lines that stand earlier; a text of which none is left goes."""
-    cleaned = lines.delete_repeated_runs(docs)
+    """Texts without runs of lines that stand earlier; a text of which none is left goes.
+
+    Null and empty texts stay as they are, and so do other columns, whatever their names.
+    """
+    renamed, own = _aside(docs, "n_lines", "n_deleted", "deleted_runs")
+    cleaned = lines.delete_repeated_runs(renamed)
     left = cleaned.where((F.col("n_deleted") == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
         n_chars = F.when(F.col("n_deleted") == 0, F.col("n_chars")).otherwise(F.char_length("text"))
         left = left.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    return _back(left, docs, own)
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +49,12 @@ def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at tempered weights: every document once, those of scarce sources up to twice."""
-    return mixing.mix(docs, mixing.Target(repetitions=2.0)).select(*docs.columns)
+    """Sources at tempered weights: every document once, those of scarce sources up to twice.
+
+    Null and empty texts stay; other columns keep their values, whatever their names.
+    """
+    renamed, own = _aside(docs, "tokens", "weight", "pass_number", "slot")
+    return _back(mixing.mix(renamed, mixing.Target(repetitions=2.0)), docs, own)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
