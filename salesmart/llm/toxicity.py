@@ -5,7 +5,9 @@ priors: a word's prior is the share of its first five bytes, theirs that of the
 bytes, theirs that of the whole corpus, so that rare and unseen forms lean on their stem.
 Counts are exact and kept in a written table by the 64-bit hash of the token, which grows
 with the words of the corpus. The most frequent ones, at most ``HEAD``, go to every task;
-the scores of rarer tokens are joined to the documents that have them.
+the scores of rarer tokens are joined to the documents that have them. No text is shuffled
+for it: a scan depends on the positive scores and on sums between them only, so a document
+waits for its rare scores as these numbers (its *outline*).
 
 Scores less a drift are negative on average in clean text. One pass over a document finds
 all maximal scoring segments (every one that cannot be made better by growing or
@@ -21,8 +23,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -240,6 +241,12 @@ def with_rare(rows: DataFrame, model: Model, scratch: Scratch, name: str) -> Dat
         .mapInPandas(_rare_tokens(model.local(rows.sparkSession)), schema),
         f"rare-{name}",
     )
+    told = _told(rare, text, model)
+    return rows.join(told.hint("merge"), text, "left").drop(*text)
+
+
+def _told(rare: DataFrame, row: list[str], model: Model) -> DataFrame:
+    """Per row the words, and their scores, whose counts are not all among the frequent ones."""
     words = rare.select(*NAMES).distinct()
     for number, column in enumerate(NAMES):
         counts = model.counts.where(F.col("kind") == number).select(
@@ -253,13 +260,12 @@ def with_rare(rows: DataFrame, model: Model, scratch: Scratch, name: str) -> Dat
         n = F.col(f"toxic_{column}") + F.col(f"clean_{column}")
         missing = missing | F.coalesce(n < model.least, F.lit(False))
     scores = words.where(missing).select("word", model.column().alias("score"))
-    told = rare.join(scores.hint("merge"), "word").groupBy(*text).agg(
+    return rare.select(*row, "word").join(scores.hint("merge"), "word").groupBy(*row).agg(
         F.collect_set(F.struct("word", "score")).alias("rare")
     ).select(
-        *text, F.transform("rare", lambda x: x["word"]).alias("_rare_words"),
+        *row, F.transform("rare", lambda x: x["word"]).alias("_rare_words"),
         F.transform("rare", lambda x: x["score"]).alias("_rare_scores"),
     )
-    return rows.join(told.hint("merge"), text, "left").drop(*text)
 
 
 def _rare_of(batch: pd.DataFrame) -> list[tuple | None]:
@@ -287,18 +293,75 @@ class Sent:
 SIGNIFICANT = float(np.log(20))  # expected less than 0.05 times by chance
 
 
-def document_evidence(texts: list[str], rare: list[tuple | None], model: Model) -> Iterator[tuple]:
+def _weighed(n: int, scores: np.ndarray, begin: np.ndarray, end: np.ndarray, model: Model) -> tuple:
     """tokens, best score, summed excess of significant segments, and those segments."""
+    found = segments(scores)
+    best = max((s for _, _, s in found), default=0.0)
+    kept = [(a, b, s) for a, b, s in found if _excess(s, n, model) > SIGNIFICANT]
+    total = sum(float(_excess(s, n, model)) for _, _, s in kept)
+    spans = [
+        (int(begin[a]), int(end[b - 1]), s, float(np.exp(-_excess(s, n, model)))) for a, b, s in kept
+    ]
+    return n, best, total, spans
+
+
+def document_evidence(texts: list[str], rare: list[tuple | None], model: Model) -> Iterator[tuple]:
+    """What ``_weighed`` says of each text."""
     for (keys, ranges), more in zip(token_keys(texts), rare):
-        n, found = keys.shape[1], segments(model.odds(keys, more))
-        best = max((s for _, _, s in found), default=0.0)
-        kept = [(a, b, s) for a, b, s in found if _excess(s, n, model) > SIGNIFICANT]
-        total = sum(float(_excess(s, n, model)) for _, _, s in kept)
-        spans = [
-            (int(ranges[0][a]), int(ranges[1][b - 1]), s, float(np.exp(-_excess(s, n, model))))
-            for a, b, s in kept
-        ]
-        yield n, best, total, spans
+        yield _weighed(keys.shape[1], model.odds(keys, more), *ranges, model)
+
+
+# Of each document: where tokens of positive or unknown score are (bytes), their scores as far
+# as frequent counts tell, the sums of the scores before each, and which of them are unknown.
+OUTLINE = (
+    "row long, tokens long, begin binary, length binary, scores binary, gaps binary, "
+    "unknown binary, word array<long>, five array<long>, four array<long>"
+)
+
+
+def _outlines(sent: Sent, columns: list[str]):
+    def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, row = sent.open(), TaskContext.get().partitionId() << 40
+        names = [c.split()[0] for c in OUTLINE.split(", ")]
+        for batch in batches_:
+            rows = []
+            for keys, (begin, end) in token_keys(list(batch["text"])):
+                scores, known = model.odds(keys), model.places(0, keys[0])[1]
+                at = np.flatnonzero((scores > 0) | ~known)
+                sums = np.concatenate([[0.0], np.cumsum(scores)])
+                unknown = np.flatnonzero(~known[at])
+                rows.append((
+                    row, len(scores), begin[at].tobytes(), (end - begin)[at].tobytes(), scores[at].tobytes(),
+                    (sums[at] - np.concatenate([[0.0], sums[at[:-1] + 1]])[: len(at)]).tobytes(),
+                    unknown.astype(np.int32).tobytes(), *keys[:, at[unknown]],
+                ))
+                row += 1
+            yield batch[columns].reset_index(drop=True).join(pd.DataFrame(rows, columns=names))
+
+    return run
+
+
+def outlines(rows: DataFrame, model: Model, scratch: Scratch, name: str) -> DataFrame:
+    """Other columns than the text, outlines, and the rare scores that they lack."""
+    columns = [c for c in rows.columns if c != "text"]
+    schema = ", ".join([f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns] + [OUTLINE])
+    made = rows.mapInPandas(_outlines(model.local(rows.sparkSession), columns), schema)
+    made = scratch.write(made, f"outlines-{name}")
+    each = F.explode(F.array_distinct(F.arrays_zip(*NAMES))).alias("each")
+    told = scratch.write(_told(made.select("row", each).select("row", "each.*"), ["row"], model), f"told-{name}")
+    return made.drop("five", "four").join(told.hint("merge"), "row", "left").drop("row")
+
+
+def outline_evidence(batch: pd.DataFrame, model: Model) -> Iterator[tuple]:
+    """What ``_weighed`` says of each document, from its outline."""
+    for r, rare in zip(batch.itertuples(), _rare_of(batch)):
+        scores = np.frombuffer(r.scores).copy()
+        begin, length = np.frombuffer(r.begin, np.int64), np.frombuffer(r.length, np.int64)
+        if rare is not None:
+            unknown, told = np.frombuffer(r.unknown, np.int32), dict(zip(*rare))
+            scores[unknown] = [told.get(w, s) for w, s in zip(r.word, scores[unknown])]
+        line = np.stack([np.frombuffer(r.gaps), scores], axis=1).ravel()
+        yield _weighed(r.tokens, line, np.repeat(begin, 2), np.repeat(begin + length, 2), model)
 
 
 def _features(tokens: np.ndarray, best: np.ndarray, total: np.ndarray, model: Model) -> np.ndarray:
@@ -434,50 +497,53 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     how many such were expected by chance. Repeated rows are scored like others, further
     columns are ignored, and an empty table gives an empty result.
     """
-    sent = model.local(docs.sparkSession)
+    key = F.col("doc_id").cast("long")
+    rows = docs.select(
+        key.alias("doc_id"), (fold(key) == 0).alias("held_out"), plain_text().alias("text")
+    )
+    return _scored(rows, model, "score", SCORES)
+
+
+def _scored(rows: DataFrame, model: Model, name: str, schema: str) -> DataFrame:
+    """The columns of the schema: those that rows have, and what the model says of their text."""
+    columns = [c for c in rows.columns if c != "text"]
+    sent, whole = model.local(rows.sparkSession), model.counts is None
 
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = sent.open()
         for batch in batches_:
-            rows = list(document_evidence(list(batch["text"]), _rare_of(batch), model))
-            table = np.array([r[:3] for r in rows], float).reshape(-1, 3)
-            x = _features(*table.T, model)
-            score = sigmoid(model.weights[0] + x @ model.weights[1:])
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"],
-                "score": score, "predicted": (score >= 0.5).astype(np.int32),
-                "tokens": table[:, 0].astype(np.int64),
-                "passages": [[dict(zip(("begin", "end", "score", "expected"), s)) for s in r[3]] for r in rows],
-            })
+            if whole:
+                told = list(document_evidence(list(batch["text"]), [None] * len(batch), model))
+            else:
+                told = list(outline_evidence(batch, model))
+            table = np.array([r[:3] for r in told], float).reshape(-1, 3)
+            score = sigmoid(model.weights[0] + _features(*table.T, model) @ model.weights[1:])
+            out = batch[columns].reset_index(drop=True).assign(
+                score=score, predicted=(score >= 0.5).astype(np.int32), tokens=table[:, 0].astype(np.int64),
+            )
+            out["passages"] = [[dict(zip(("begin", "end", "score", "expected"), s)) for s in r[3]] for r in told]
+            if "doc_id" in columns:
+                out["doc_id"] = out["doc_id"].astype("Int64")
+            yield out
 
-    key = F.col("doc_id").cast("long")
-    rows = docs.select(
-        key.alias("doc_id"), (fold(key) == 0).alias("held_out"), plain_text().alias("text")
-    )
-    scratch = Scratch(docs.sparkSession, "toxicity")
-    return with_rare(rows, model, scratch, "score").mapInPandas(run, SCORES)
+    if not whole:
+        rows = outlines(rows, model, Scratch(rows.sparkSession, "toxicity"), name)
+    return rows.mapInPandas(run, schema)
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents, all columns, without those that the model takes for toxic."""
-    sent = model.local(docs.sparkSession)
+    """The documents, all columns, without those that the model takes for toxic.
 
-    def run(record_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.open()
-        for records in record_batches:
-            for at in range(0, records.num_rows, 1000):
-                batch = records.slice(at, 1000)
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                rare = [
-                    None if words is None else (words, scores)
-                    for words, scores in zip(
-                        batch.column("_rare_words").to_pylist(), batch.column("_rare_scores").to_pylist()
-                    )
-                ]
-                table = np.array([e[:3] for e in document_evidence(texts, rare, model)], float)
-                x = _features(*table.reshape(-1, 3).T, model)
-                score = sigmoid(model.weights[0] + x @ model.weights[1:])
-                yield batch.select(columns).filter(pa.array(score < 0.5))
-
-    scratch, columns = Scratch(docs.sparkSession, "toxicity"), docs.columns
-    return with_rare(docs, model, scratch, "filter").mapInArrow(run, docs.schema)
+    Null and empty texts stay. Equal texts are judged alike, so toxic ones are known by two
+    hashes of the text; ``_text_a`` and ``_text_b`` are reserved names.
+    """
+    rows = docs.withColumns({
+        "_text_a": F.xxhash64(plain_text()), "_text_b": F.xxhash64(F.lit(1), plain_text())
+    })
+    text = ["_text_a", "_text_b"]
+    schema = SCORES.replace("doc_id long, held_out boolean", "_text_a long, _text_b long")
+    judged = _scored(rows.select(*text, plain_text().alias("text")), model, "filter", schema)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    toxic = scratch.write(judged.where("predicted = 1").select(*text).distinct(), "toxic")
+    # Two numbers a toxic text: Spark measures the table and broadcasts it below its threshold.
+    return rows.join(toxic, text, "left_anti").drop(*text)
