@@ -7,7 +7,8 @@ Counts are exact and kept in a written table by the 64-bit hash of the token, wh
 with the words of the corpus. The most frequent ones, at most ``HEAD``, go to every task;
 the scores of rarer tokens are joined to the documents that have them. No text is shuffled
 for it: a scan depends on the positive scores and on sums between them only, so a document
-waits for its rare scores as these numbers (its *outline*).
+waits for its rare scores as these numbers (its *outline*). A Bloom filter of fixed size tells which words may have rare counts, so
+words without any do not wait; when it fills up, more words wait, and scores stay the same.
 
 Scores less a drift are negative on average in clean text. One pass over a document finds
 all maximal scoring segments (every one that cannot be made better by growing or
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from salesmart.llm.logistic import fit_logistic, sigmoid
 from salesmart.llm.shared import Rolling, Scratch, batches, byte_table, plain_text, stretches
 
-HEAD = 1 << 20  # counts of words and prefixes at most that every task gets
+HEAD = 1 << 18  # counts of words and prefixes at most that every task gets
+BITS = 26  # bits, as a power of two, of the filter that tells which other counts there may be
 FLUSH = 500_000  # tokens counted at a time
 PREFIXES = (5, 4)
 STRENGTHS = (4.0, 8.0, 16.0)  # prior counts of a word, of five and of four bytes
@@ -63,13 +65,14 @@ class Model:
     lam: float = 1.0
     log_k: float = 0.0
     weights: np.ndarray = field(default_factory=lambda: np.array([-4.0, 0.0, 0.0]))
+    rare: np.ndarray | None = None  # the filter of keys that are only in the table
     sent: Broadcast | None = None
 
     def local(self, spark: SparkSession) -> "Sent":
         """What tasks need of it: no more than ``HEAD`` counts, sent once."""
         if self.sent is None:
-            self.sent = spark.sparkContext.broadcast((self.keys, self.toxic, self.clean))
-        return Sent(replace(self, counts=None, sent=None, keys=None, toxic=None, clean=None), self.sent)
+            self.sent = spark.sparkContext.broadcast((self.keys, self.toxic, self.clean, self.rare))
+        return Sent(replace(self, counts=None, sent=None, keys=None, toxic=None, clean=None, rare=None), self.sent)
 
     def places(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the keys are in the arrays, and whether they are there."""
@@ -79,6 +82,18 @@ class Model:
         at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
         return at + self.bounds[kind], own[at] == keys
 
+    def unsure(self, keys: np.ndarray) -> np.ndarray:
+        """Whether words outside the arrays, or their prefixes, may have counts in the table."""
+        out = np.zeros(keys.shape[1], bool)
+        if self.rare is not None:
+            for kind in range(len(NAMES)):
+                maybe = ~self.places(kind, keys[kind])[1]
+                for bit in _bits(keys[kind]):
+                    maybe &= (self.rare[bit >> 6] >> (bit & 63)) & 1 == 1
+                out |= maybe
+            out &= ~self.places(0, keys[0])[1]
+        return out
+
     def odds(self, keys: np.ndarray, rare: tuple | None = None) -> np.ndarray:
         """Scores of tokens given by their three keys; ``rare`` has keys and scores of words."""
         share = np.full(keys.shape[1], self.base())
@@ -116,6 +131,25 @@ class Model:
         return F.log(share / (1 - share)) - self.offset()
 
 
+def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each key in the filter."""
+    return keys & ((1 << BITS) - 1), (keys >> BITS) & ((1 << BITS) - 1)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """The filter's bits, in 64-bit words: a sum over all keys of a size that does not grow."""
+    mask = (1 << BITS) - 1
+    bit = F.explode(F.array(
+        F.col("key").bitwiseAND(F.lit(mask)), F.shiftright("key", BITS).bitwiseAND(F.lit(mask))
+    ))
+    words = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("place")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("bits")
+    ).toArrow()
+    out = np.zeros(1 << (BITS - 6), np.int64)
+    out[np.asarray(words.column("place"))] = np.asarray(words.column("bits"))
+    return out
+
+
 def token_keys(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each text its tokens' keys [3, n] and byte ranges [2, n]; letters only, lower case.
 
@@ -198,14 +232,14 @@ def _counts(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _rare_tokens(sent: "Sent"):
-    """Of each text the words that are not among the frequent ones, with their prefixes."""
+    """Of each text the words that may have rare counts, with their prefixes."""
 
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = sent.open()
         for batch in batches_:
             rows, found = [], []
             for i, (keys, _) in enumerate(token_keys(list(batch["text"]))):
-                keys = keys[:, ~model.places(0, keys[0])[1]]
+                keys = keys[:, model.unsure(keys)]
                 keys = keys[:, np.unique(keys[0], return_index=True)[1]]
                 rows.append(np.full(keys.shape[1], i))
                 found.append(keys)
@@ -286,8 +320,8 @@ class Sent:
     arrays: Broadcast
 
     def open(self) -> Model:
-        keys, toxic, clean = self.arrays.value
-        return replace(self.numbers, keys=keys, toxic=toxic, clean=clean)
+        keys, toxic, clean, rare = self.arrays.value
+        return replace(self.numbers, keys=keys, toxic=toxic, clean=clean, rare=rare)
 
 
 SIGNIFICANT = float(np.log(20))  # expected less than 0.05 times by chance
@@ -326,10 +360,10 @@ def _outlines(sent: Sent, columns: list[str]):
         for batch in batches_:
             rows = []
             for keys, (begin, end) in token_keys(list(batch["text"])):
-                scores, known = model.odds(keys), model.places(0, keys[0])[1]
-                at = np.flatnonzero((scores > 0) | ~known)
+                scores, unsure = model.odds(keys), model.unsure(keys)
+                at = np.flatnonzero((scores > 0) | unsure)
                 sums = np.concatenate([[0.0], np.cumsum(scores)])
-                unknown = np.flatnonzero(~known[at])
+                unknown = np.flatnonzero(unsure[at])
                 rows.append((
                     row, len(scores), begin[at].tobytes(), (end - begin)[at].tobytes(), scores[at].tobytes(),
                     (sums[at] - np.concatenate([[0.0], sums[at[:-1] + 1]])[: len(at)]).tobytes(),
@@ -424,7 +458,7 @@ def _frequent(sums: DataFrame) -> Model:
     bounds = np.searchsorted(kind, np.arange(len(NAMES) + 1)).tolist()
     return Model(
         key, bounds, toxic.astype(float), clean.astype(float), np.array([totals[0] or 0, totals[1] or 0], float),
-        sums if power else None, 1 << power,
+        sums if power else None, 1 << power, rare=_filter(sums.where(n < (1 << power))) if power else None,
     )
 
 

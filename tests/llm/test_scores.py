@@ -380,3 +380,16 @@ def test_pipeline_stages(spark):
         before = count
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert packed.where("start = 0").count() == before
+
+
+def test_filter_of_rare_counts_misses_none(spark, monkeypatch):
+    """Every word with counts outside the arrays is looked up, and few others are."""
+    docs, labels, _ = labelled(spark)
+    monkeypatch.setattr(toxicity, "HEAD", 40)
+    model = toxicity.fit(docs, labels)
+    table = model.counts.where("kind = 0").toPandas()
+    keys = np.array([table["key"].to_numpy()] * 3)
+    outside = ~model.places(0, keys[0])[1]
+    assert outside.sum() > 100 and (model.unsure(keys) == outside).all()
+    strange = np.random.default_rng(5).integers(-(1 << 62), 1 << 62, (3, 10_000))
+    assert model.unsure(strange).mean() < 0.01
