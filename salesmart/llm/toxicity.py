@@ -5,10 +5,11 @@ priors: a word's prior is the share of its first five bytes, theirs that of the
 bytes, theirs that of the whole corpus, so that rare and unseen forms lean on their stem.
 Counts are exact and kept in a written table by the 64-bit hash of the token, which grows
 with the words of the corpus. The most frequent ones, at most ``HEAD``, go to every task;
-the scores of rarer tokens are joined to the documents that have them. No scored text is shuffled
-for it: a scan depends on the positive scores and on sums between them only, so a document
-waits for its rare scores as these numbers (its *outline*). A Bloom filter of fixed size tells which words may have rare counts, so
-words without any do not wait; when it fills up, more words wait, and scores stay the same.
+the scores of rarer tokens are joined to the documents that have them. No scored text is
+shuffled for it: a scan depends on the positive scores and on sums between them only, so a
+document waits for its rare scores as these numbers (its *outline*). A Bloom filter of
+fixed size tells which words may have rare counts, and only those are looked up; when it
+fills up, more words are, and scores stay the same.
 
 Scores less a drift are negative on average in clean text. One pass over a document finds
 all maximal scoring segments (every one that cannot be made better by growing or
