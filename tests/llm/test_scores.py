@@ -2,6 +2,7 @@
 
 import collections
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -393,3 +394,45 @@ def test_filter_of_rare_counts_misses_none(spark, monkeypatch):
     assert outside.sum() > 100 and (model.unsure(keys) == outside).all()
     strange = np.random.default_rng(5).integers(-(1 << 62), 1 << 62, (3, 10_000))
     assert model.unsure(strange).mean() < 0.01
+
+
+def test_rounds_over_a_table_are_those_over_arrays(spark):
+    """Co-training over all rows of a table, and over the same rows as arrays, by definition."""
+    docs, labels, rows = labelled(spark)
+    rng = random.Random(31)
+    more = []
+    for i in range(1000, 2500):
+        junk = i % 5 == 0
+        text = ("%% | " if junk else " ").join(words(rng, 40))
+        more.append((i, text, "de" if junk else "en", f"s{i % 3}", None if i % 7 == 0 else len(text)))
+    docs = docs.unionByName(frame(spark, more))
+    training = quality.Training(rounds=3)
+    model = quality.fit(docs, labels, training)
+    known = {r[0]: r[1] for r in labels.where("quality IS NOT NULL").collect()}
+    kept = [r for r in rows + more if zlib.crc32(str(r[0]).encode()) % 5 != 0]
+    lists = []
+    for part in ([r for r in kept if r[0] in known], [r for r in kept if r[0] not in known]):
+        content = np.array([quality.content_features(r[1].encode()) for r in part], "<f4").astype(float)
+        page = np.array([quality.page_features(*r[2:5]) for r in part], "<f4").astype(float)
+        lists.append((content, page))
+    y = np.array([known[r[0]] for r in kept if r[0] in known], float)
+    held = np.array([zlib.crc32(str(r[0]).encode()) % 5 == 4 for r in kept if r[0] in known])
+    plain = quality.co_train(*lists[0], y, held, *lists[1], training)
+    assert len(lists[1][0]) > 1000
+    for a, b in ((model.content, plain.content), (model.page, plain.page)):
+        assert np.allclose(a.weights, b.weights, atol=1e-6) and np.allclose(a.mean, b.mean)
+    assert np.allclose(model.combine, plain.combine, atol=1e-6)
+
+
+def test_thresholds_take_sure_ends_only():
+    middle, rng = quality.REACH * quality.STEPS, np.random.default_rng(2)
+    margins = rng.normal(0, 4, 5000)
+    counts = np.bincount(np.floor(margins * quality.STEPS).astype(int) + middle, minlength=2 * middle + 1)
+    low, high = quality.thresholds(counts, 100, 200, 0.5)
+    assert 100 <= (margins < (low + 1) / quality.STEPS).sum() < 120
+    assert 200 <= (margins >= high / quality.STEPS).sum() < 220
+    # A view that says the same of every row teaches nothing, whatever the share of good labels.
+    flat = np.zeros(2 * middle + 1, int)
+    flat[middle + int(2.2 * quality.STEPS)] = 5000
+    low, high = quality.thresholds(flat, 100, 200, 0.9)
+    assert flat[: low + middle + 1].sum() == 0 and flat[high + middle :].sum() == 0
