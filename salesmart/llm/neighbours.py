@@ -85,6 +85,14 @@ def _stacked(batch: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in batch])
 
 
+def _norms(vectors: np.ndarray) -> np.ndarray:
+    """Lengths, without squares of very large or very small components."""
+    peak = np.abs(vectors).max(axis=1)
+    with np.errstate(over="ignore"):
+        lengths = peak * np.linalg.norm(vectors / peak[:, None], axis=1)
+    return np.minimum(lengths, np.finfo(float).max)
+
+
 EVERYONE = -1  # the table whose only bucket every query visits
 
 
@@ -124,7 +132,7 @@ def _probed(probing: Probing):
             if batch.empty:
                 continue
             vectors = _stacked(batch["embedding"])
-            vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+            vectors /= _norms(vectors)[:, None]
             vectors = np.column_stack([vectors, np.zeros(len(vectors))])
             yield batch.assign(
                 table=np.int32(EVERYONE), probe=np.int32(0), bucket=np.int64(0)
@@ -152,6 +160,7 @@ def _ranked(probing: Probing):
         table, ids = _stacked(vectors["embedding"]), vectors["vec_id"].to_numpy(np.int64)
         order = np.argsort(ids, kind="stable")
         table, ids, found = table[order], ids[order], []
+        lengths = _norms(table)
         for first in range(0, len(queries), 1024):
             part = queries.iloc[first : first + 1024]
             asked = part["query_id"].to_numpy(np.int64)
@@ -161,7 +170,8 @@ def _ranked(probing: Probing):
             take = min(probing.neighbours + 1, len(ids))
             # Ties go to smaller ids: a stable sort of vectors in the order of ids, by
             # scores without the last digits, which depend on the place in the product.
-            coarse = np.round(scores / max(np.abs(scores[np.isfinite(scores)]).max(initial=0), 1e-300), 12)
+            # What the last digits are, the two lengths say: one long vector hides no others.
+            coarse = np.round(scores / _norms(left)[:, None] / lengths, 12) * lengths
             best = np.argsort(-coarse, axis=1, kind="stable")[:, :take]
             rows = np.repeat(asked, take)
             exact = (np.repeat(left, take, axis=0) * table[best.ravel()]).sum(axis=1)
@@ -169,7 +179,11 @@ def _ranked(probing: Probing):
             found.append(out[out["query_id"] != out["vec_id"]])
         return pd.concat(found)
 
-    return run
+    def quiet(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        with np.errstate(over="ignore", invalid="ignore"):  # products beyond a double
+            return run(queries, vectors)
+
+    return quiet
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, probing: Probing) -> DataFrame:
@@ -178,14 +192,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, probing: Probing) -> DataFra
     Every query gets ``neighbours`` rows, or all candidates if there are fewer. Both tables
     have vec_id and embedding. Vectors that are null, empty, zero, or hold a
     null or non-finite component take no part, and a row without a vec_id neither; all
-    others must have one length. Ties go to the smaller vec_id; rows that repeat a vec_id
-    and its vector count once. A query's own vec_id is no candidate. Further columns are
+    others must have one length. Finite components may be of any size; products that are no
+    numbers (beyond a double, of both signs) come last. Ties go to the smaller vec_id; rows
+    that repeat a vec_id and its vector count once. A query's own vec_id is no candidate. Further columns are
     ignored; empty tables give an empty result.
     """
     scratch = Scratch(vectors.sparkSession, "neighbours")
-    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    # Null, the range of what is too short for a logarithm, is a range too.
-    power = F.coalesce(F.floor(F.log2(length)).cast("int"), F.lit(-(1 << 20)))
+    # The longest component goes before the squares, which may be too large for a double.
+    peak = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
+    squares = F.aggregate(
+        "embedding", F.lit(0.0), lambda s, x: s + (x.cast("double") / peak) * (x.cast("double") / peak)
+    )
+    length = F.least(peak * F.sqrt(squares), F.lit(1.7976931348623157e308))
+    power = F.floor(F.log2(peak) + F.log2(squares) / 2).cast("int")
     kept = vectors.where(usable("embedding") & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), "embedding", power.alias("range")
     ).distinct()
@@ -249,7 +268,10 @@ def _compared(
     )
     # The same pair from several tables has the same score.
     merged = found.distinct()
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    # Products that overflow with both signs are no numbers, and come last.
+    order = Window.partitionBy("query_id").orderBy(
+        F.isnan("score"), F.col("score").desc(), "vec_id"
+    )
     return merged.withColumn("rank", F.row_number().over(order)).where(
         F.col("rank") <= probing.neighbours
     ).select("query_id", "rank", "vec_id", "score")

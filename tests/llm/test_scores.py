@@ -436,3 +436,25 @@ def test_thresholds_take_sure_ends_only():
     flat[middle + int(2.2 * quality.STEPS)] = 5000
     low, high = quality.thresholds(flat, 100, 200, 0.9)
     assert flat[: low + middle + 1].sum() == 0 and flat[high + middle :].sum() == 0
+
+
+def test_nearest_with_components_of_any_size(spark):
+    """Components whose squares overflow or vanish take part and hide no other vector."""
+    rng = np.random.default_rng(13)
+    table = rng.normal(size=(700, 12))
+    table[3] *= 1e200
+    table[650] *= 1e-200
+    table[40], table[80] = 1e300, -1e300
+    rows = [(i, [float(x) for x in v], "x", "x") for i, v in enumerate(table)]
+    df = spark.createDataFrame(rows, VECTORS.replace("float", "double"))
+    found = collections.defaultdict(list)
+    asked = [0, 3, 20, 40, 650]
+    queries = df.where(f"vec_id IN ({', '.join(map(str, asked))})")
+    for r in neighbours.nearest(df, queries, neighbours.Probing(hashes=1, probes=3, width=40.0)).collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    for q in asked:
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = (table * table[q]).sum(axis=1)
+        score = np.where(np.isnan(score), -np.inf, score)
+        best = [i for i in np.lexsort((np.arange(700), -score)) if i != q][:20]
+        assert [i for _, i, _ in sorted(found[q])] == best
