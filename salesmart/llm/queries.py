@@ -56,7 +56,7 @@ def op1_line_dedup(spark, folder):
     return lines.delete_repeated_runs(docs).drop("deleted_runs")
 
 
-# Runs as texts: of each line the shortest run of 20 characters that starts, or ends, there.
+# Runs as texts: of each line the shortest run of 200 characters that starts, or ends, there.
 LINES_SQL = """
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {documents}
@@ -69,10 +69,10 @@ WITH split AS (
     FROM line
 ), reach AS (
     SELECT doc_id, ls, pos,
-           CASE WHEN total - before >= 20 THEN max(pos) OVER (PARTITION BY doc_id ORDER BY before
-                RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING) END AS until,
-           CASE WHEN after >= 20 THEN min(pos) OVER (PARTITION BY doc_id ORDER BY after
-                RANGE BETWEEN 19 PRECEDING AND CURRENT ROW) END AS since
+           CASE WHEN total - before >= 200 THEN max(pos) OVER (PARTITION BY doc_id ORDER BY before
+                RANGE BETWEEN CURRENT ROW AND 199 FOLLOWING) END AS until,
+           CASE WHEN after >= 200 THEN min(pos) OVER (PARTITION BY doc_id ORDER BY after
+                RANGE BETWEEN 199 PRECEDING AND CURRENT ROW) END AS since
     FROM place
 ), run AS (
     SELECT doc_id, 0 AS kind, pos AS s, until AS e, array_to_string(ls[pos + 1:until + 1], chr(10)) AS t

@@ -53,13 +53,13 @@ def test_golomb_round_trip():
             assert len(code[1]) + len(code[2]) < 8 * len(values) * 0.7
 
 
-def expected_lines(rows, min_chars=20):
+def expected_lines(rows, min_chars=20, most_lines=25):
     """Texts after deleting every run of enough characters that stands earlier."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
     runs, split = collections.defaultdict(list), [(r[1] or "").split("\n") for r in rows]
     for place, i in enumerate(order):
         for s in range(len(split[i])):
-            for e in range(s + 1, min(len(split[i]), s + 25) + 1):
+            for e in range(s + 1, min(len(split[i]), s + most_lines) + 1):
                 if sum(len(x) + 1 for x in split[i][s:e]) >= min_chars:
                     runs[tuple(split[i][s:e])].append((place, s))
     gone = collections.defaultdict(set)
@@ -80,15 +80,40 @@ def test_repeated_lines(spark):
         (52, "\n".join(str(i % 7) for i in range(60)), None, None, 0),
         (53, "\n".join(str(i % 7) for i in range(30)), None, None, 0),
     ]
-    found = lines.delete_repeated_runs(frame(spark, rows, clashes=True))
+    found = lines.delete_repeated_runs(frame(spark, rows, clashes=True), 20)
     assert counted(found.select("doc_id", "text").collect()) == counted(
         zip([r[0] for r in rows], expected_lines(rows))
     )
     assert set(frame(spark, clashes=True).columns) < set(found.columns)
 
 
+def test_repeated_passages(spark):
+    """Production parameter: passages of several lines go, chance repeats of short ones stay."""
+    rng = random.Random(21)
+    line = lambda n: " ".join(words(rng, n))
+    common = [line(4) for _ in range(5)]
+    passage, one = [line(9) for _ in range(8)], line(90)
+    rows = []
+    for i in range(40):
+        own = [line(rng.randint(1, 30)) for _ in range(rng.randint(2, 9))]
+        own.insert(rng.randint(0, len(own)), rng.choice(common))
+        if i % 4 == 0:
+            at = rng.randint(0, len(own))
+            own[at:at] = passage if i % 8 == 0 else [one]
+        rows.append((i, "\n".join(own), "en", "s", 0))
+    rows += [(50, "\n" * 300 + "tail", None, None, 0), (51, "x\n" + "\n" * 250, None, None, 0)]
+    rows += [(52, "\n".join(passage[:3]), None, None, 0), (53, "\n".join(common), None, None, 0)]
+    rows += [(54, None, None, None, 0), (None, "\n".join(passage), None, None, 0), (55, "", None, None, 0)]
+    found = lines.delete_repeated_runs(frame(spark, rows, clashes=True)).collect()
+    plain = expected_lines(rows, lines.MIN_CHARS, 400)
+    assert counted((r.doc_id, r.text) for r in found) == counted(zip([r[0] for r in rows], plain))
+    changed = {r[0] for r, text in zip(rows, plain) if text != r[1]}
+    assert changed == {*range(8, 40, 4), 50, 51, None}
+    assert not any(passage[3] in (r.text or "") for r in found if r.doc_id != 0)
+
+
 def test_repeated_lines_of_a_repeated_number(spark):
-    rows = [(5, "some line that is long enough", None, None, 0)] * 2
+    rows = [(5, "some line that is long enough " * 8, None, None, 0)] * 2
     found = lines.delete_repeated_runs(frame(spark, rows)).select("text").collect()
     assert sorted(r[0] for r in found) == ["", rows[0][1]]
     assert lines.delete_repeated_runs(empty(spark)).count() == 0
