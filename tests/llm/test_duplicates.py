@@ -88,7 +88,7 @@ def test_repeated_lines(spark):
 
 
 def test_repeated_passages(spark):
-    """Production parameter: passages of several lines go, chance repeats of short ones stay."""
+    """Runs from 200 characters: passages of several lines go, repeats of short ones stay."""
     rng = random.Random(21)
     line = lambda n: " ".join(words(rng, n))
     common = [line(4) for _ in range(5)]
@@ -104,14 +104,30 @@ def test_repeated_passages(spark):
     rows += [(50, "\n" * 300 + "tail", None, None, 0), (51, "x\n" + "\n" * 250, None, None, 0)]
     rows += [(52, "\n".join(passage[:3]), None, None, 0), (53, "\n".join(common), None, None, 0)]
     rows += [(54, None, None, None, 0), (None, "\n".join(passage), None, None, 0), (55, "", None, None, 0)]
-    found = lines.delete_repeated_runs(frame(spark, rows, clashes=True)).collect()
-    plain = expected_lines(rows, lines.MIN_CHARS, 400)
+    found = lines.delete_repeated_runs(frame(spark, rows, clashes=True), 200).collect()
+    plain = expected_lines(rows, 200, 400)
     assert counted((r.doc_id, r.text) for r in found) == counted(zip([r[0] for r in rows], plain))
     changed = {r[0] for r, text in zip(rows, plain) if text != r[1]}
     assert changed == {*range(8, 40, 4), 50, 51, None}
     assert not any(passage[3] in (r.text or "") for r in found if r.doc_id != 0)
 
 
+def test_short_repeated_runs_go(spark):
+    """Production parameter: a run of 20 characters counts, of one line or of several."""
+    rows = [
+        (1, "own first line\na line that stands twice\nab\ncd ef\ngh ij kl mn op\nend", None, None, 0),
+        (2, "another line\na line that stands twice\ntail", None, None, 0),
+        (3, "ab\ncd ef\ngh ij kl mn op\nlast", None, None, 0),
+        (4, "ab\ncd ef\nless than twenty", None, None, 0),
+    ]
+    found = lines.delete_repeated_runs(frame(spark, rows, clashes=True)).collect()
+    left = {r.doc_id: r.text for r in found}
+    assert left == {1: rows[0][1], 2: "another line\ntail", 3: "last", 4: rows[3][1]}
+    assert counted((r.doc_id, r.text) for r in found) == counted(
+        zip([r[0] for r in rows], expected_lines(rows))
+    )
+
+
 def test_repeated_lines_of_a_repeated_number(spark):
     rows = [(5, "some line that is long enough " * 8, None, None, 0)] * 2
     found = lines.delete_repeated_runs(frame(spark, rows)).select("text").collect()
