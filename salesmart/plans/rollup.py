@@ -13,6 +13,8 @@ from salesmart.functions.money import average, from_cents, to_cents
 from salesmart.plans.finance import MONTHS
 
 FACT_RANGE = "fact_range"
+# Tasks that share the customers of one month and bucket: a month may hold most of the rows.
+SPREAD = 16
 
 
 def _placed(fact: DataFrame, dim_dates: DataFrame, width: int) -> DataFrame:
@@ -40,6 +42,10 @@ def member_states(
 
     A bitmap has the 32,768 ids of its bucket. Customers are known to the fact by key: the
     keys of a range and month are made distinct before the ids are joined to them.
+
+    Ids are shuffled and sorted, not bitmaps: a range has few ids of a bucket, and bitmaps
+    of 4 KB are almost empty then. They come in the order of month, kind and bucket, so that
+    ``merged_totals`` ORs them as they are made.
     """
     rows = _placed(fact, dim_dates, width)
     place = [FACT_RANGE, "month_number"]
@@ -47,11 +53,17 @@ def member_states(
     keys = rows.where("customer_key IS NOT NULL").select(*place, "customer_key").distinct()
     ids = dim_customers.select("customer_key", F.col("customer_id").cast("long").alias("id"))
     customers = keys.join(ids, "customer_key").select(*place, F.lit("customer").alias("kind"), "id")
-    return (
-        orders.unionByName(customers)
-        .groupBy(*place, "kind", F.bitmap_bucket_number("id").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("members"))
+    rows = orders.unionByName(customers)
+    bucket = ["month_number", "kind", "bucket", "spread"]
+    spread = F.when(F.col("kind") == "customer", F.pmod(FACT_RANGE, F.lit(SPREAD))).otherwise(0)
+    rows = rows.withColumns({
+        "bucket": F.bitmap_bucket_number("id"), "spread": F.coalesce(spread, F.lit(0)).cast("int"),
+        "bit": F.bitmap_bit_position("id"),
+    }).drop("id")
+    made = rows.repartition(*bucket).groupBy(*bucket, FACT_RANGE).agg(
+        F.bitmap_construct_agg("bit").alias("members")
     )
+    return made.select(*place, "kind", "bucket", "members")
 
 
 def merged_totals(
@@ -65,8 +77,12 @@ def merged_totals(
         F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
         F.sum("priced_rows").alias("priced_rows"), F.sum("quantity").alias("total_quantity_sold"),
     )
-    # A bitmap of 4 KB a period, kind and bucket, OR-ed map-side: a range has few ids twice.
-    seen = members.join(months, "month_number").groupBy(*period, "kind", "bucket").agg(
+    # A bitmap of 4 KB a month, kind and bucket, OR-ed map-side in the order that the states
+    # are made in, then one a period.
+    by_month = members.groupBy("month_number", "kind", "bucket").agg(
+        F.bitmap_or_agg("members").alias("members")
+    )
+    seen = by_month.join(months, "month_number").groupBy(*period, "kind", "bucket").agg(
         F.bitmap_count(F.bitmap_or_agg("members")).alias("ids")
     )
 
