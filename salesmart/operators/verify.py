@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.session import MIN_PARTITIONS
+
 SAMPLE = (
     "first_name", "last_name", "customer_segment", "product_name", "category",
     "total_amount", "order_date",
@@ -147,10 +149,18 @@ def orphan_keys(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """``(key..., occurrences)``: keys on more than one row."""
+    """``(key..., occurrences)``: keys on more than one row.
+
+    Almost every key is another, so counting map-side saves nothing: it held all keys of a
+    large task of the step before in memory, twice. The keys alone are dealt to as many
+    tasks as the session has shuffle partitions, ``MIN_PARTITIONS`` at least, which adaptive
+    execution does not merge. Rows of one key are counted one by one, however many.
+    """
     keys = [key] if isinstance(key, str) else list(key)
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select(*keys).repartition(max(width, MIN_PARTITIONS), *keys)
     return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
+        dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
     )
 
 

@@ -165,3 +165,12 @@ def test_verification_run(spark, good):
     assert counts["fact_orders"] == 3 and counts["orders"] == 3
     assert got["sample_orders"].count() == 3 and got["sample_facts"].count() == 3
     assert got["latest_months"].count() == 1
+
+
+def test_duplicate_keys_are_counted_in_many_tasks(spark):
+    """Adaptive execution merged small shuffled keys into tasks of millions."""
+    rows = [(i % 50, i % 7) for i in range(351)] + [(None, 1), (None, 1), (None, None), (900, 1)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(3, "a")
+    found = verify.duplicate_keys(df, ["a", "b"])
+    assert {(r.a, r.b): r.occurrences for r in found.collect()} == {(0, 0): 2, (None, 1): 2}
+    assert found.rdd.getNumPartitions() >= 200
