@@ -76,8 +76,7 @@ def text_anchors(text: bytes, rules: Repeats) -> Iterator[tuple[np.ndarray, np.n
         # Whether a place is an anchor depends on the grams of ``reach`` places around it.
         low, high = max(0, first - 2 * reach), min(len(text), until + 2 * reach + rules.gram)
         rolling = Rolling(np.frombuffer(text, np.uint8, high - low, low))
-        at = np.arange(high - low - rules.gram + 1)
-        hashes = rolling.hashes(at, at + rules.gram)
+        hashes = rolling.grams(rules.gram)
         found = _anchors(hashes, width)
         found = found[(found >= first - low) & (found < until - low)]
         begin = np.maximum(found + low - reach, 0)
@@ -211,8 +210,13 @@ def refine(buckets, contexts: list[bytes], left, low, high, rules: Repeats):
     grams = row_hashes(table, short)
     starts = np.concatenate([begin, begin + rest])
     twice = np.concatenate([row, row])
+    if grams.size < 4 * count:
+        # Suffixes of a row share most of their grams: each is named once.
+        _, names = np.unique(grams, return_inverse=True)
+        grams = names.reshape(grams.shape)
     names = np.concatenate([grams[twice, starts], grams[twice, starts + short]])
-    _, names = np.unique(names, return_inverse=True)
+    if names.dtype == np.uint64:
+        _, names = np.unique(names, return_inverse=True)
     # Of every suffix, and of those that start where its second half does: half a window.
     half, _ = _sorted_on(names[: 2 * count].astype(np.int64), names[2 * count :])
     # Only windows at one offset of one bucket are compared: others do not keep the order.

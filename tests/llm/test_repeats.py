@@ -75,3 +75,10 @@ def test_kept_bytes_and_spans(spark):
 
 def test_no_documents(spark):
     assert repeats.delete_repeats(empty(spark)).count() == 0
+
+
+def test_grams_of_a_piece_are_hashed_at_once():
+    data = np.frombuffer(random.Random(4).randbytes(5000), np.uint8)
+    rolling, at = repeats.Rolling(data), np.arange(5000 - 32 + 1)
+    assert np.array_equal(rolling.grams(32), rolling.hashes(at, at + 32))
+    assert len(repeats.Rolling(data[:32]).grams(32)) == 1
