@@ -9,17 +9,19 @@ therefore single shingles, in one fixed order (by hash): a document of n shingle
 to the regions of its first n - ceil(t n) + 1 pivots. That is its window: two documents of
 similarity t or more differ in so few shingles that they share one of them.
 
-Inside a region the pivots are documents:
-
-1. The first pivot of every region meets all its members. Those within reach of it make up
+A region with many members is a frequent passage or a large family of copies. Its shingle
+moves to the end of the order, and documents move on to the pivots of their window in the
+new order. So shingles of a document's own come first, and documents that have too many of them meet nobody: two documents whose first
+shared shingle is in places i and j share at most min(n - i, m - j) of n and m shingles.
+Pairs that this excludes are never made.
+
+1. Regions with few members: they meet each other.
+2. Regions that are still crowded have a document as their pivot, the member with the fewest
+   shingles before the shared one. It meets all others. Those within reach of it make up
    one component with it and are settled among themselves.
-2. Members outside the pivot's component (strays) meet the members of other components,
+3. Members outside the pivot's component (strays) meet the members of other components,
    unless their distances to the pivot differ by more than the join's radius (triangle
-   inequality).
-3. A region with many strays is a frequent passage, not a family of copies. Its shingle,
-   and what else its members have in common, moves to the end of the order; documents
-   move on to the pivots of their window in the new order, and the steps are repeated
-   there. Documents that have no other pivots left meet in the regions of these shingles.
+   inequality) or their places exclude it.
 
 Every comparison starts with bounds (sizes, then counts of shingles by classes of their
 hash, whose difference never exceeds that of the sets) and ends with the sets themselves.
@@ -31,15 +33,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.shared import Scratch, components, mixed, plain_text, word_hashes
 
 CLASSES = 64  # at least; longer documents have one for about 16 shingles
 MOST_CLASSES = 1 << 16
-MOST_STRAYS = 64  # beyond it a region's shingle goes to the end of the order
+MOST_STRAYS = 64  # members beyond which a region's shingle goes to the end of the order
 SPARE = 16  # pivots kept beyond one and a half of a document's windows
+WHOLE = 256  # and up to so many shingles all of them
+ROWS = 1000  # documents of which a task holds the sets at a time
 SETS = (
     "doc_id long, mark long, node long, n long, same binary, classes binary, pivots array<long>"
 )
@@ -63,8 +67,16 @@ class Similarity:
             return n - F.ceil(n * F.lit(self.percent) / F.lit(100.0)).cast("long") + 1
         return n + (-n * self.percent // 100) + 1
 
-    def sizes(self, n: Column, m: Column) -> Column:
-        return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
+    def reaches(self, n: str, place: str, m: str) -> Column:
+        """Whether n shingles, of which the one in this place is the first shared with a set
+        of m, leave enough for similarity."""
+        left = F.col(n) - F.col(place)
+        return left * (100 + self.percent) >= (F.col(n) + F.col(m)) * self.percent
+
+    def within(self, n: str, place: str, m: str, other: str) -> Column:
+        """Whether two sets may be similar whose first shared shingle is in these places."""
+        sizes = F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
+        return sizes & self.reaches(n, place, m) & self.reaches(m, other, n)
 
 
 def shingles(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -112,11 +124,12 @@ def _same(values: np.ndarray) -> bytes:
 def _sets(similarity: Similarity):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         node = TaskContext.get().partitionId() << 36
-        for batch in batches:
+        parts = (b[i : i + ROWS] for b in batches for i in range(0, len(b), ROWS))
+        for batch in parts:
             rows = []
             for key, own, hashes in zip(batch["doc_id"], batch["mark"], word_hashes(_texts(batch))):
                 values = shingles(hashes, similarity.words)
-                spare = 3 * similarity.window(len(values)) // 2 + SPARE
+                spare = max(3 * similarity.window(len(values)) // 2 + SPARE, WHOLE)
                 rows.append((
                     key, own, node, len(values), _same(values),
                     class_counts(values).tobytes(),
@@ -199,7 +212,9 @@ class JaccardJoin:
             ),
             "same",
         )
-        self.reps = self._write(sets.join(same.select("node"), "node"), "representatives")
+        late = self._late(sets.where("n > 0"))
+        nodes = self._write(same.select("node").join(late, "node", "left"), "order")
+        self.reps = self._write(sets.join(nodes, "node"), "representatives")
         docs = self._write(sets.select("doc_id", "mark", "node", "n", "same"), "documents")
         self.scratch.drop("sets")
         found = components(self._links(), self.scratch)
@@ -217,81 +232,85 @@ class JaccardJoin:
 
     def _links(self) -> DataFrame:
         """Edges (a, b) whose components are those of all links."""
-        window = self.similarity.window(F.col("n")).cast("int")
-        rows = self.reps.select("node", F.explode(F.slice("pivots", F.lit(1), window)).alias("pivot"))
-        links, placed, crowded = self._meet(rows, None)
-        if crowded.isEmpty():
-            return links
-        # Shingles that many unlinked documents share go to the end of the order: those of
-        # crowded regions, and what else their members have in common.
-        members = placed.join(crowded, "pivot", "left_semi").select("node", "component").distinct()
-        others = (
-            self.reps.select("node", F.explode("pivots").alias("pivot")).join(members, "node")
-            .groupBy("pivot").agg(F.countDistinct("component").alias("apart"))
-            .where(F.col("apart") > MOST_STRAYS).select("pivot")
-        )
-        late = self._write(crowded.union(others).distinct(), "late")
-        # Documents with such a shingle in their window have another window in that order.
-        moved = self._write(rows.join(late, "pivot", "left_semi").select("node").distinct(), "moved")
-        orders = self._orders(moved, late)
-        free = F.array_except("pivots", "late")
-        new = orders.select(
-            "node", F.explode(F.array_except(
-                F.slice(free, F.lit(1), window), F.slice("pivots", F.lit(1), window)
-            )).alias("pivot"),
-        )
-        new = self._write(new, "new")
-        old = rows.join(new.select("pivot").distinct().hint("merge"), "pivot", "left_semi")
-        links, _, _ = self._meet(old.unionByName(new), links, last=True)
-        # Documents that have too few other shingles meet in regions of the late ones.
-        lacking = F.greatest(window - F.size(free), F.lit(0))
-        rest = F.slice(F.array_intersect("pivots", "late"), F.lit(1), lacking)
-        links, _, _ = self._meet(
-            orders.select("node", F.explode(rest).alias("pivot")), links, last=True
-        )
-        return links
-
-    def _orders(self, nodes: DataFrame, late: DataFrame) -> DataFrame:
-        """(node, n, pivots, late): as many pivots as a node's window in the new order needs."""
+        regions = self._regions(self._windows())
+        crowded = F.col("members") > MOST_STRAYS
+        few = regions.where(~crowded)
 
-        def marked(orders: DataFrame) -> DataFrame:
-            found = (
-                orders.select("node", F.explode("pivots").alias("pivot")).join(late, "pivot")
-                .groupBy("node").agg(F.collect_set("pivot").alias("late"))
+        def side(c: str) -> DataFrame:
+            return few.select(
+                "pivot", F.col("node").alias(c), F.col("n").alias(f"{c}_n"),
+                F.col("place").alias(f"{c}_place"),
             )
-            return orders.join(found, "node")
-
-        stored = self.reps.select("node", "n", "pivots", "doc_id", "same")
-        known = marked(stored.join(nodes, "node", "left_semi"))
-        left = F.size(F.array_except("pivots", "late"))
-        enough = (left >= self.similarity.window(F.col("n"))) | (F.size("pivots") == F.col("n"))
-        known = self._write(known.withColumn("enough", enough), "orders")
-        columns = ["node", "n", "pivots", "late"]
-        short = known.where("NOT enough").select("node", "n", "doc_id", "same")
-        if short.isEmpty():
-            return known.select(*columns)
-        whole = self._whole_sets(short.drop("n")).mapInPandas(_pivots, "node long, pivots array<long>")
-        longer = self._write(marked(short.join(whole, "node")).select(*columns), "longer")
-        return known.where("enough").select(*columns).union(longer)
-
-    def _meet(
-        self, rows: DataFrame, links: DataFrame | None, last: bool = False
-    ) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """All links so far; members of regions with strays; pivots of crowded regions.
-
-        In the last meeting strays of every region are compared, however many.
+
+        within = self.similarity.within
+        pairs = (
+            side("a").join(side("b"), "pivot").where("a < b")
+            .where(within("a_n", "a_place", "b_n", "b_place")).select("a", "b")
+        )
+        stars = (
+            regions.where(crowded & (F.col("node") != F.col("first")))
+            .where(within("n", "place", "first_n", "first_place"))
+            .select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b"))
+        )
+        met = self._measure(pairs.union(stars))
+        links = self._linked(met)
+        many = regions.where(crowded)
+        return links if many.isEmpty() else self._strays(many, met, links)
+
+    def _windows(self) -> DataFrame:
+        """(pivot, node, n, place) of the windows; shingles of crowded regions come last."""
+        ordered = F.concat(F.array_except("pivots", "late"), F.array_intersect("pivots", "late"))
+        pivots = F.when(F.col("late").isNull(), F.col("pivots")).otherwise(ordered)
+        first = F.slice(pivots, F.lit(1), self._window())
+        return self.reps.select("node", "n", F.posexplode(first).alias("place", "pivot"))
+
+    def _window(self) -> Column:
+        return self.similarity.window(F.col("n")).cast("int")
+
+    def _late(self, sets: DataFrame) -> DataFrame:
+        """(node, late): pivots of a node that come last, those of crowded regions and what
+        else documents share whose sets are kept whole.
+
+        Any choice gives all links, as long as it is one for all documents and what is kept
+        of each fills its window; where that would fail, the rarest lose their late place.
         """
-        firsts = rows.groupBy("pivot").agg(
-            F.min("node").alias("first"), F.count("*").alias("members")
+        whole = F.size("pivots") == F.col("n")
+        counted = F.when(whole, F.col("pivots")).otherwise(F.slice("pivots", F.lit(1), self._window()))
+        members = sets.select(F.explode(counted).alias("pivot")).groupBy("pivot").agg(
+            F.count("*").alias("members")
         )
-        regions = self._write(
-            rows.join(firsts.where("members > 1").select("pivot", "first"), "pivot"), "regions"
+        late = self._write(members.where(F.col("members") > MOST_STRAYS), "late")
+        pivots = sets.select("node", F.explode("pivots").alias("pivot"))
+        hits = self._write(pivots.join(late, "pivot").select("node", "pivot", "members"), "hits")
+        by_node = hits.groupBy("node").agg(F.collect_set(F.struct("members", "pivot")).alias("late"))
+        kept = sets.select("node", "n", F.size("pivots").alias("kept"))
+        lacking = self._window() - F.col("kept") + F.size("late")
+        needed = (
+            kept.where("kept < n").join(by_node, "node").where(lacking > 0)
+            .select(F.explode(F.slice(F.array_sort("late"), F.lit(1), lacking)).alias("rare"))
         )
-        stars = regions.where("node <> first").select(
-            F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")
+        needed = needed.select("rare.pivot").distinct()
+        hits = hits.join(self._write(needed, "needed"), "pivot", "left_anti")
+        return hits.groupBy("node").agg(F.collect_set("pivot").alias("late"))
+
+    def _regions(self, rows: DataFrame) -> DataFrame:
+        """Members of regions of two or more that may be similar to the least of them."""
+        region = Window.partitionBy("pivot")
+        least = F.min("n").over(region)
+        first = F.min(F.struct("place", "n", "node")).over(region)
+        rows = rows.withColumns({
+            "members": F.count("*").over(region), "least": least, "first": first,
+        })
+        return self._write(
+            rows.where("members > 1").where(self.similarity.reaches("n", "place", "least")).select(
+                "pivot", "node", "n", "place", "members", F.col("first.node").alias("first"),
+                F.col("first.n").alias("first_n"), F.col("first.place").alias("first_place"),
+            ),
+            "regions",
         )
-        met = self._measure(stars)
-        links = self._linked(met, links)
+
+    def _strays(self, regions: DataFrame, met: DataFrame, links: DataFrame) -> DataFrame:
+        """Edges of the links so far and of those that strays of crowded regions have."""
         whole = self._write(components(links, self.scratch), "components")
 
         def component(column: str) -> DataFrame:
@@ -299,51 +318,48 @@ class JaccardJoin:
                 F.col("node").alias(column), F.col("component").alias(f"{column}_component")
             )
 
-        placed = regions.join(component("node"), "node", "left").join(
-            component("first"), "first", "left"
-        ).select(
-            "pivot", "node", "first",
-            F.coalesce("node_component", "node").alias("component"),
-            F.coalesce("first_component", "first").alias("first_component"),
-        )
-        stray = F.col("component") != F.col("first_component")
-        loads = placed.where(stray).groupBy("pivot").agg(F.count("*").alias("strays"))
-        placed = self._write(placed.join(loads, "pivot"), "placed")
-        crowded = F.lit(False) if last else F.col("strays") > MOST_STRAYS
         # How far members are from their pivot, where that was measured.
         far = met.select(
             "a", "b",
             (1 - F.col("shared") / (F.col("a_n") + F.col("b_n") - F.col("shared"))).alias("far"),
         )
-        others = (
-            placed.where(~crowded & (F.col("node") != F.col("first")))
-            .withColumns({"a": F.least("node", "first"), "b": F.greatest("node", "first")})
-            .join(far, ["a", "b"], "left")
-            .select("pivot", "node", "component", "far", stray.alias("stray"))
-        )
-        x = others.where("stray").select(
-            "pivot", F.col("node").alias("x"), F.col("component").alias("cx"),
-            F.col("far").alias("fx"),
-        )
-        y = others.select(
-            "pivot", F.col("node").alias("y"), F.col("component").alias("cy"),
-            F.col("far").alias("fy"),
+        others = regions.where("node <> first").join(component("node"), "node", "left").join(
+            component("first"), "first", "left"
+        ).withColumns({"a": F.least("node", "first"), "b": F.greatest("node", "first")}).join(
+            far, ["a", "b"], "left"
+        ).select(
+            "pivot", "node", "n", "place", "far",
+            F.coalesce("node_component", "node").alias("component"),
+            F.coalesce("first_component", "first").alias("first_component"),
         )
+        others = self._write(others, "placed")
+
+        def side(c: str) -> DataFrame:
+            return others.select(
+                "pivot", F.col("node").alias(c), F.col("n").alias(f"{c}_n"),
+                F.col("place").alias(f"{c}_place"), F.col("component").alias(f"{c}_component"),
+                F.col("far").alias(f"{c}_far"), "first_component",
+            )
+
         radius = 1 - self.similarity.percent / 100 + 1e-9
+        strays = side("x").where("x_component <> first_component").drop("first_component")
+        apart = F.abs(F.col("x_far") - F.col("y_far"))
         pairs = (
-            x.join(y, "pivot")
-            .where("cx <> cy")
-            .where(F.coalesce(F.abs(F.col("fx") - F.col("fy")) <= radius, F.lit(True)))
+            strays.join(side("y"), "pivot")
+            .where("x_component <> y_component")
+            .where(self.similarity.within("x_n", "x_place", "y_n", "y_place"))
+            .where(F.coalesce(apart <= radius, F.lit(True)))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         )
-        links = self._linked(self._measure(pairs), links)
-        return links, placed, placed.where(crowded).select("pivot").distinct()
+        joined = whole.where("node <> component").select(
+            F.col("component").alias("a"), F.col("node").alias("b")
+        )
+        return joined.union(self._linked(self._measure(pairs)))
 
-    def _linked(self, measured: DataFrame, links: DataFrame | None) -> DataFrame:
+    def _linked(self, measured: DataFrame) -> DataFrame:
         union = F.col("a_n") + F.col("b_n") - F.col("shared")
         near = F.col("shared") * 100 >= union * self.similarity.percent
-        found = measured.where(near).select("a", "b")
-        return self._write(found if links is None else links.union(found), "links")
+        return self._write(measured.where(near).select("a", "b"), "links")
 
     def _measure(self, pairs: DataFrame) -> DataFrame:
         """(a, b, a_n, b_n, shared) of the pairs that no bound excludes."""
@@ -356,14 +372,13 @@ class JaccardJoin:
 
         near = (
             pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-            .where(self.similarity.sizes(F.col("a_n"), F.col("b_n")))
             .mapInPandas(_near(self.similarity.percent), "a long, b long, a_n long, b_n long")
         )
         near = self._write(near, "near")
         nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         if self._sets is not None:
             nodes = nodes.join(self._sets, "node", "left_anti")
-        nodes = self._write(self.reps.select("node", "doc_id", "same").join(nodes, "node"), "nodes")
+        nodes = self._write(self.reps.select("node", "doc_id", "mark", "same").join(nodes, "node"), "nodes")
         if not nodes.isEmpty():
             new = self._whole_sets(nodes)
             self._sets = new if self._sets is None else self._sets.union(new)
@@ -379,22 +394,14 @@ class JaccardJoin:
 
     def _whole_sets(self, nodes: DataFrame) -> DataFrame:
         """(node, set), from the texts of a few documents."""
-        wanted = nodes.select(F.col("doc_id").alias("id"), "node", "same")
+        wanted = nodes.select(F.col("doc_id").alias("id"), F.col("mark").alias("own"), "node", "same")
         # Candidates grow with the documents: they are not for broadcasting.
-        same_id = F.col("doc_id").eqNullSafe(F.col("id"))
-        rows = self.texts.join(wanted.hint("merge"), same_id).select(
-            "node", "same", "text"
-        )
+        same_row = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("own"))
+        rows = self.texts.join(wanted.hint("merge"), same_row).select("node", "same", "text")
         sets = rows.mapInPandas(_whole(self.similarity), "node long, set binary")
         return self._write(sets.dropDuplicates(["node"]), "sets")
 
 
-def _pivots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        pivots = [np.frombuffer(s, "<i8") for s in batch["set"]]
-        yield pd.DataFrame({"node": batch["node"], "pivots": pivots})
-
-
 def jaccard_components(docs: DataFrame, similarity: Similarity) -> DataFrame:
     """Per document the size of its shingle set and the smallest doc_id linked with it.
 

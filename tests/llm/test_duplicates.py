@@ -197,6 +197,30 @@ def test_jaccard_join_of_crowded_regions(spark, monkeypatch):
     )
 
 
+def test_jaccard_join_makes_few_pairs_of_a_family(spark, monkeypatch):
+    """Copies too far from each other for a link do not meet, however many they are."""
+    rng, made = random.Random(13), []
+    base = [f"b{i}" for i in range(150)]
+    rows = [(0, " ".join(base), None, None, 0)]
+    for i in range(1, 200):
+        w = list(base)
+        for at in rng.sample(range(4, 146), 5 if i % 4 else 1):
+            w[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(w), None, None, 0))
+    measure = jaccard.JaccardJoin._measure
+
+    def counting(self, pairs):
+        made.append(pairs.count())
+        return measure(self, pairs)
+
+    monkeypatch.setattr(jaccard.JaccardJoin, "_measure", counting)
+    found = jaccard.jaccard_components(frame(spark, rows), jaccard.Similarity(4, 85))
+    assert counted(found.select("doc_id", "n_shingles", "component_id").collect()) == (
+        expected_components(rows, 4, 85)
+    )
+    assert sum(made) < 30 * len(rows)
+
+
 def test_one_of_each(spark):
     rows = documents()
     kept = jaccard.one_of_each(frame(spark, rows, clashes=True), jaccard.Similarity(5, 80))
